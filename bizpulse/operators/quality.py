@@ -64,8 +64,8 @@ def constraint_violations(
     """
     broken = {rule: F.count_if(bad) for rule, bad in rules.items()}
     if keys:
-        folded = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[c.alias(r) for r, c in broken.items()])
-        counts = folded.agg(*[F.sum(r).alias(r) for r in rules], F.sum(F.col("_n") - 1).alias("unique_key"))
+        folded = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[c.alias(f"_{r}") for r, c in broken.items()])
+        counts = folded.agg(*[F.sum(f"_{r}").alias(r) for r in rules], F.sum(F.col("_n") - 1).alias("unique_key"))
         names = [*rules, "unique_key"]
     else:
         counts = df.agg(*[c.alias(r) for r, c in broken.items()])

@@ -1,7 +1,7 @@
 """Reports over the gold tables. `fact` is the narrow measure table, `popularity` the monthly score table.
 
-Reports that rank or cut have a unique last sort column, so their result is the same on every run. `digits` rounds
-averages, whose last bits depend on the order in which Spark adds.
+Reports that rank or cut have a unique last sort column, so their result is the same on every run. With `digits`,
+averages add decimals of that scale, so they do not depend on the order in which Spark adds.
 """
 
 from __future__ import annotations
@@ -39,8 +39,19 @@ TREND_METRICS = {
 SUMMARY_METRICS = {"total_reviews": REVIEW_COUNT, "avg_stars": AVG_STARS, "total_tips": TIP_COUNT}
 
 
-def _rounded(value: Column, digits: int | None) -> Column:
-    return value if digits is None else F.round(value, digits)
+def _addend(value: Column, digits: int | None) -> Column:
+    return value if digits is None else value.cast(f"decimal(18,{digits})")
+
+
+def _mean(value: Column, digits: int | None, weight: Column | None = None) -> Column:
+    """Average of the non-null values, each counted `weight` times."""
+    part = _addend(value, digits)
+    if weight is None:
+        total, count = F.sum(part), F.count(value)
+    else:
+        # An int weight keeps the product within decimal precision, so no digit is lost.
+        total, count = F.sum(part * weight.cast("int")), F.sum(F.when(value.isNotNull(), weight))
+    return total.cast("double") / F.nullif(count, F.lit(0))
 
 
 def pivot_measures(fact: DataFrame, keys: Sequence[str], measures: Mapping[str, int]) -> DataFrame:
@@ -133,7 +144,7 @@ def top_cities(popularity: DataFrame, top: int = 5, digits: int | None = None) -
         popularity.groupBy("city", "state")
         .agg(
             F.count_distinct("business_id").alias("business_count"),
-            _rounded(F.avg("popularity_score"), digits).alias("avg_popularity"),
+            _mean(F.col("popularity_score"), digits).alias("avg_popularity"),
             F.max("period_month").alias("latest_period"),
         )
         .orderBy(F.desc("avg_popularity"), "city", "state")
@@ -161,7 +172,8 @@ def city_dashboard(fact: DataFrame, popularity: DataFrame, top: int = 20, digits
     """Cities of the latest month: businesses with activity, average score, average rating.
 
     The averages run over one row per business and measure, so a score counts once for each measure its business has.
-    The measures are folded to one row per business before the join; the row count then serves as the weight.
+    The measures (one row each, by the table's key) are folded to one row per business before the join; the row count
+    then serves as the weight.
     """
     current = popularity.filter(F.col("period_month") == latest_of(popularity, "period_month")).select(
         "business_id", "day", "city", "popularity_score"
@@ -172,22 +184,16 @@ def city_dashboard(fact: DataFrame, popularity: DataFrame, top: int = 20, digits
         .groupBy("business_id", "day")
         .agg(
             F.count(F.lit(1)).alias("_rows"),
-            F.sum(rating).alias("_rating_sum"),
-            F.count(rating).alias("_ratings"),
+            F.max(rating).alias("_rating"),
         )
     )
-    scored_rows = F.when(F.col("popularity_score").isNotNull(), F.col("_rows"))
-
-    def mean(total: Column, count: Column) -> Column:
-        return _rounded(total / F.nullif(count, F.lit(0)), digits)
-
     return (
         current.join(folded, ["business_id", "day"])
         .groupBy("city")
         .agg(
             F.count_distinct("business_id").alias("businesses"),
-            mean(F.sum(F.col("popularity_score") * F.col("_rows")), F.sum(scored_rows)).alias("avg_popularity"),
-            mean(F.sum("_rating_sum"), F.sum("_ratings")).alias("avg_rating"),
+            _mean(F.col("popularity_score"), digits, weight=F.col("_rows")).alias("avg_popularity"),
+            _mean(F.col("_rating"), digits).alias("avg_rating"),
         )
         .orderBy(F.desc("avg_popularity"), "city")
         .limit(top)
@@ -201,7 +207,7 @@ def city_time_series(popularity: DataFrame, city: str | None = None, digits: int
         rows.groupBy("city", "period_month")
         .agg(
             F.count_distinct("business_id").alias("active_businesses"),
-            _rounded(F.avg("popularity_score"), digits).alias("avg_popularity"),
+            _mean(F.col("popularity_score"), digits).alias("avg_popularity"),
         )
         .orderBy("city", "period_month")
     )
@@ -212,7 +218,7 @@ def city_period_average(popularity: DataFrame, period: str, digits: int | None =
         popularity.filter(F.col("period_month") == period)
         .groupBy("city")
         .agg(
-            _rounded(F.avg("popularity_score"), digits).alias("avg_score"),
+            _mean(F.col("popularity_score"), digits).alias("avg_score"),
             F.count(F.lit(1)).alias("business_count"),
         )
     )

@@ -143,12 +143,14 @@ def replace_slice(
         if slices is None:
             overwrite_partitions(source, path, partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
             return
-        staged = materialize(source, "slice-source")
-        stray = staged.filter(~_is_one_of(slices))
-        if not stray.isEmpty():
-            raise ValueError("the source holds rows outside the given slices")
-        overwrite_partitions(staged, path, partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
-        filled = _partition_values(staged, partition_by)
+        # The write itself reports which partitions it filled and fails on a row outside the slices.
+        outside = F.when(~_is_one_of(slices), F.raise_error(F.lit("source row outside the given slices")).cast("boolean"))
+        seen = Observation()
+        checked = source.filter(outside.otherwise(F.lit(True))).observe(
+            seen, F.collect_set(F.struct(*partition_by)).alias("parts")
+        )
+        overwrite_partitions(checked, path, partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
+        filled = [row.asDict() for row in seen.get["parts"]]
         _empty_partitions(target, path, partition_by, [s for s in slices if dict(s) not in filled], fmt)
         return
     staged = materialize(source, "slice-source")
