@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -47,12 +47,26 @@ def in_days(column: str, start: str | dt.date, end: str | dt.date) -> Column:
     return (F.col(column) >= F.lit(as_date(start))) & (F.col(column) < F.lit(as_date(end) + ONE_DAY))
 
 
+def event_rows(df: DataFrame, within: Callable[[str], Column], column: str = "date") -> DataFrame:
+    """Event rows whose `column` meets a day or month range. A stored event table also has that day as its partition
+    column `day`; the same range on it prunes directories and loses no row."""
+    wanted = within(column)
+    return df.filter(wanted & within("day") if "day" in df.columns else wanted)
+
+
 def in_months(column: str, ends: Iterable[str | dt.date]) -> Column:
-    """Whole calendar months, named by their last day. Each month is a plain range, so the bounds reach the scan."""
-    ranges = [in_days(column, as_date(e).replace(day=1), e) for e in sorted({as_date(e) for e in ends})]
-    if not ranges:
+    """Whole calendar months, named by their last day. Neighbouring months join into one plain range, so the bounds
+    reach the scan."""
+    spans: list[list[dt.date]] = []
+    for end in sorted({as_date(e) for e in ends}):
+        start = end.replace(day=1)
+        if spans and spans[-1][1] + ONE_DAY == start:
+            spans[-1][1] = end
+        else:
+            spans.append([start, end])
+    if not spans:
         raise ValueError("at least one month is needed")
-    return reduce(lambda a, b: a | b, ranges)
+    return reduce(lambda a, b: a | b, [in_days(column, start, end) for start, end in spans])
 
 
 def calendar(bounds: DataFrame, start: str = "start", end: str = "end") -> DataFrame:

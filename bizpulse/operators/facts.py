@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bizpulse.functions.dates import as_date, in_days, month_end, month_ends_between, period_month
+from bizpulse.functions.dates import as_date, event_rows, in_days, month_end, month_ends_between, period_month
 from bizpulse.schemas import (
     AVG_STARS,
     COMPLIMENT_COUNT_SUM,
@@ -95,8 +95,9 @@ def fact_for_period(
     else:
         raise ValueError(f"granularity must be {DAILY} or {MONTHLY}, not {granularity}")
     key = ["business_id"]
-    narrow = to_narrow(review_metrics(reviews.filter(in_days("date", start, end))), key, REVIEW_MEASURES).unionByName(
-        to_narrow(tip_metrics(tips.filter(in_days("date", start, end))), key, TIP_MEASURES)
+    own_reviews, own_tips = (event_rows(events, lambda c: in_days(c, start, end)) for events in (reviews, tips))
+    narrow = to_narrow(review_metrics(own_reviews), key, REVIEW_MEASURES).unionByName(
+        to_narrow(tip_metrics(own_tips), key, TIP_MEASURES)
     )
     stamped = narrow.withColumn("day", F.lit(end)).withColumn("granularity", F.lit(granularity))
     return stamped.withColumn("period_month", period_month(F.col("day"))).select(*FACT_COLUMNS)
@@ -117,9 +118,11 @@ def fact_for_range(
     always cover the whole month. Equal to the union of `fact_for_period` over all those runs, but:
 
     - sums are built per business and day, and months roll up from the days;
-    - for distinct counts each (business, month, id) is reduced to the set of its days held in one integer. Its size
-      is the day count of that id and it exists once per month, so one shuffle, spread over the ids and combined
-      on the map side, serves both granularities.
+    - for distinct counts each (business, month, id) is reduced to the set of its days, the bits of one integer.
+      Counting the integers gives the month, counting each bit gives the days, so one shuffle, combined on the map
+      side and spread over the ids however hot a business is, serves both granularities.
+
+    Ids must not be null, which silver guarantees.
     """
     first, last = as_date(start), as_date(end)
     months = {month_end(m) for m in force_months}
@@ -131,8 +134,10 @@ def fact_for_range(
     read_from, read_to = min(wanted), max(wanted)
     slots = _Slots(first, last, sorted(months), daily)
 
-    dated_reviews = reviews.filter(in_days("date", read_from, read_to)).withColumn("day", F.to_date("date"))
-    dated_tips = tips.filter(in_days("date", read_from, read_to)).withColumn("day", F.to_date("date"))
+    dated_reviews, dated_tips = (
+        event_rows(events, lambda c: in_days(c, read_from, read_to)).withColumn("day", F.to_date("date"))
+        for events in (reviews, tips)
+    )
 
     ids = dated_reviews.select(
         "business_id", "day", F.explode(_tagged({REVIEW_COUNT: "review_id", DISTINCT_USERS_REVIEW: "user_id"})).alias("t")
@@ -149,27 +154,24 @@ class _Slots:
     def __init__(self, first: dt.date, last: dt.date, months: list[dt.date], daily: bool):
         self.first, self.last, self.months, self.daily = first, last, months, daily
 
+    def wants(self, day: Column, granularity: Column) -> Column:
+        return F.when(granularity == DAILY, self._wants_day(day)).otherwise(self._wants_month(day))
+
     def of_day(self, day: Column) -> Column:
         """Array of slots for one day, its own and its month's."""
         return F.array_compact(F.array(self._daily_slot(day), self._monthly_slot(F.last_day(day))))
 
-    def of_day_set(self, days: Column, month: Column) -> Column:
-        """Array of slots for an integer whose bit d-1 says that day d of `month` occurs."""
-        month_start = F.trunc(month, "MM")
-        each_day = F.transform(
-            F.filter(F.sequence(F.lit(0), F.lit(30)), lambda i: F.getbit(days, i) == 1),
-            lambda i: self._daily_slot(F.date_add(month_start, i)),
-        )
-        monthly = F.array(self._monthly_slot(month))
-        return F.array_compact(F.concat(each_day, monthly) if self.daily else monthly)
-
     def _daily_slot(self, day: Column) -> Column:
-        wanted = day.between(F.lit(self.first), F.lit(self.last)) & F.lit(self.daily)
-        return F.when(wanted, F.struct(day.alias("day"), F.lit(DAILY).alias("granularity")))
+        return F.when(self._wants_day(day), F.struct(day.alias("day"), F.lit(DAILY).alias("granularity")))
 
     def _monthly_slot(self, month: Column) -> Column:
-        wanted = month.isin(self.months) if self.months else F.lit(False)
-        return F.when(wanted, F.struct(month.alias("day"), F.lit(MONTHLY).alias("granularity")))
+        return F.when(self._wants_month(month), F.struct(month.alias("day"), F.lit(MONTHLY).alias("granularity")))
+
+    def _wants_day(self, day: Column) -> Column:
+        return day.between(F.lit(self.first), F.lit(self.last)) if self.daily else F.lit(False)
+
+    def _wants_month(self, month: Column) -> Column:
+        return month.isin(self.months) if self.months else F.lit(False)
 
 
 def _tagged(ids: Mapping[int, str]) -> Column:
@@ -177,18 +179,24 @@ def _tagged(ids: Mapping[int, str]) -> Column:
 
 
 def _distinct_parts(ids: DataFrame, slots: _Slots) -> DataFrame:
+    """Distinct ids per business, for each day and for the month."""
     per_id = (
         ids.withColumn("month", F.last_day("day"))
         .groupBy("business_id", "month", F.col("t.measure").alias("measure"), F.col("t.id").alias("id"))
         .agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.dayofmonth("day") - 1)).alias("days"))
     )
-    # A null id opens its group (the business had activity) without being counted.
-    slot = F.explode(slots.of_day_set(F.col("days"), F.col("month"))).alias("s")
-    return (
-        per_id.select("business_id", "measure", "id", slot)
-        .groupBy("business_id", "s.day", "s.granularity", "measure")
-        .agg(F.count("id").cast("double").alias("units"))
+    counted = per_id.groupBy("business_id", "month", "measure").agg(
+        F.count("id").alias("in_month"), *[F.sum(F.getbit("days", F.lit(i))).alias(f"on_{i}") for i in range(31)]
+    )
+    rows = [f"{MONTHLY}, 0, in_month", *[f"{DAILY}, {i}, on_{i}" for i in range(31)]]
+    narrow = counted.select(
+        "business_id", "month", "measure", F.expr(f"stack(32, {', '.join(rows)}) AS (granularity, offset, n)")
+    ).filter(F.col("n") > 0)
+    day = F.when(F.col("granularity") == MONTHLY, F.col("month")).otherwise(
+        F.date_add(F.trunc("month", "MM"), F.col("offset"))
     )
+    dated = narrow.select("business_id", day.alias("day"), "granularity", "measure", F.col("n").cast("double").alias("units"))
+    return dated.filter(slots.wants(F.col("day"), F.col("granularity")))
 
 
 def _sum_parts(reviews: DataFrame, tips: DataFrame, slots: _Slots) -> DataFrame:

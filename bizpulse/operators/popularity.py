@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from bizpulse.functions.dates import as_date, in_months, is_month_end, period_month
+from bizpulse.functions.dates import as_date, event_rows, in_months, is_month_end, period_month
 from bizpulse.functions.scoring import WEIGHTS, min_max_normalize, popularity_score, recency_boost
 from bizpulse.operators.ranking import rank_within
 from bizpulse.operators.silver import latest_per_key
@@ -98,8 +98,10 @@ def popularity_inputs(
         F.col("day").isin(days) & in_months("checkin_date", days) & (F.last_day("checkin_date") == F.col("day"))
     )
     activity = business_activity(
-        reviews.filter(in_months("date", days)).withColumn("day", F.last_day("date")),
-        tips.filter(in_months("date", days)).withColumn("day", F.last_day("date")),
+        *[
+            event_rows(events, lambda c: in_months(c, days)).withColumn("day", F.last_day("date"))
+            for events in (reviews, tips)
+        ],
         own_month,
         by=["business_id", "day"],
     )

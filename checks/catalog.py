@@ -20,6 +20,7 @@ from bizpulse.schemas import (
     MEASURE_CODES_DDL,
     MONTHLY,
     POPULARITY_KEY,
+    RAW_TABLES,
     raw_schema,
 )
 from bizpulse.session import scratch_path
@@ -44,36 +45,49 @@ def cleaned(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return silver.clean(table, raw(spark, sf, table))
 
 
-def popularity_of(spark: SparkSession, sf: str, months: list[str]) -> DataFrame:
-    return popularity.business_popularity(*popularity_sources(spark, sf, months), months, digits=DIGITS)
+_stored: dict[tuple[str, str], str] = {}
 
 
-def popularity_sources(spark: SparkSession, sf: str, months: list[str]) -> list[DataFrame]:
-    return [
-        silver.stamp_run_days(cleaned(spark, sf, "business"), months),
-        cleaned(spark, sf, "review"),
-        cleaned(spark, sf, "tip"),
-        silver.stamp_run_days(cleaned(spark, sf, "checkin"), months),
-    ]
+def stored(spark: SparkSession, sf: str, table: str) -> str:
+    """Path of a silver or gold lake table, built once per session and data folder from the given tables."""
+    key = (spark.sparkContext.applicationId, f"{sf}/{table}")
+    if key not in _stored:
+        path = scratch_path(spark, table)
+        if table in RAW_TABLES:
+            rows, by = silver.silver_snapshot(table, raw(spark, sf, table), MONTHS, full_load=True), ["day"]
+        else:
+            rows = fact_of(spark, sf) if table == "fact" else popularity_of(spark, sf, MONTHS)
+            by = list(GOLD_PARTITIONS)
+        lake.write_table(rows, path, "overwrite", by, cluster_by=["business_id"] * ("business_id" in rows.columns), balance=True)
+        _stored[key] = path
+    return _stored[key]
 
 
-def fact_of(spark: SparkSession, sf: str) -> DataFrame:
-    return facts.fact_for_range(cleaned(spark, sf, "review"), cleaned(spark, sf, "tip"), FIRST_DAY, LAST_DAY)
+def silver_table(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    return readers.read_table(spark, stored(spark, sf, table))
 
 
-_gold: dict[tuple[str, str], tuple[str, str]] = {}
+def snapshot(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    """One run day's copy of a snapshot table."""
+    return silver_table(spark, sf, table).filter(F.col("day") == F.lit(MONTH_END).cast("date")).drop("day")
 
 
 def gold(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """The fact and popularity tables as stored lake tables; built once per session from the given tables."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _gold:
-        paths = scratch_path(spark, "gold-fact"), scratch_path(spark, "gold-popularity")
-        for df, path in zip((fact_of(spark, sf), popularity_of(spark, sf, MONTHS)), paths):
-            lake.write_table(df, path, "overwrite", GOLD_PARTITIONS, cluster_by=["business_id"], balance=True)
-        _gold[key] = paths
-    fact_path, popularity_path = _gold[key]
-    return readers.read_table(spark, fact_path), readers.read_table(spark, popularity_path)
+    """The stored fact and popularity tables."""
+    fact, scores = (readers.read_table(spark, stored(spark, sf, t)) for t in ("fact", "popularity"))
+    return fact, scores
+
+
+def popularity_sources(spark: SparkSession, sf: str) -> list[DataFrame]:
+    return [silver_table(spark, sf, t) for t in ("business", "review", "tip", "checkin")]
+
+
+def popularity_of(spark: SparkSession, sf: str, months: list[str]) -> DataFrame:
+    return popularity.business_popularity(*popularity_sources(spark, sf), months, digits=DIGITS)
+
+
+def fact_of(spark: SparkSession, sf: str) -> DataFrame:
+    return facts.fact_for_range(silver_table(spark, sf, "review"), silver_table(spark, sf, "tip"), FIRST_DAY, LAST_DAY)
 
 
 def monthly_fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,12 +109,12 @@ def business_popularity_all_months(spark, sf):
 
 @query
 def popularity_inputs(spark, sf):
-    return popularity.popularity_inputs(*popularity_sources(spark, sf, [MONTH_END]), [MONTH_END])
+    return popularity.popularity_inputs(*popularity_sources(spark, sf), [MONTH_END])
 
 
 @query
 def popularity_score(spark, sf):
-    inputs = popularity.popularity_inputs(*popularity_sources(spark, sf, MONTHS), MONTHS)
+    inputs = popularity.popularity_inputs(*popularity_sources(spark, sf), MONTHS)
     parts = ["norm_stars", "norm_review_count", "norm_checkin_count", "norm_tip_compliments", "recency_boost"]
     scored = popularity.score_inputs(inputs, digits=DIGITS)
     return scored.select("business_id", "day", *[F.round(p, DIGITS).alias(p) for p in parts], "popularity_score")
@@ -108,41 +122,43 @@ def popularity_score(spark, sf):
 
 @query
 def recency_boost_(spark, sf):
-    last = cleaned(spark, sf, "review").groupBy("business_id").agg(F.max("date").alias("last_review_date"))
+    last = silver_table(spark, sf, "review").groupBy("business_id").agg(F.max("date").alias("last_review_date"))
     boost = recency_boost(F.col("last_review_date"), F.lit(LAST_DAY).cast("date"))
     return last.withColumn("recency_boost", F.round(boost, DIGITS))
 
 
 @query
 def review_stats(spark, sf):
-    return popularity.review_stats(cleaned(spark, sf, "review"))
+    return popularity.review_stats(silver_table(spark, sf, "review"))
 
 
 @query
 def checkin_counts(spark, sf):
-    return popularity.checkin_counts(cleaned(spark, sf, "checkin"))
+    return popularity.checkin_counts(snapshot(spark, sf, "checkin"))
 
 
 @query
 def compliment_sums(spark, sf):
-    return popularity.compliment_sums(cleaned(spark, sf, "tip"))
+    return popularity.compliment_sums(silver_table(spark, sf, "tip"))
 
 
 @query
 def business_activity(spark, sf):
-    return popularity.business_activity(*[cleaned(spark, sf, t) for t in ("review", "tip", "checkin")])
+    return popularity.business_activity(
+        silver_table(spark, sf, "review"), silver_table(spark, sf, "tip"), snapshot(spark, sf, "checkin")
+    )
 
 
 @query
 def min_max_normalize_(spark, sf):
-    users = cleaned(spark, sf, "user").select("user_id", "fans", "average_stars", F.lit(7).alias("constant"))
+    users = snapshot(spark, sf, "user").select("user_id", "fans", "average_stars", F.lit(7).alias("constant"))
     columns = {"fans": "norm_fans", "average_stars": "norm_stars", "constant": "norm_constant"}
     return min_max_normalize(users, columns).select("user_id", *columns.values())
 
 
 @query
 def city_rank(spark, sf):
-    stars = cleaned(spark, sf, "business").select("business_id", "city", "stars")
+    stars = snapshot(spark, sf, "business").select("business_id", "city", "stars")
     return rank_within(stars, ["city"], "stars", "city_rank")
 
 
@@ -224,25 +240,24 @@ def quality_counts(name: str, df: DataFrame, dated: str) -> DataFrame:
 
 @query
 def latest_per_key(spark, sf):
-    tips = cleaned(spark, sf, "tip").filter(F.col("date").isNotNull()).select("business_id", "user_id", "date")
+    tips = silver_table(spark, sf, "tip").filter(F.col("date").isNotNull()).select("business_id", "user_id", "date")
     return silver.latest_per_key(tips, ["business_id"], newest="date")
 
 
 @query
 def range_filter_tip(spark, sf):
-    return silver.date_range_filter(cleaned(spark, sf, "tip"), "date", "2024-01-10", "2024-01-20")
+    return silver.date_range_filter(silver_table(spark, sf, "tip").drop("day"), "date", "2024-01-10", "2024-01-20")
 
 
 @query
 def calendar_(spark, sf):
-    bounds = cleaned(spark, sf, "review").agg(F.min("date").alias("start"), F.max("date").alias("end"))
+    bounds = silver_table(spark, sf, "review").agg(F.min("date").alias("start"), F.max("date").alias("end"))
     return calendar(bounds)
 
 
 @query
 def scan_filter_project(spark, sf):
-    gold(spark, sf)
-    path = _gold[(spark.sparkContext.applicationId, sf)][1]
+    path = stored(spark, sf, "popularity")
     conditions = [F.col("day") == F.lit(MONTH_END).cast("date"), F.col("city_rank") <= 3]
     return readers.read_table(spark, path, ["business_id", "name", "popularity_score"], conditions)
 
@@ -252,33 +267,33 @@ def scan_filter_project(spark, sf):
 
 @query
 def review_metrics(spark, sf):
-    return facts.review_metrics(cleaned(spark, sf, "review"))
+    return facts.review_metrics(silver_table(spark, sf, "review"))
 
 
 @query
 def tip_metrics(spark, sf):
-    return facts.tip_metrics(cleaned(spark, sf, "tip"))
+    return facts.tip_metrics(silver_table(spark, sf, "tip"))
 
 
 @query
 def metrics_narrow(spark, sf):
-    return facts.to_narrow(facts.tip_metrics(cleaned(spark, sf, "tip")), ["business_id"], facts.TIP_MEASURES)
+    return facts.to_narrow(facts.tip_metrics(silver_table(spark, sf, "tip")), ["business_id"], facts.TIP_MEASURES)
 
 
 @query
 def extra_measures(spark, sf):
-    wide = facts.extra_measures(cleaned(spark, sf, "review"), cleaned(spark, sf, "tip"))
+    wide = facts.extra_measures(silver_table(spark, sf, "review"), silver_table(spark, sf, "tip"))
     return wide.withColumns({c: F.round(c, DIGITS) for c in ("positive_pct", "negative_pct")})
 
 
 @query
 def fact_review_tip_daily(spark, sf):
-    return facts.fact_for_period(cleaned(spark, sf, "review"), cleaned(spark, sf, "tip"), "2024-01-15", 0)
+    return facts.fact_for_period(silver_table(spark, sf, "review"), silver_table(spark, sf, "tip"), "2024-01-15", 0)
 
 
 @query
 def fact_review_tip_monthly(spark, sf):
-    return facts.fact_for_period(cleaned(spark, sf, "review"), cleaned(spark, sf, "tip"), MONTH_END, 2)
+    return facts.fact_for_period(silver_table(spark, sf, "review"), silver_table(spark, sf, "tip"), MONTH_END, 2)
 
 
 @query
@@ -363,10 +378,9 @@ def add_column_default(spark, sf):
 
 @query
 def register_table(spark, sf):
-    gold(spark, sf)
     app = spark.sparkContext.applicationId.replace("-", "_")
     table = f"popularity_{app}_{abs(hash(sf))}"
-    lake.register_table(spark, _gold[(spark.sparkContext.applicationId, sf)][1], table, view=f"v_{table}")
+    lake.register_table(spark, stored(spark, sf, "popularity"), table, view=f"v_{table}")
     return spark.sql(f"SELECT period_month, count(*) AS row_count FROM v_{table} GROUP BY period_month")
 
 
