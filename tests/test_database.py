@@ -1,0 +1,55 @@
+import pytest
+from conftest import rows
+
+from bizpulse.sources import database as db
+
+
+class Connection:
+    """Stands in for a JDBC connection; no database is involved."""
+
+    def __init__(self, fail_on=None):
+        self.log, self.fail_on = [], fail_on
+
+    def __getattr__(self, name):
+        return lambda *a: self.log.append(name)
+
+    def createStatement(self):
+        outer = self
+
+        class Statement:
+            def executeUpdate(self, text):
+                if outer.fail_on and outer.fail_on in text:
+                    raise RuntimeError("refused")
+                outer.log.append(text.split()[0])
+
+            def close(self):
+                pass
+
+        return Statement()
+
+
+def test_statements_delete_then_insert_null_safe():
+    delete, insert, drop = db.replace_statements("gold.t", "gold.t_staging", ["day", "v"], ["day"])
+    assert delete == "DELETE FROM gold.t t WHERE EXISTS (SELECT 1 FROM gold.t_staging s WHERE s.day IS NOT DISTINCT FROM t.day)"
+    assert insert == "INSERT INTO gold.t (day, v) SELECT day, v FROM gold.t_staging"
+    assert drop == "DROP TABLE gold.t_staging"
+    with pytest.raises(ValueError, match="not a plain SQL name"):
+        db.replace_statements("t; DROP", "s", ["a"], ["a"])
+
+
+def test_one_transaction():
+    fine = Connection()
+    db.run_in_transaction(fine, ["DELETE x", "INSERT y"])
+    assert fine.log == ["setAutoCommit", "DELETE", "INSERT", "commit", "close"]
+    failing = Connection(fail_on="INSERT")
+    with pytest.raises(RuntimeError):
+        db.run_in_transaction(failing, ["DELETE x", "INSERT y"])
+    assert failing.log == ["setAutoCommit", "DELETE", "rollback", "close"]
+
+
+def test_types_url_and_switch(spark):
+    df = spark.createDataFrame([("2024-01-31", "2", "0.5")], "day string, granularity string, units string")
+    assert dict(db.typed_for_database(df).dtypes) == {"day": "date", "granularity": "int", "units": "double"}
+    assert len(rows(db.typed_for_database(df))) == 1
+    assert db.jdbc_url("h", 5432, "d") == "jdbc:postgresql://h:5432/d"
+    assert db.replace_slice_in_database(df, "", "", "", "", [], enabled=False) is None
