@@ -13,7 +13,7 @@ from bizpulse.functions.scoring import WEIGHTS, min_max_normalize, popularity_sc
 from bizpulse.operators.ranking import rank_within
 from bizpulse.operators.silver import latest_per_key
 from bizpulse.schemas import MONTHLY, POPULARITY_COLUMNS
-from bizpulse.session import materialize
+from bizpulse.session import materialize, observed
 
 # Metric column -> its normalised column.
 NORMALIZED = {
@@ -158,7 +158,7 @@ def business_popularity(
     )
     scored = score_inputs(inputs, weights, digits)
     return (
-        rank_within(scored, ["day", *rank_by], "popularity_score", "city_rank", rows=size.get["rows"])
+        rank_within(scored, ["day", *rank_by], "popularity_score", "city_rank", rows=observed(size).get("rows", 0))
         .withColumn("period_month", period_month(F.col("day")))
         .withColumn("granularity", F.lit(MONTHLY))
         .select(*POPULARITY_COLUMNS)

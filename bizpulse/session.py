@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -55,3 +56,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def observed(seen: Observation) -> dict:
+    """Metrics of a finished write. Empty when the optimizer saw that the frame has no rows and dropped the plan,
+    metrics included; reading them then fails inside Spark."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError as error:
+        if "toPyRow" in str(error):
+            return {}
+        raise

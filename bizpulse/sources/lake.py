@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bizpulse.operators.merging import absent_rows, one_per_key, replace_slice_rows, upsert_rows
-from bizpulse.session import materialize
+from bizpulse.session import materialize, observed
 from bizpulse.sources.readers import DEFAULT_FORMAT, read_table_if_exists
 
 log = logging.getLogger(__name__)
@@ -64,7 +64,8 @@ def write_counted(df: DataFrame, writer, not_null: Sequence[str] = (), rejected:
         metrics.append(F.count_if(rejected).alias("rejected"))
     seen = Observation()
     writer(df.observe(seen, *metrics))
-    return dict(seen.get)
+    names = ["rows", *[f"null_{c}" for c in not_null], *(["rejected"] if rejected is not None else [])]
+    return {**dict.fromkeys(names, 0), **observed(seen)}
 
 
 def _partition_values(df: DataFrame, columns: Sequence[str]) -> list[dict]:
@@ -150,7 +151,7 @@ def replace_slice(
             seen, F.collect_set(F.struct(*partition_by)).alias("parts")
         )
         overwrite_partitions(checked, path, partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
-        filled = [row.asDict() for row in seen.get["parts"]]
+        filled = [row.asDict() for row in observed(seen).get("parts", [])]
         _empty_partitions(target, path, partition_by, [s for s in slices if dict(s) not in filled], fmt)
         return
     staged = materialize(source, "slice-source")
