@@ -17,9 +17,9 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     missing = [k for k in keys if k not in df.columns]
     if missing or not keys:
         raise ValueError(f"key columns missing from the source: {', '.join(missing) or 'none given'}")
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*rest, F.lit(True).alias("_present"))
-    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"), F.any_value(row).alias("_row"))
+    # With one row per key, any value of a column is that row's value.
+    rest = [F.any_value(F.col(c)).alias(c) for c in df.columns if c not in keys]
+    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"), *rest)
     shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     checked = grouped.filter(
@@ -27,7 +27,7 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         .when(any_null, _fail(F.concat(F.lit("null in source key: "), shown)))
         .otherwise(F.lit(True))
     )
-    return checked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    return checked.select(*df.columns)
 
 
 def _fail(message: Column) -> Column:

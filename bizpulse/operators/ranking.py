@@ -8,14 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Score slices for the distributed rank: no task sorts more than about 1/SLICES of all distinct scores.
-SLICES = 256
+# Score slices for the distributed rank: no task sorts more than about one slice's share of all distinct scores.
+MIN_SLICES, MAX_SLICES, SLICE_ROWS = 256, 4096, 1_000_000
 # Up to this many rows in all, any one group fits a single sort task and a plain window is cheaper.
 WINDOW_ROWS = 2_000_000
 
 
 def rank_within(
-    df: DataFrame, by: Sequence[str], score: str, out: str = "rank", rows: int | None = None, slices: int = SLICES
+    df: DataFrame, by: Sequence[str], score: str, out: str = "rank", rows: int | None = None, slices: int | None = None
 ) -> DataFrame:
     """`rank()` by `score` descending within `by`, equal scores sharing a rank, nulls in `by` forming one group.
 
@@ -27,11 +27,15 @@ def rank_within(
     3. a rank is 1 + the rows in higher slices (a running sum over at most `slices` + 1 rows per group)
        + the rows above it inside its slice (a running sum over one slice).
 
+    The rank goes back to the rows by a join on (`by`, `score`). A hot tie makes one large join key there, which AQE
+    splits at run time, as its other side holds a single row.
+
     The sliced way reads `df` once for the ranks, once for the quantiles and once for the result, so hand in a frame
     that is cheap to rescan.
     """
     if rows is not None and rows <= WINDOW_ROWS:
         return df.withColumn(out, F.rank().over(Window.partitionBy(*by).orderBy(F.col(score).desc_nulls_last())))
+    slices = slices or min(MAX_SLICES, max(MIN_SLICES, (rows or 0) // SLICE_ROWS))
     group = list(by)
     ties = df.groupBy(*group, score).agg(F.count(F.lit(1)).alias("_n"))
     steps = ", ".join(f"{i / slices:.6f}D" for i in range(1, slices))

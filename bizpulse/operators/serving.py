@@ -11,12 +11,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bizpulse.operators.quality import duplicate_keys, missing_fields
 from bizpulse.schemas import (
     AVG_STARS,
     DAILY,
     DISTINCT_USERS_REVIEW,
     DISTINCT_USERS_TIP,
     MONTHLY,
+    POPULARITY_KEY,
     REVIEW_COUNT,
     TIP_COUNT,
     TOTAL_USEFUL,
@@ -236,13 +238,17 @@ def coverage_stats(popularity: DataFrame) -> DataFrame:
 
 
 def create_views(fact: DataFrame, popularity: DataFrame) -> None:
-    """Register the gold tables and the standing reports as temporary views for SQL users."""
+    """Register the gold tables, the standing reports and the quality checks as temporary views for SQL users."""
     views = {
         "fact_review_tip_metrics": fact,
         "business_popularity": popularity,
         "v_top_businesses_by_city": top_businesses_by_city(popularity),
         "v_latest_review_metrics": latest_review_metrics(fact),
         "v_monthly_business_summary": monthly_business_summary(fact, popularity),
+        "v_dq_duplicate_business_popularity": duplicate_keys(popularity, POPULARITY_KEY),
+        "v_dq_missing_fields": missing_fields(
+            {"business_popularity": (popularity, ["business_id"]), "fact_review_tip_metrics": (fact, ["units"])}
+        ),
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)

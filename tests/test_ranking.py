@@ -2,6 +2,7 @@ import random
 
 import pytest
 from conftest import plan_of, rows
+from pyspark.sql import functions as F
 
 from bizpulse.operators.ranking import rank_within
 
@@ -55,3 +56,33 @@ def test_large_frames_never_sort_a_city_in_one_window(spark):
     sliced = plan_of(rank_within(df, ["city"], "score", rows=10**9))
     assert "rank(score" not in sliced and "_slice" in sliced
     assert "rank(score" in plan_of(rank_within(df, ["city"], "score", rows=50))
+
+
+def test_a_hot_tie_is_split_at_run_time(spark, folder):
+    """A third of all rows share one city and one score; thresholds are lowered to the size of the test."""
+    lowered = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in lowered}
+    hot = F.col("id") % 3 == 0
+    path = f"{folder}/rows"
+    spark.range(0, 150_000, 1, 8).select(
+        F.col("id").cast("int").alias("id"),
+        F.when(hot, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 500)).alias("city"),
+        F.when(hot, 0.0).otherwise(F.rand(1)).alias("score"),
+    ).write.parquet(path)
+    try:
+        for k, v in lowered.items():
+            spark.conf.set(k, v)
+        ranked = rank_within(spark.read.parquet(path), ["city"], "score")
+        assert len(ranked.collect()) == 150_000
+        assert "SortMergeJoin(skew=true)" in plan_of(ranked)
+        assert rows(ranked.filter("city = 'hot'").select("rank").distinct()) == [(1,)]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

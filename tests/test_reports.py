@@ -115,3 +115,13 @@ def test_missing_fields_and_counts(scores, fact):
     got = quality.missing_fields({"p": (scores, ["business_id", "name"]), "f": (fact, ["units"])})
     assert rows(got) == [("f", 0, "units"), ("p", 0, "business_id"), ("p", 0, "name")]
     assert rows(quality.table_row_counts({"p": scores, "f": fact})) == [("f", 8), ("p", 4)]
+
+
+def test_views_for_sql_users(spark, fact, scores):
+    serving.create_views(fact, scores)
+    assert spark.sql("SELECT * FROM v_dq_duplicate_business_popularity").count() == 0
+    assert spark.sql("SELECT sum(null_count) AS n FROM v_dq_missing_fields").first().n == 0
+    latest = spark.sql("SELECT business_id FROM v_top_businesses_by_city WHERE city = 'X' ORDER BY city_rank")
+    assert [r.business_id for r in latest.collect()] == ["b1", "b2"]
+    joined = spark.sql("SELECT name, total_reviews FROM v_monthly_business_summary WHERE city_rank = 1 AND period_month = '2024-01'")
+    assert rows(joined) == [("One", 10.0)]
