@@ -45,18 +45,27 @@ def slice_keys(df: DataFrame, slice_columns: Sequence[str]) -> DataFrame:
     return df.select(*slice_columns).distinct()
 
 
+def _match_slices(df: DataFrame, slices: DataFrame, slice_columns: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join with the slices; null matches null."""
+    renamed = slice_keys(slices, slice_columns).toDF(*[f"_s_{c}" for c in slice_columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in slice_columns])
+    return df.join(renamed, same, how)
+
+
+def rows_in_slices(df: DataFrame, slices: DataFrame, slice_columns: Sequence[str]) -> DataFrame:
+    """Rows whose slice values are among the slices."""
+    return _match_slices(df, slices, slice_columns, "left_semi")
+
+
 def replace_slice_rows(
     target: DataFrame, source: DataFrame, slice_columns: Sequence[str], slices: DataFrame | None = None
 ) -> DataFrame:
     """Target rows outside the slices, plus all source rows.
 
     The slices default to those in the source. Pass them to clear a slice for which the source has no rows left.
-    Null slice values match null.
     """
-    named = slice_keys(source if slices is None else slices, slice_columns)
-    renamed = named.toDF(*[f"_s_{c}" for c in slice_columns])
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in slice_columns])
-    return target.join(renamed, same, "left_anti").unionByName(source, allowMissingColumns=True)
+    kept = _match_slices(target, source if slices is None else slices, slice_columns, "left_anti")
+    return kept.unionByName(source, allowMissingColumns=True)
 
 
 def absent_rows(target: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,13 +8,20 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from bizpulse.operators.merging import absent_rows, one_per_key, replace_slice_rows, upsert_rows
+from bizpulse.operators.merging import (
+    absent_rows,
+    one_per_key,
+    replace_slice_rows,
+    rows_in_slices,
+    slice_keys,
+    upsert_rows,
+)
 from bizpulse.session import materialize, observed
 from bizpulse.sources.readers import DEFAULT_FORMAT, read_table_if_exists
 
@@ -77,10 +84,55 @@ def _is_one_of(parts: Sequence[Mapping]) -> Column:
     """Partition predicate; literal values, so unneeded directories are not even listed."""
     if not parts:
         return F.lit(False)
+    if all(len(p) == 1 for p in parts):
+        (column,) = parts[0]
+        listed = F.col(column).isin([p[column] for p in parts if p[column] is not None])
+        return listed | F.col(column).isNull() if any(p[column] is None for p in parts) else listed
     one = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in p.items()]) for p in parts]
     return reduce(lambda a, b: a | b, one)
 
 
+def _rewrite(
+    target: DataFrame,
+    merge: Callable[[DataFrame], DataFrame],
+    touched: Sequence[Mapping],
+    path: str,
+    partition_by: Sequence[str],
+    fmt: str,
+    cluster_by: Sequence[str] = (),
+) -> None:
+    """Replace the touched partitions of a table by `merge` of their rows; clear those left without rows.
+
+    Other partitions are neither read nor written. A table without partitions is rewritten whole, by way of scratch.
+    """
+    if not partition_by:
+        whole = materialize(merge(target), "whole-table")
+        write_table(whole, path, "overwrite", fmt=fmt, cluster_by=cluster_by)
+        return
+    seen = Observation()
+    parts = F.collect_set(F.struct(*partition_by)).alias("parts")
+    merged = merge(target.filter(_is_one_of(touched))).observe(seen, parts)
+    overwrite_partitions(merged, path, partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
+    filled = _filled(seen, merged)
+    _empty_partitions(target, path, partition_by, [p for p in touched if dict(p) not in filled], fmt)
+
+
+def _filled(seen: Observation, written: DataFrame) -> list[dict]:
+    """Partitions a write filled. Without metrics only a frame that is known to be empty filled none; never guess, as
+    the partitions not listed here are cleared."""
+    metrics = observed(seen)
+    if "parts" in metrics:
+        return [row.asDict() for row in metrics["parts"]]
+    if written.isEmpty():
+        return []
+    raise RuntimeError("the write reported no metrics, so emptied partitions were not cleared")
+
+
+def _joined(*lists: Sequence[Mapping]) -> list[Mapping]:
+    """The lists in one, without repeats."""
+    return list({tuple(p.items()): p for some in lists for p in some}.values())
+
+
 def upsert(
     spark: SparkSession,
     source: DataFrame,
@@ -92,8 +144,8 @@ def upsert(
     """Update rows with a matching key, insert the others; create the table if there is none.
 
     Null or duplicate source keys fail the job before the table is touched. The source is staged once in shared
-    scratch. When the partition columns belong to the key, only the touched partitions are read and rewritten;
-    otherwise a row may move between partitions and the table is rewritten whole.
+    scratch. Rewritten are the partitions of the source and, when the key does not contain the partition columns and
+    a row may move, those in which its keys are found.
     """
     absent = [c for c in partition_by if c not in source.columns]
     if absent:
@@ -102,13 +154,13 @@ def upsert(
     staged = materialize(one_per_key(source, keys), "upsert-source")
     target = read_table_if_exists(spark, path, fmt)
     if target is None:
-        write_table(staged, path, "overwrite", partition_by, fmt=fmt)
-    elif partition_by and set(partition_by) <= set(keys):
-        touched = target.filter(_is_one_of(_partition_values(staged, partition_by)))
-        overwrite_partitions(upsert_rows(touched, staged, keys), path, partition_by, fmt=fmt)
-    else:
-        whole = materialize(upsert_rows(target, staged, keys), "upsert-table")
-        write_table(whole, path, "overwrite", partition_by, fmt=fmt)
+        write_table(staged, path, "overwrite", partition_by, fmt=fmt, balance=True)
+        return
+    touched = _partition_values(staged, partition_by) if partition_by else []
+    if partition_by and not set(partition_by) <= set(keys):
+        found = target.join(staged.select(*keys), list(keys), "left_semi")
+        touched = _joined(touched, _partition_values(found, partition_by))
+    _rewrite(target, lambda rows: upsert_rows(rows, staged, keys), touched, path, partition_by, fmt)
 
 
 def merge_into(source: DataFrame, table: str, keys: Sequence[str]) -> None:
@@ -151,16 +203,24 @@ def replace_slice(
             seen, F.collect_set(F.struct(*partition_by)).alias("parts")
         )
         overwrite_partitions(checked, path, partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
-        filled = [row.asDict() for row in observed(seen).get("parts", [])]
+        filled = _filled(seen, checked)
         _empty_partitions(target, path, partition_by, [s for s in slices if dict(s) not in filled], fmt)
         return
     staged = materialize(source, "slice-source")
-    named = None
-    if slices is not None:
+    if slices is None:
+        named = slice_keys(staged, slice_columns)
+    else:
         rows = [tuple(s[c] for c in slice_columns) for s in slices]
         named = spark.createDataFrame(rows, target.select(*slice_columns).schema)
-    whole = materialize(replace_slice_rows(target, staged, slice_columns, named), "slice-table")
-    write_table(whole, path, "overwrite", partition_by, fmt=fmt, cluster_by=cluster_by)
+    touched = []
+    if partition_by:
+        found = rows_in_slices(target, named, slice_columns)
+        touched = _joined(_partition_values(staged, partition_by), _partition_values(found, partition_by))
+    _rewrite(
+        target,
+        lambda rows: replace_slice_rows(rows, staged, slice_columns, named),
+        touched, path, partition_by, fmt, cluster_by,
+    )
 
 
 # Characters that partition directory names escape as %XX.

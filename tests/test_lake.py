@@ -125,6 +125,17 @@ def test_replace_slice_with_text_partitions_and_null(spark, folder):
     assert rows(readers.read_table(spark, path)) == [("4", "plain")]
 
 
+def test_slice_that_is_no_partition_rewrites_only_where_it_lies(spark, make, folder):
+    path = f"{folder}/t"
+    lake.replace_slice(spark, make([("x", A, 1), ("y", A, 2), ("x", B, 3), ("y", C, 4)]), path, ["id"], partition_by=["day"])
+    untouched = sorted(os.listdir(f"{path}/day=2024-01-03"))
+    lake.replace_slice(spark, make([("x", A, 9)]), path, ["id"], partition_by=["day"])
+    assert read(spark, path) == [("x", A, 9), ("y", A, 2), ("y", C, 4)]
+    assert sorted(os.listdir(f"{path}/day=2024-01-03")) == untouched
+    lake.replace_slice(spark, make([]), path, ["id"], [{"id": "y"}], ["day"])
+    assert read(spark, path) == [("x", A, 9)]
+
+
 def test_seed_keeps_existing_rows(spark, folder):
     path, ddl = f"{folder}/t", "id int, name string"
     lake.seed_rows(spark, spark.createDataFrame([(1, "mine")], ddl), path, ["id"])

@@ -29,7 +29,7 @@ def skewed(n=600, seed=3):
 
 
 @pytest.mark.parametrize("rows_known", [None, 600])
-@pytest.mark.parametrize("slices", [2, 7, 64])
+@pytest.mark.parametrize("slices", [2, 3, 7, 64, 100])
 def test_matches_brute_force(spark, rows_known, slices):
     data = skewed()
     got = rank_within(spark.createDataFrame(data, DDL), ["city"], "score", rows=rows_known, slices=slices)
