@@ -112,7 +112,7 @@ def fact_for_range(
     monthly: bool = True,
     force_months: Sequence[str | dt.date] = (),
 ) -> DataFrame:
-    """Every daily and monthly fact row of the run days `start` to `end` in one pass over the events.
+    """Every daily and monthly fact row of the run days `start` to `end` in one job.
 
     Daily rows exist for each day in the range; monthly rows for each month that ends in it, or that is forced, and
     always cover the whole month. Equal to the union of `fact_for_period` over all those runs, but:
@@ -122,7 +122,7 @@ def fact_for_range(
       Counting the integers gives the month, counting each bit gives the days, so one shuffle, combined on the map
       side and spread over the ids however hot a business is, serves both granularities.
 
-    Ids must not be null, which silver guarantees.
+    Each of the two parts reads only its own columns of the events. Ids must not be null, which silver guarantees.
     """
     first, last = as_date(start), as_date(end)
     months = {month_end(m) for m in force_months}

@@ -81,14 +81,26 @@ def _partition_values(df: DataFrame, columns: Sequence[str]) -> list[dict]:
 
 
 def _is_one_of(parts: Sequence[Mapping]) -> Column:
-    """Partition predicate; literal values, so unneeded directories are not even listed."""
+    """Partition predicate of literal values, so unneeded directories are not even read.
+
+    The column with most values becomes one IN list per combination of the others: a year of days stays one lookup.
+    """
     if not parts:
         return F.lit(False)
-    if all(len(p) == 1 for p in parts):
-        (column,) = parts[0]
-        listed = F.col(column).isin([p[column] for p in parts if p[column] is not None])
-        return listed | F.col(column).isNull() if any(p[column] is None for p in parts) else listed
-    one = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in p.items()]) for p in parts]
+    columns = list(parts[0])
+    widest = max(columns, key=lambda c: len({p[c] for p in parts}))
+    grouped: dict[tuple, list] = {}
+    for part in parts:
+        grouped.setdefault(tuple((c, part[c]) for c in columns if c != widest), []).append(part[widest])
+
+    def listed(values: list) -> Column:
+        known = F.col(widest).isin([v for v in values if v is not None])
+        return known | F.col(widest).isNull() if None in values else known
+
+    one = [
+        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in others], listed(values))
+        for others, values in grouped.items()
+    ]
     return reduce(lambda a, b: a | b, one)
 
 
@@ -197,9 +209,10 @@ def replace_slice(
             overwrite_partitions(source, path, partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
             return
         # The write itself reports which partitions it filled and fails on a row outside the slices.
-        outside = F.when(~_is_one_of(slices), F.raise_error(F.lit("source row outside the given slices")).cast("boolean"))
+        inside = F.coalesce(_is_one_of(slices), F.lit(False))
+        refuse = F.raise_error(F.lit("source row outside the given slices")).cast("boolean")
         seen = Observation()
-        checked = source.filter(outside.otherwise(F.lit(True))).observe(
+        checked = source.filter(F.when(inside, F.lit(True)).otherwise(refuse)).observe(
             seen, F.collect_set(F.struct(*partition_by)).alias("parts")
         )
         overwrite_partitions(checked, path, partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
