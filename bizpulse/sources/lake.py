@@ -196,10 +196,16 @@ def replace_slice(
     """Delete the rows of the slices and insert all source rows.
 
     `slices` lists the slice values of this run, so a slice without source rows ends up empty; without it the slices
-    are those in the source. Slices that are exactly the partitions need no look at the target at all.
+    are those in the source. A source row outside the given slices fails the job, as the next run would not remove it.
+    Slices that are exactly the partitions need no look at the target at all; otherwise only partitions that hold rows
+    of the slices, or receive rows, are rewritten.
     """
-    if slices is not None and any(set(s) != set(slice_columns) for s in slices):
-        raise ValueError(f"every slice needs exactly the columns {list(slice_columns)}")
+    if slices is not None:
+        if any(set(s) != set(slice_columns) for s in slices):
+            raise ValueError(f"every slice needs exactly the columns {list(slice_columns)}")
+        inside = F.coalesce(_is_one_of(slices), F.lit(False))
+        refuse = F.raise_error(F.lit("source row outside the given slices")).cast("boolean")
+        source = source.filter(F.when(inside, F.lit(True)).otherwise(refuse))
     target = read_table_if_exists(spark, path, fmt)
     if target is None:
         write_table(source, path, "overwrite", partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
@@ -208,15 +214,11 @@ def replace_slice(
         if slices is None:
             overwrite_partitions(source, path, partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
             return
-        # The write itself reports which partitions it filled and fails on a row outside the slices.
-        inside = F.coalesce(_is_one_of(slices), F.lit(False))
-        refuse = F.raise_error(F.lit("source row outside the given slices")).cast("boolean")
+        # The write itself reports which partitions it filled.
         seen = Observation()
-        checked = source.filter(F.when(inside, F.lit(True)).otherwise(refuse)).observe(
-            seen, F.collect_set(F.struct(*partition_by)).alias("parts")
-        )
-        overwrite_partitions(checked, path, partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
-        filled = _filled(seen, checked)
+        watched = source.observe(seen, F.collect_set(F.struct(*partition_by)).alias("parts"))
+        overwrite_partitions(watched, path, partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
+        filled = _filled(seen, watched)
         _empty_partitions(target, path, partition_by, [s for s in slices if dict(s) not in filled], fmt)
         return
     staged = materialize(source, "slice-source")
