@@ -47,11 +47,13 @@ def in_days(column: str, start: str | dt.date, end: str | dt.date) -> Column:
     return (F.col(column) >= F.lit(as_date(start))) & (F.col(column) < F.lit(as_date(end) + ONE_DAY))
 
 
-def event_rows(df: DataFrame, within: Callable[[str], Column], column: str = "date") -> DataFrame:
-    """Event rows whose `column` meets a day or month range. A stored event table also has that day as its partition
-    column `day`; the same range on it prunes directories and loses no row."""
+def event_rows(
+    df: DataFrame, within: Callable[[str], Column], column: str = "date", by_event_day: bool = False
+) -> DataFrame:
+    """Event rows whose `column` meets a day or month range. With `by_event_day` the table is stored by the event's own day
+    in `day`; the same range on it prunes directories and loses no row. Without, a `day` column is not looked at."""
     wanted = within(column)
-    return df.filter(wanted & within("day") if "day" in df.columns else wanted)
+    return df.filter(wanted & within("day") if by_event_day else wanted)
 
 
 def in_months(column: str, ends: Iterable[str | dt.date]) -> Column:

@@ -36,15 +36,15 @@ def popularity_score(
 def min_max_normalize(df: DataFrame, columns: Mapping[str, str], by: Sequence[str] = ()) -> DataFrame:
     """Scale each source column to [0, 1] under its target name; a constant or all-null column becomes 0.0.
 
-    All bounds come from one aggregate. Without `by` it is a scalar subquery. With `by` it holds one row per period
-    and is broadcast, so `by` must be columns with few values that the caller controls (the run days), never data.
+    All bounds come from one aggregate. Without `by` it is a scalar subquery. With `by` it holds one row per group and is
+    joined without a hint: adaptive execution broadcasts it if it is small and splits hot groups if not.
     """
     bounds = F.struct(
         *[F.min(c).cast("double").alias(f"{c}_lo") for c in columns],
         *[F.max(c).cast("double").alias(f"{c}_hi") for c in columns],
     ).alias("_bounds")
     if by:
-        framed = df.join(F.broadcast(df.groupBy(*by).agg(bounds)), list(by))
+        framed = df.join(df.groupBy(*by).agg(bounds), list(by))
     else:
         framed = df.withColumn("_bounds", df.agg(bounds).scalar())
 

@@ -81,11 +81,12 @@ def to_narrow(wide: DataFrame, keys: Sequence[str], measures: Mapping[str, int])
 
 
 def fact_for_period(
-    reviews: DataFrame, tips: DataFrame, run_day: str | dt.date, granularity: int
+    reviews: DataFrame, tips: DataFrame, run_day: str | dt.date, granularity: int, by_event_day: bool = False
 ) -> DataFrame:
     """Narrow fact rows of one run day: that day alone, or its whole month when `granularity` is monthly.
 
-    Monthly rows are stamped with the month end, so a month has one version whichever day asks for it.
+    Monthly rows are stamped with the month end, so a month has one version whichever day asks for it. `by_event_day`
+    says that the events are stored by their own day, in a column `day` (see `event_rows`).
     """
     day = as_date(run_day)
     if granularity == DAILY:
@@ -95,7 +96,9 @@ def fact_for_period(
     else:
         raise ValueError(f"granularity must be {DAILY} or {MONTHLY}, not {granularity}")
     key = ["business_id"]
-    own_reviews, own_tips = (event_rows(events, lambda c: in_days(c, start, end)) for events in (reviews, tips))
+    own_reviews, own_tips = (
+        event_rows(events, lambda c: in_days(c, start, end), by_event_day=by_event_day) for events in (reviews, tips)
+    )
     narrow = to_narrow(review_metrics(own_reviews), key, REVIEW_MEASURES).unionByName(
         to_narrow(tip_metrics(own_tips), key, TIP_MEASURES)
     )
@@ -111,6 +114,7 @@ def fact_for_range(
     daily: bool = True,
     monthly: bool = True,
     force_months: Sequence[str | dt.date] = (),
+    by_event_day: bool = False,
 ) -> DataFrame:
     """Every daily and monthly fact row of the run days `start` to `end` in one job.
 
@@ -135,7 +139,7 @@ def fact_for_range(
     slots = _Slots(first, last, sorted(months), daily)
 
     dated_reviews, dated_tips = (
-        event_rows(events, lambda c: in_days(c, read_from, read_to)).withColumn("day", F.to_date("date"))
+        event_rows(events, lambda c: in_days(c, read_from, read_to), by_event_day=by_event_day).withColumn("day", F.to_date("date"))
         for events in (reviews, tips)
     )
 

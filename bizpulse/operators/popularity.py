@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bizpulse.functions.dates import as_date, event_rows, in_months, is_month_end, period_month
@@ -13,7 +13,7 @@ from bizpulse.functions.scoring import WEIGHTS, min_max_normalize, popularity_sc
 from bizpulse.operators.ranking import rank_within
 from bizpulse.operators.silver import latest_per_key
 from bizpulse.schemas import MONTHLY, POPULARITY_COLUMNS
-from bizpulse.session import materialize, observed
+from bizpulse.session import materialize
 
 # Metric column -> its normalised column.
 NORMALIZED = {
@@ -82,10 +82,12 @@ def popularity_inputs(
     tips: DataFrame,
     checkins: DataFrame,
     month_ends: Sequence[str | dt.date],
+    by_event_day: bool = False,
 ) -> DataFrame:
     """Open businesses of each month-end snapshot with their activity in that month; no activity counts as 0.
 
-    `business` and `checkins` are snapshots (column `day`), `reviews` and `tips` are dated events.
+    `business` and `checkins` are snapshots (column `day`), `reviews` and `tips` are dated events, stored by their own
+    day if `by_event_day` (see `event_rows`).
     """
     days = sorted({as_date(d) for d in month_ends})
     wrong = [str(d) for d in days if not is_month_end(d)]
@@ -99,7 +101,7 @@ def popularity_inputs(
     )
     activity = business_activity(
         *[
-            event_rows(events, lambda c: in_months(c, days)).withColumn("day", F.last_day("date"))
+            event_rows(events, lambda c: in_months(c, days), by_event_day=by_event_day).withColumn("day", F.last_day("date"))
             for events in (reviews, tips)
         ],
         own_month,
@@ -142,23 +144,17 @@ def business_popularity(
     weights: Mapping[str, float] = WEIGHTS,
     rank_by: Sequence[str] = ("city",),
     digits: int | None = None,
+    by_event_day: bool = False,
 ) -> DataFrame:
     """Popularity rows of one or many months.
 
     The per-business inputs are far smaller than the events and feed the bounds, the scores and the ranks, so they
-    are written once to shared scratch: the events are read a single time. Their row count comes with that write and
-    decides how the ranks are computed.
+    are written once to shared scratch: the events are read a single time. The ranks need written slices in any case.
     """
-    size = Observation()
-    inputs = materialize(
-        popularity_inputs(business, reviews, tips, checkins, month_ends).observe(
-            size, F.count(F.lit(1)).alias("rows")
-        ),
-        "popularity-inputs",
-    )
+    inputs = materialize(popularity_inputs(business, reviews, tips, checkins, month_ends, by_event_day), "popularity-inputs")
     scored = score_inputs(inputs, weights, digits)
     return (
-        rank_within(scored, ["day", *rank_by], "popularity_score", "city_rank", rows=observed(size).get("rows", 0))
+        rank_within(scored, ["day", *rank_by], "popularity_score", "city_rank")
         .withColumn("period_month", period_month(F.col("day")))
         .withColumn("granularity", F.lit(MONTHLY))
         .select(*POPULARITY_COLUMNS)

@@ -2,88 +2,49 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Score slices for the distributed rank: no task sorts more than about one slice's share of all distinct scores.
-MIN_SLICES, MAX_SLICES, SLICE_ROWS = 256, 4096, 1_000_000
-# Up to this many rows in all, any one group fits a single sort task and a plain window is cheaper.
-WINDOW_ROWS = 2_000_000
+from bizpulse.session import materialize
 
 
-def rank_within(
-    df: DataFrame, by: Sequence[str], score: str, out: str = "rank", rows: int | None = None, slices: int | None = None
-) -> DataFrame:
+def rank_within(df: DataFrame, by: Sequence[str], score: str, out: str = "rank") -> DataFrame:
     """`rank()` by `score` descending within `by`, equal scores sharing a rank, nulls in `by` forming one group.
 
-    `rows` is the known size of `df`, if there is one. A small frame takes a plain window. Otherwise a window over
-    `by` would sort a whole group in one task, and one city may hold a third of all rows. So:
+    A window over `by` would sort a whole group in one task, and one city may hold a third of all rows. So, at every size:
 
     1. rows of one group with the same score collapse to a count (combined on the map side);
-    2. score quantiles over all those pairs cut every group into slices of bounded size, whatever its size;
-    3. a rank is 1 + the rows in higher slices (a running sum over at most `slices` + 1 rows per group)
+    2. these ties are range-partitioned on group and score, which cuts every group into slices of bounded size however
+       large it is; the slice of each tie is written to shared scratch with it, so all later steps see the same cuts;
+    3. a rank is 1 + the rows in higher slices (a running sum over a group's slices, a few numbers each)
        + the rows above it inside its slice (a running sum over one slice).
 
     The rank goes back to the rows by a join on (`by`, `score`). A hot tie makes one large join key there, which AQE
-    splits at run time, as its other side holds a single row.
-
-    The sliced way reads `df` once for the ranks, once for the quantiles and once for the result, so hand in a frame
-    that is cheap to rescan.
+    splits at run time, as its other side holds a single row. `df` is read twice, so hand in a frame that is cheap to rescan.
     """
-    if rows is not None and rows <= WINDOW_ROWS:
-        return df.withColumn(out, F.rank().over(Window.partitionBy(*by).orderBy(F.col(score).desc_nulls_last())))
-    slices = slices or min(MAX_SLICES, max(MIN_SLICES, (rows or 0) // SLICE_ROWS))
-    group = list(by)
+    group, low = list(by), Window.unboundedPreceding
+    best_first = F.col(score).desc_nulls_last()
     ties = df.groupBy(*group, score).agg(F.count(F.lit(1)).alias("_n"))
-    steps = ", ".join(f"{i / slices:.6f}D" for i in range(1, slices))
-    quantiles = F.expr(f"percentile_approx(`{score}`, array({steps}), {10 * slices})")
-    cuts = df.select(*group, score).distinct().agg(quantiles.alias("cuts")).scalar()
-    width = math.isqrt(slices)
-
-    low = Window.unboundedPreceding
-    # Slice = how many cuts lie below the score, found among every `width`-th cut first and then between two of those.
-    sliced = (
-        ties.withColumn("_cuts", cuts)
-        .withColumn("_block", _below(lambda i: F.lit((i + 1) * width - 1), (slices - 1) // width, score) * width)
-        .withColumn("_slice", F.col("_block") + _below(lambda i: F.col("_block") + i, width - 1, score))
-        .drop("_cuts", "_block")
+    sliced = materialize(
+        ties.repartitionByRange(*group, best_first).withColumn("_slice", F.spark_partition_id()), "rank-slices"
     )
-    above_in_slice = Window.partitionBy(*group, "_slice").orderBy(F.col(score).desc_nulls_last()).rowsBetween(low, -1)
+    above_in_slice = Window.partitionBy(*group, "_slice").orderBy(best_first).rowsBetween(low, -1)
     inside = sliced.withColumn("_inside", F.coalesce(F.sum("_n").over(above_in_slice), F.lit(0)))
-    higher_slices = Window.partitionBy(*group).orderBy(F.col("_slice").desc()).rowsBetween(low, -1)
+    higher_slices = Window.partitionBy(*group).orderBy("_slice").rowsBetween(low, -1)
     ahead = (
         sliced.groupBy(*group, "_slice")
         .agg(F.sum("_n").alias("_rows"))
         .select(*group, "_slice", F.coalesce(F.sum("_rows").over(higher_slices), F.lit(0)).alias("_ahead"))
     )
-
     ranks = _null_safe_join(inside, ahead, [*group, "_slice"]).select(
         *group, score, (1 + F.col("_ahead") + F.col("_inside")).cast("int").alias(out)
     )
     return _null_safe_join(df, ranks, [*group, score]).select(*df.columns, out)
 
 
-def _below(position: Callable[[int], Column], count: int, score: str) -> Column:
-    """How many of `count` cuts lie below the score: a binary search written as nested conditions, which compiles to
-    plain code (a higher-order function over the array costs about ten times as much).
-
-    A null score, or a cut past the end, compares as not below.
-    """
-
-    def search(least: int, most: int) -> Column:
-        if least == most:
-            return F.lit(least)
-        middle = (least + most) // 2
-        above = F.col(score) > F.get("_cuts", position(middle))
-        return F.when(above, search(middle + 1, most)).otherwise(search(least, middle))
-
-    return search(0, count)
-
-
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner equi-join in which null matches null; keys come from the left side."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
