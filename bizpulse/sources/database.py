@@ -6,7 +6,9 @@ readers see the old slice or the new one and a lost executor cannot leave half a
 
 from __future__ import annotations
 
+import datetime as dt
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -28,14 +30,30 @@ def typed_for_database(df: DataFrame) -> DataFrame:
     return df.withColumns({c: df[c].cast(t) for c, t in types.items() if c in df.columns})
 
 
-def replace_statements(table: str, staging: str, columns: Sequence[str], slice_columns: Sequence[str]) -> list[str]:
-    """Delete the slices present in staging (null matches null), insert all staged rows, empty staging."""
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, (bool, int, float)):
+        return str(value)
+    quoted = str(value).replace("'", "''")
+    return f"DATE '{quoted}'" if isinstance(value, dt.date) and not isinstance(value, dt.datetime) else f"'{quoted}'"
+
+
+def replace_statements(
+    table: str, staging: str, columns: Sequence[str], slice_columns: Sequence[str], slices: Sequence[Mapping] = ()
+) -> list[str]:
+    """Delete the slices present in staging and those listed (null matches null), insert all staged rows, drop staging."""
     for name in (table, staging, *columns, *slice_columns):
         if not _NAME.fullmatch(name):
             raise ValueError(f"not a plain SQL name: {name!r}")
     same = " AND ".join(f"s.{c} IS NOT DISTINCT FROM t.{c}" for c in slice_columns)
     listed = ", ".join(columns)
+    named = [
+        f"DELETE FROM {table} WHERE " + " AND ".join(f"{c} IS NOT DISTINCT FROM {_literal(s[c])}" for c in slice_columns)
+        for s in slices
+    ]
     return [
+        *named,
         f"DELETE FROM {table} t WHERE EXISTS (SELECT 1 FROM {staging} s WHERE {same})",
         f"INSERT INTO {table} ({listed}) SELECT {listed} FROM {staging}",
         f"DROP TABLE {staging}",
@@ -67,15 +85,21 @@ def replace_slice_in_database(
     slice_columns: Sequence[str],
     enabled: bool = True,
     settings: Mapping[str, str] = JDBC_WRITE,
+    slices: Sequence[Mapping] = (),
+    connections: int = 8,
 ) -> None:
-    """Replace the slices of `df` in a database table. Disabled: nothing happens."""
+    """Replace the slices of `df`, and those listed in `slices` even where `df` has no rows, in a database table.
+
+    Disabled: nothing happens. At most `connections` tasks write at once. The staging table has a name of its own for each
+    call, so two runs do not meet; a run that dies leaves it behind. Needs a session with a JVM of its own (not Connect).
+    """
     if not enabled:
         return
-    staging = f"{table}_staging"
+    staging = f"{table}_staging_{uuid.uuid4().hex[:12]}"
     typed = typed_for_database(df)
-    login = {"user": user, "password": password, **settings}
+    login = {"user": user, "password": password, "numPartitions": str(connections), **settings}
     typed.write.mode("overwrite").jdbc(url, staging, properties=login)
     jvm = df.sparkSession._jvm
     jvm.java.lang.Class.forName(settings["driver"])
     connection = jvm.java.sql.DriverManager.getConnection(url, user, password)
-    run_in_transaction(connection, replace_statements(table, staging, typed.columns, slice_columns))
+    run_in_transaction(connection, replace_statements(table, staging, typed.columns, slice_columns, slices))

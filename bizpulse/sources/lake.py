@@ -6,8 +6,8 @@ a reader may see the moment of a commit. On a table format with transactions use
 
 from __future__ import annotations
 
-import datetime as dt
 import logging
+import re
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -27,9 +27,6 @@ from bizpulse.sources.readers import DEFAULT_FORMAT, read_table_if_exists
 
 log = logging.getLogger(__name__)
 
-# Fixed value: rows per written file unless the caller says otherwise.
-MAX_RECORDS_PER_FILE = 200_000
-
 
 def write_table(
     df: DataFrame,
@@ -45,13 +42,13 @@ def write_table(
 
     `balance` gathers each partition's rows before writing, so a long range of days does not leave a file per task
     and day; oversized partitions are split again at run time. `cluster_by` sorts inside the files, which makes the
-    min/max statistics selective.
+    min/max statistics selective. Rows per file are not capped unless `options` has maxRecordsPerFile.
     """
     if balance and partition_by:
         df = df.hint("rebalance", *partition_by)
     if cluster_by:
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
-    writer = df.write.format(fmt).mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.options(**(options or {})).save(path)
@@ -112,21 +109,24 @@ def _rewrite(
     partition_by: Sequence[str],
     fmt: str,
     cluster_by: Sequence[str] = (),
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Replace the touched partitions of a table by `merge` of their rows; clear those left without rows.
 
     Other partitions are neither read nor written. A table without partitions is rewritten whole, by way of scratch.
     """
     if not partition_by:
+        # The copy stays in scratch: if the overwrite is cut short, the log names what to restore from.
         whole = materialize(merge(target), "whole-table")
-        write_table(whole, path, "overwrite", fmt=fmt, cluster_by=cluster_by)
+        log.info("rewriting %s from %s", path, whole.inputFiles()[:1])
+        write_table(whole, path, "overwrite", options=options, fmt=fmt, cluster_by=cluster_by)
         return
     seen = Observation()
     parts = F.collect_set(F.struct(*partition_by)).alias("parts")
     merged = merge(target.filter(_is_one_of(touched))).observe(seen, parts)
-    overwrite_partitions(merged, path, partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
+    overwrite_partitions(merged, path, partition_by, options=options, fmt=fmt, cluster_by=cluster_by, balance=True)
     filled = _filled(seen, merged)
-    _empty_partitions(target, path, partition_by, [p for p in touched if dict(p) not in filled], fmt)
+    _empty_partitions(target, [p for p in touched if dict(p) not in filled], fmt)
 
 
 def _filled(seen: Observation, written: DataFrame) -> list[dict]:
@@ -152,6 +152,7 @@ def upsert(
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
     fmt: str = DEFAULT_FORMAT,
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Update rows with a matching key, insert the others; create the table if there is none.
 
@@ -163,16 +164,16 @@ def upsert(
     if absent:
         log.warning("upsert into %s: not partitioning by absent columns %s", path, absent)
     partition_by = [c for c in partition_by if c in source.columns]
-    staged = materialize(one_per_key(source, keys), "upsert-source")
+    staged = one_per_key(materialize(source, "upsert-source"), keys)
     target = read_table_if_exists(spark, path, fmt)
     if target is None:
-        write_table(staged, path, "overwrite", partition_by, fmt=fmt, balance=True)
+        write_table(staged, path, "overwrite", partition_by, options, fmt=fmt, balance=True)
         return
     touched = _partition_values(staged, partition_by) if partition_by else []
     if partition_by and not set(partition_by) <= set(keys):
         found = target.join(staged.select(*keys), list(keys), "left_semi")
         touched = _joined(touched, _partition_values(found, partition_by))
-    _rewrite(target, lambda rows: upsert_rows(rows, staged, keys), touched, path, partition_by, fmt)
+    _rewrite(target, lambda rows: upsert_rows(rows, staged, keys), touched, path, partition_by, fmt, options=options)
 
 
 def merge_into(source: DataFrame, table: str, keys: Sequence[str]) -> None:
@@ -192,6 +193,7 @@ def replace_slice(
     partition_by: Sequence[str] = (),
     fmt: str = DEFAULT_FORMAT,
     cluster_by: Sequence[str] = (),
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Delete the rows of the slices and insert all source rows.
 
@@ -208,18 +210,18 @@ def replace_slice(
         source = source.filter(F.when(inside, F.lit(True)).otherwise(refuse))
     target = read_table_if_exists(spark, path, fmt)
     if target is None:
-        write_table(source, path, "overwrite", partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
+        write_table(source, path, "overwrite", partition_by, options, fmt=fmt, cluster_by=cluster_by, balance=True)
         return
     if partition_by and set(partition_by) == set(slice_columns):
         if slices is None:
-            overwrite_partitions(source, path, partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
+            overwrite_partitions(source, path, partition_by, options=options, fmt=fmt, cluster_by=cluster_by, balance=True)
             return
         # The write itself reports which partitions it filled.
         seen = Observation()
         watched = source.observe(seen, F.collect_set(F.struct(*partition_by)).alias("parts"))
-        overwrite_partitions(watched, path, partition_by, fmt=fmt, cluster_by=cluster_by, balance=True)
+        overwrite_partitions(watched, path, partition_by, options=options, fmt=fmt, cluster_by=cluster_by, balance=True)
         filled = _filled(seen, watched)
-        _empty_partitions(target, path, partition_by, [s for s in slices if dict(s) not in filled], fmt)
+        _empty_partitions(target, [s for s in slices if dict(s) not in filled], fmt)
         return
     staged = materialize(source, "slice-source")
     if slices is None:
@@ -234,30 +236,32 @@ def replace_slice(
     _rewrite(
         target,
         lambda rows: replace_slice_rows(rows, staged, slice_columns, named),
-        touched, path, partition_by, fmt, cluster_by,
+        touched, path, partition_by, fmt, cluster_by, options,
     )
 
 
-# Characters that partition directory names escape as %XX.
-_ESCAPED = set("\"#%'*/:=?\\\x7f{[]^") | {chr(i) for i in range(1, 32)}
-
+#: Formats whose partitions are plain directories of files.
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "text", "avro")
 
-def _directory(column: str, value) -> str:
-    if value is None:
-        return f"{column}=__HIVE_DEFAULT_PARTITION__"
-    text = value.isoformat() if isinstance(value, dt.date) else str(value)
-    return f"{column}=" + "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in text)
 
+def _empty_partitions(target: DataFrame, parts: Sequence[Mapping], fmt: str) -> None:
+    """Clear whole partitions, which a dynamic overwrite without rows leaves as they were.
 
-def _empty_partitions(
-    target: DataFrame, path: str, partition_by: Sequence[str], parts: Sequence[Mapping], fmt: str
-) -> None:
-    """Clear whole partitions: overwrite each directory with no rows (dynamic overwrite would leave it as it was)."""
-    existing = _partition_values(target.filter(_is_one_of(parts)), partition_by) if parts else []
-    for part in existing:
-        directory = "/".join(_directory(c, part[c]) for c in partition_by)
-        nothing = target.drop(*partition_by).limit(0)
-        nothing.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/{directory}")
+    One job finds the directories: those of the files that hold the partitions' rows, as Spark names them. They are then
+    removed, a call to the file system each; there are as many as partitions of this run's slices.
+    """
+    if not parts:
+        return
+    if fmt not in FILE_FORMATS:
+        raise ValueError(f"partitions of a {fmt} table are not plain directories; delete its rows by its own means")
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    found = target.filter(_is_one_of(parts)).select(folder.alias("folder")).distinct().collect()
+    jvm = target.sparkSession._jvm
+    conf = target.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    for row in found:
+        directory = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row["folder"]))
+        if not directory.getFileSystem(conf).delete(directory, True):
+            raise RuntimeError(f"could not clear {row['folder']}")
 
 
 def seed_rows(spark: SparkSession, rows: DataFrame, path: str, keys: Sequence[str], fmt: str = DEFAULT_FORMAT) -> None:
@@ -270,8 +274,13 @@ def seed_rows(spark: SparkSession, rows: DataFrame, path: str, keys: Sequence[st
 def register_table(
     spark: SparkSession, path: str, table: str, view: str | None = None, fmt: str = DEFAULT_FORMAT
 ) -> None:
-    """Expose a stored table in the catalog under `table`, and optionally as a view."""
+    """Expose a stored table in the catalog under `table`, and optionally as a view. A table of that name over another
+    location fails the call."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING {fmt} LOCATION '{path}'")
+    there = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first()["data_type"]
+    plain = [re.sub("^[a-z0-9+.-]+:/*", "/", p).rstrip("/") for p in (there, path)]
+    if plain[0] != plain[1]:
+        raise ValueError(f"{table} is registered over {there}, not {path}")
     if spark.sql(f"DESCRIBE TABLE {table}").filter(F.col("col_name") == "# Partition Information").count():
         spark.catalog.recoverPartitions(table)
     if view:

@@ -37,6 +37,14 @@ def test_statements_delete_then_insert_null_safe():
         db.replace_statements("t; DROP", "s", ["a"], ["a"])
 
 
+def test_listed_slices_are_deleted_even_if_nothing_is_staged():
+    import datetime as dt
+
+    first, second, *_ = db.replace_statements("t", "s", ["day", "g"], ["day", "g"], [{"day": dt.date(2024, 1, 31), "g": 2}, {"day": None, "g": "o'x"}])
+    assert first == "DELETE FROM t WHERE day IS NOT DISTINCT FROM DATE '2024-01-31' AND g IS NOT DISTINCT FROM 2"
+    assert second == "DELETE FROM t WHERE day IS NOT DISTINCT FROM NULL AND g IS NOT DISTINCT FROM 'o''x'"
+
+
 def test_one_transaction():
     fine = Connection()
     db.run_in_transaction(fine, ["DELETE x", "INSERT y"])

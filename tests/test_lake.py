@@ -126,6 +126,39 @@ def test_replace_slice_with_text_partitions_and_null(spark, folder):
     assert rows(readers.read_table(spark, path)) == [("4", "plain")]
 
 
+@pytest.mark.parametrize(
+    ("ddl", "values"),
+    [
+        ("timestamp", [dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 1, 6, 30, 1), None]),
+        ("boolean", [True, False, None]),
+        ("string", ["a=b c", "x/y%20", "é", None]),
+    ],
+)
+def test_partitions_of_any_type_are_cleared(spark, folder, ddl, values):
+    """Listed slices without rows are emptied, the others stay, and the column keeps its type."""
+    for k, gone in enumerate(values):
+        path = f"{folder}/{k}"
+        data = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], f"id string, p {ddl}")
+        lake.replace_slice(spark, data, path, ["p"], partition_by=["p"])
+        before = dict(readers.read_table(spark, path).dtypes)
+        lake.replace_slice(spark, data.limit(0), path, ["p"], [{"p": gone}], ["p"])
+        after = readers.read_table(spark, path)
+        assert [r[0] for r in rows(after.select("id"))] == [str(i) for i in range(len(values)) if i != k]
+        assert dict(after.dtypes) == before or None in values and gone is not None and dict(after.dtypes)["p"] == ddl
+
+
+def test_only_directories_of_files_are_cleared(spark, make, table):
+    with pytest.raises(ValueError, match="not plain directories"):
+        lake._empty_partitions(readers.read_table(spark, table), [{"day": A}], "delta")
+
+
+def test_key_check_reads_and_hashes_keys_only(spark, table):
+    seen = readers.read_table(spark, table)
+    plan = plan_of(seen.groupBy("id", "day").count())
+    assert "SortAggregate" not in plan
+    assert merging.one_per_key(seen, ["id", "day"]) is seen
+
+
 def test_slice_that_is_no_partition_rewrites_only_where_it_lies(spark, make, folder):
     path = f"{folder}/t"
     lake.replace_slice(spark, make([("x", A, 1), ("y", A, 2), ("x", B, 3), ("y", C, 4)]), path, ["id"], partition_by=["day"])
@@ -161,6 +194,9 @@ def test_registered_table_and_view(spark, table):
     lake.register_table(spark, table, "registered_t", "registered_v")
     assert spark.table("registered_v").count() == 3
     assert spark.sql("SELECT v FROM registered_v WHERE day = DATE '2024-01-02'").first().v == 3
+    lake.register_table(spark, table, "registered_t")
+    with pytest.raises(ValueError, match="registered over"):
+        lake.register_table(spark, f"{table}-other", "registered_t")
 
 
 def test_files_are_capped_and_balanced(spark, folder):
