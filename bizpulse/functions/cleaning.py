@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Shapes of dates and timestamps in raw data, `yyyy-MM-dd` and `yyyy-MM-dd HH:mm:ss`, zero-padded.
-DAY_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
-SECOND_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
-DAY_WIDTH = 10
-SECOND_WIDTH = 19
+# Shapes of dates and timestamps in raw data, `y-M-d` and `y-M-d H:m:s`; months, days and times of day may
+# have one digit. What follows is not read.
+DAY_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}"
+SECOND_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}"
 
 
 def filled(*names: str) -> Column:
@@ -31,18 +30,17 @@ def at_least_zero(column: str) -> Column:
 
 
 def parse_day(text: Column) -> Column:
-    """Date in the first ten characters, whatever follows; null when they are no date.
+    """Date at the start of the text, whatever follows; null when there is none.
 
-    A shape test plus a cast: about twice as fast as a formatter, and junk costs no exception.
+    One match of the shape plus a cast, which reads one-digit months and days: faster than a formatter, and junk costs no
+    exception.
     """
-    head = F.substring(text, 1, DAY_WIDTH)
-    return F.when(head.rlike(DAY_SHAPE), head.try_cast("date"))
+    return F.regexp_extract(text, DAY_SHAPE, 0).try_cast("date")
 
 
 def parse_second(text: Column) -> Column:
-    """Timestamp in the first nineteen characters; null when there is no time of day."""
-    head = F.substring(text, 1, SECOND_WIDTH)
-    return F.when(head.rlike(SECOND_SHAPE), head.try_cast("timestamp"))
+    """Timestamp at the start of the text; null when there is no time of day."""
+    return F.regexp_extract(text, SECOND_SHAPE, 0).try_cast("timestamp")
 
 
 def parse_second_or_midnight(text: Column) -> Column:

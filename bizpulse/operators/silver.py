@@ -16,7 +16,7 @@ from bizpulse.functions.cleaning import (
     parse_second_or_midnight,
     within,
 )
-from bizpulse.functions.dates import ONE_DAY, as_date, in_days
+from bizpulse.functions.dates import as_date, in_days
 from bizpulse.schemas import EVENT_TABLES
 
 INGEST_TS = "_ingest_ts"
@@ -72,7 +72,7 @@ def clean_review(raw: DataFrame) -> DataFrame:
         at_least_zero("useful").alias("useful"),
         at_least_zero("funny").alias("funny"),
         at_least_zero("cool").alias("cool"),
-        # With or without a time of day, the date is the first ten characters.
+        # With or without a time of day, the date is at the start.
         parse_day(F.col("date")).alias("date"),
         F.trim("text").alias("text"),
         *_carried(raw),
@@ -118,12 +118,12 @@ def clean(table: str, raw: DataFrame) -> DataFrame:
 def slice_raw_events(raw: DataFrame, start: str | dt.date, end: str | dt.date | None = None) -> DataFrame:
     """Raw event rows dated `start` (to `end`).
 
-    ISO dates sort as text, so a plain string range comes first: it is pushed to the file scan and skips row groups.
-    The parse then removes junk that happens to sort inside the range.
+    Dates of one year sort as text between its number and the next, padded or not, so a plain string range over whole
+    years comes first: it is pushed to the file scan and skips row groups. The parse then decides.
     """
     first, last = as_date(start), as_date(end or start)
     text = F.col("date")
-    sorts_inside = (text >= F.lit(first.isoformat())) & (text < F.lit((last + ONE_DAY).isoformat()))
+    sorts_inside = (text >= F.lit(f"{first.year:04d}-")) & (text < F.lit(f"{last.year:04d}."))
     return raw.filter(sorts_inside & parse_day(text).between(F.lit(first), F.lit(last)))
 
 

@@ -12,12 +12,18 @@ from pyspark.sql import functions as F
 
 from bizpulse.functions.dates import as_date
 from bizpulse.operators.silver import silver_snapshot
-from bizpulse.schemas import EVENT_TABLES, RAW_TABLES, raw_schema
+from bizpulse.functions.cleaning import filled
+from bizpulse.schemas import RAW_TABLES, raw_schema
 from bizpulse.sources.lake import overwrite_partitions, write_counted, write_table
 from bizpulse.sources.readers import DEFAULT_FORMAT, read_raw, read_table_if_exists
 
 log = logging.getLogger(__name__)
 
+# Columns that identify a row of each raw table.
+KEYS = {
+    "business": ["business_id"], "user": ["user_id"], "review": ["review_id", "user_id", "business_id"],
+    "checkin": ["business_id"], "tip": ["user_id", "business_id"],
+}
 # What to do when one table fails: stop at once, go on with a warning, or go on and raise at the end.
 ON_ERROR = ("fail_fast", "skip", "fail_at_end")
 
@@ -57,14 +63,19 @@ def ingest_bronze(
     store: Mapping | None = None,
     on_error: str = "fail_at_end",
     fmt: str = DEFAULT_FORMAT,
+    options: Mapping[str, str] | None = None,
 ) -> dict[str, dict]:
-    """Read each raw table with its fixed schema, stamp it and replace its bronze table whole."""
+    """Read each raw table with its fixed schema, stamp it and replace its bronze table whole.
+
+    The report counts rows and `rejected`, the rows whose keys are null or blank, which cleaning will drop.
+    """
 
     def work(table: str) -> dict:
         stamped = stamp_ingest(read_raw(spark, table, source, raw_schema(table), files, store))
         return write_counted(
             stamped,
-            lambda df: write_table(df, f"{bronze_dir}/{table}", "overwrite", ["_ingest_date"], fmt=fmt),
+            lambda df: write_table(df, f"{bronze_dir}/{table}", "overwrite", ["_ingest_date"], options, fmt),
+            rejected=~F.coalesce(filled(*KEYS[table]), F.lit(False)) if table in KEYS else None,
         )
 
     return _each_table(tables, on_error, work)
@@ -79,11 +90,13 @@ def ingest_silver(
     full_load: bool = False,
     on_error: str = "fail_at_end",
     fmt: str = DEFAULT_FORMAT,
+    options: Mapping[str, str] | None = None,
 ) -> dict[str, dict]:
     """Clean each bronze table for the run days and replace the silver partitions of those days.
 
     A missing bronze table is skipped. A result without rows replaces nothing; whether it had rows comes from the
-    write itself, not from a second scan.
+    write itself, not from a second scan. The report also counts nulls in dates and stars, which cleaning makes of
+    values it cannot read.
     """
     days = sorted({as_date(d) for d in run_days})
 
@@ -94,12 +107,12 @@ def ingest_silver(
             return {"status": "skipped"}
         silver = silver_snapshot(table, bronze.drop("_ingest_date"), days, full_load)
         stamped = silver.withColumn("_silver_ingest_ts", F.current_timestamp())
-        many_days = len(days) > 1 or (full_load and table in EVENT_TABLES)
         return write_counted(
             stamped,
             lambda df: overwrite_partitions(
-                df, f"{silver_dir}/{table}_snapshot", ["day"], fmt=fmt, balance=many_days
+                df, f"{silver_dir}/{table}_snapshot", ["day"], options=options, fmt=fmt, balance=True
             ),
+            not_null=[c for c in ("date", "checkin_date", "yelping_since", "stars") if c in stamped.columns],
         )
 
     return _each_table(tables, on_error, work)

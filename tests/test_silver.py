@@ -57,7 +57,7 @@ def test_review_rules(spark):
     day = dt.date(2020, 1, 31)
     cases = [
         ("r0", "u", "b", "2020-01-31 12:00:00", day), ("r1", "u", "b", "2020-01-31", day), ("r2", "u", "b", "junk", None),
-        ("r3", "u", "b", "2020-02-30", None), ("r4", "u", "b", "2020-1-5", None),
+        ("r3", "u", "b", "2020-02-30", None), ("r4", "u", "b", "2020-1-5", dt.date(2020, 1, 5)),
         ("r5", "u", "b", "2020-01-31 99:99:99", day), ("r6", "u", "b", None, None),
     ]
     dropped = [("", "u", "b", "2020-01-31", None), ("x", None, "b", "2020-01-31", None), ("y", "u", "", "2020-01-31", None)]
@@ -96,7 +96,7 @@ def test_event_slice_and_full_load(spark):
     whole = silver.silver_snapshot("tip", raw, ["2020-01-31"], full_load=True)
     assert whole.count() == len(texts)
     assert [r.day and r.day.isoformat() for r in whole.orderBy("business_id").collect()] == [
-        "2020-01-30", "2020-01-31", "2020-01-31", "2020-01-31", "2020-02-01", None, None, None,
+        "2020-01-30", "2020-01-31", "2020-01-31", "2020-01-31", "2020-02-01", "2020-01-03", None, None,
     ]
 
 
