@@ -11,7 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bizpulse.operators.quality import duplicate_keys, missing_fields
+from bizpulse.functions.dates import in_months, month_end
+from bizpulse.operators.quality import duplicate_keys, missing_fields, table_row_counts
 from bizpulse.schemas import (
     AVG_STARS,
     DAILY,
@@ -63,23 +64,29 @@ def pivot_measures(fact: DataFrame, keys: Sequence[str], measures: Mapping[str,
 
 
 def latest_of(df: DataFrame, column: str) -> Column:
-    """The largest value of a column as a scalar subquery."""
+    """The largest value of a column as a scalar subquery. Of `day`, a partition column, it needs no data column."""
     return df.agg(F.max(column)).scalar()
 
 
+def of_month(period: str) -> Column:
+    """Rows whose `day` lies in the month `YYYY-MM`: the period as a range on the partition column, so it prunes."""
+    return in_months("day", [month_end(f"{period}-01")])
+
+
 def top_businesses_by_city(popularity: DataFrame, top: int = 10) -> DataFrame:
-    """Businesses ranked up to `top` in their city for the latest month; ties may give more than `top` rows."""
-    latest = F.col("period_month") == latest_of(popularity, "period_month")
-    return (
-        popularity.filter((F.col("city_rank") <= top) & latest)
-        .select("city", "state", "business_id", "name", "categories", "popularity_score", "city_rank", "period_month")
-        .orderBy("city", "city_rank", "business_id")
+    """Businesses ranked up to `top` in their city for the latest month; ties may give more than `top` rows.
+
+    All cities, so not sorted: a sort of the whole result is for whoever shows it.
+    """
+    latest = F.col("day") == latest_of(popularity, "day")
+    return popularity.filter((F.col("city_rank") <= top) & latest).select(
+        "city", "state", "business_id", "name", "categories", "popularity_score", "city_rank", "period_month"
     )
 
 
 def top_in_city(popularity: DataFrame, city: str, period: str, top: int = 10) -> DataFrame:
     return (
-        popularity.filter((F.col("city") == city) & (F.col("period_month") == period))
+        popularity.filter((F.col("city") == city) & of_month(period))
         .select("business_id", "name", "city_rank", "popularity_score", "categories")
         .orderBy("city_rank", "business_id")
         .limit(top)
@@ -87,10 +94,8 @@ def top_in_city(popularity: DataFrame, city: str, period: str, top: int = 10) ->
 
 
 def top_per_city(popularity: DataFrame, period: str, top: int = 5) -> DataFrame:
-    return (
-        popularity.filter((F.col("period_month") == period) & (F.col("city_rank") <= top))
-        .select("city", "state", "business_id", "name", "city_rank", "popularity_score")
-        .orderBy("city", "city_rank", "business_id")
+    return popularity.filter(of_month(period) & (F.col("city_rank") <= top)).select(
+        "city", "state", "business_id", "name", "city_rank", "popularity_score"
     )
 
 
@@ -118,13 +123,12 @@ def monthly_business_summary(fact: DataFrame, popularity: DataFrame) -> DataFram
 
 
 def monthly_trend(fact: DataFrame, business_id: str | None = None) -> DataFrame:
-    """Monthly measures over time, for one business or for all."""
+    """Monthly measures over time, for one business (in order of time) or for all (to be stored, so not sorted)."""
     monthly = fact.filter(F.col("granularity") == MONTHLY)
     if business_id is not None:
         monthly = monthly.filter(F.col("business_id") == business_id)
-    return pivot_measures(monthly, ["business_id", "period_month"], TREND_METRICS).orderBy(
-        "business_id", "period_month"
-    )
+    trend = pivot_measures(monthly, ["business_id", "period_month"], TREND_METRICS)
+    return trend if business_id is None else trend.orderBy("period_month")
 
 
 def review_growth(fact: DataFrame, business_id: str | None = None) -> DataFrame:
@@ -137,7 +141,8 @@ def review_growth(fact: DataFrame, business_id: str | None = None) -> DataFrame:
         monthly = monthly.filter(F.col("business_id") == business_id)
     per_month = monthly.groupBy("business_id", "period_month").agg(F.max("units").alias("reviews"))
     in_time = Window.partitionBy("business_id").orderBy("period_month")
-    return per_month.withColumn("prev_month", F.lag("reviews").over(in_time)).orderBy("business_id", "period_month")
+    growth = per_month.withColumn("prev_month", F.lag("reviews").over(in_time))
+    return growth if business_id is None else growth.orderBy("period_month")
 
 
 def top_cities(popularity: DataFrame, top: int = 5, digits: int | None = None) -> DataFrame:
@@ -157,9 +162,9 @@ def top_cities(popularity: DataFrame, top: int = 5, digits: int | None = None) -
 def city_comparison(fact: DataFrame, popularity: DataFrame, city: str, period: str, top: int = 20) -> DataFrame:
     """Businesses of one city and month by rank, with their review counts."""
     keys = ["business_id", "day", "granularity"]
-    scores = popularity.filter((F.col("city") == city) & (F.col("period_month") == period))
+    scores = popularity.filter((F.col("city") == city) & of_month(period))
     # The period also holds for the fact side; saying so prunes its scan.
-    counts = fact.filter((F.col("measure") == REVIEW_COUNT) & (F.col("period_month") == period)).select(
+    counts = fact.filter((F.col("measure") == REVIEW_COUNT) & of_month(period)).select(
         *keys, F.col("units").alias("review_count")
     )
     return (
@@ -175,14 +180,13 @@ def city_dashboard(fact: DataFrame, popularity: DataFrame, top: int = 20, digits
 
     The averages run over one row per business and measure, so a score counts once for each measure its business has.
     The measures (one row each, by the table's key) are folded to one row per business before the join; the row count
-    then serves as the weight.
+    then serves as the weight. Both sides read the latest day's partitions only.
     """
-    current = popularity.filter(F.col("period_month") == latest_of(popularity, "period_month")).select(
-        "business_id", "day", "city", "popularity_score"
-    )
+    latest = F.col("day") == latest_of(popularity, "day")
+    current = popularity.filter(latest).select("business_id", "day", "city", "popularity_score")
     rating = F.when(F.col("measure") == AVG_STARS, F.col("units"))
     folded = (
-        fact.filter(F.col("granularity") == MONTHLY)
+        fact.filter((F.col("granularity") == MONTHLY) & latest)
         .groupBy("business_id", "day")
         .agg(
             F.count(F.lit(1)).alias("_rows"),
@@ -193,7 +197,8 @@ def city_dashboard(fact: DataFrame, popularity: DataFrame, top: int = 20, digits
         current.join(folded, ["business_id", "day"])
         .groupBy("city")
         .agg(
-            F.count_distinct("business_id").alias("businesses"),
+            # By the table's key a business has one row a day, so counting rows counts businesses.
+            F.count("business_id").alias("businesses"),
             _mean(F.col("popularity_score"), digits, weight=F.col("_rows")).alias("avg_popularity"),
             _mean(F.col("_rating"), digits).alias("avg_rating"),
         )
@@ -205,19 +210,16 @@ def city_dashboard(fact: DataFrame, popularity: DataFrame, top: int = 20, digits
 def city_time_series(popularity: DataFrame, city: str | None = None, digits: int | None = None) -> DataFrame:
     """Active businesses and average score per month, for one city or for all."""
     rows = popularity if city is None else popularity.filter(F.col("city") == city)
-    return (
-        rows.groupBy("city", "period_month")
-        .agg(
-            F.count_distinct("business_id").alias("active_businesses"),
-            _mean(F.col("popularity_score"), digits).alias("avg_popularity"),
-        )
-        .orderBy("city", "period_month")
+    series = rows.groupBy("city", "period_month").agg(
+        F.count_distinct("business_id").alias("active_businesses"),
+        _mean(F.col("popularity_score"), digits).alias("avg_popularity"),
     )
+    return series if city is None else series.orderBy("period_month")
 
 
 def city_period_average(popularity: DataFrame, period: str, digits: int | None = None) -> DataFrame:
     return (
-        popularity.filter(F.col("period_month") == period)
+        popularity.filter(of_month(period))
         .groupBy("city")
         .agg(
             _mean(F.col("popularity_score"), digits).alias("avg_score"),
@@ -237,14 +239,16 @@ def coverage_stats(popularity: DataFrame) -> DataFrame:
     )
 
 
-def create_views(fact: DataFrame, popularity: DataFrame) -> None:
-    """Register the gold tables, the standing reports and the quality checks as temporary views for SQL users."""
+def create_views(fact: DataFrame, popularity: DataFrame) -> list[str]:
+    """Register the gold tables, the standing reports and the quality checks as temporary views for SQL users; return
+    their names."""
     views = {
         "fact_review_tip_metrics": fact,
         "business_popularity": popularity,
         "v_top_businesses_by_city": top_businesses_by_city(popularity),
         "v_latest_review_metrics": latest_review_metrics(fact),
         "v_monthly_business_summary": monthly_business_summary(fact, popularity),
+        "v_table_row_counts": table_row_counts({"business_popularity": popularity, "fact_review_tip_metrics": fact}),
         "v_dq_duplicate_business_popularity": duplicate_keys(popularity, POPULARITY_KEY),
         "v_dq_missing_fields": missing_fields(
             {"business_popularity": (popularity, ["business_id"]), "fact_review_tip_metrics": (fact, ["units"])}
@@ -252,3 +256,4 @@ def create_views(fact: DataFrame, popularity: DataFrame) -> None:
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
+    return list(views)

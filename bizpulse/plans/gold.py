@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,13 @@ from bizpulse.functions.scoring import WEIGHTS
 from bizpulse.operators.facts import fact_for_range
 from bizpulse.operators.popularity import business_popularity
 from bizpulse.schemas import DAILY, FACT_KEY, GOLD_PARTITIONS, MONTHLY, POPULARITY_KEY
-from bizpulse.sources.lake import replace_slice, upsert
+from bizpulse.operators.merging import rows_in_slices
+from bizpulse.sources.database import replace_slice_in_database
+from bizpulse.sources.lake import replace_slice, upsert, write_counted
 from bizpulse.sources.readers import DEFAULT_FORMAT, read_table
 
+log = logging.getLogger(__name__)
+
 FACT_TABLE = "fact_review_tip_metrics"
 POPULARITY_TABLE = "business_popularity"
 
@@ -40,14 +45,26 @@ def _silver(
     return read_table(spark, f"{silver_dir}/{table}_snapshot", columns, [in_days("day", start, end)], fmt)
 
 
-def _store(spark, df, path, keys, slices, mode, fmt):
-    stamped = df.withColumn("_gold_ingest_ts", F.current_timestamp())
-    if mode == "replace":
-        replace_slice(spark, stamped, path, GOLD_PARTITIONS, slices, GOLD_PARTITIONS, fmt, cluster_by=["business_id"])
-    elif mode == "upsert":
-        upsert(spark, stamped, path, keys, GOLD_PARTITIONS, fmt)
-    else:
+def _store(spark, df, path, keys, slices, mode, fmt, options, database, table):
+    """Write the rows once, then hand the stored slices to the database if one is given. The counts of the write are
+    logged."""
+    if mode not in ("replace", "upsert"):
         raise ValueError(f"mode must be 'replace' or 'upsert', not {mode!r}")
+    stamped = df.withColumn("_gold_ingest_ts", F.current_timestamp())
+
+    def write(rows: DataFrame) -> None:
+        if mode == "replace":
+            replace_slice(spark, rows, path, GOLD_PARTITIONS, slices, GOLD_PARTITIONS, fmt, ["business_id"], options)
+        else:
+            upsert(spark, rows, path, keys, GOLD_PARTITIONS, fmt, options)
+
+    log.info("%s: %s", table, write_counted(stamped, write, not_null=keys))
+    if database:
+        stored = read_table(spark, path, fmt=fmt)
+        days = sorted({s["day"] for s in slices})
+        named = spark.createDataFrame([tuple(s[c] for c in GOLD_PARTITIONS) for s in slices], stored.select(*GOLD_PARTITIONS).schema)
+        own = rows_in_slices(stored.filter(F.col("day").between(days[0], days[-1])), named, GOLD_PARTITIONS)
+        replace_slice_in_database(own, table=table, slice_columns=GOLD_PARTITIONS, slices=slices, **database)
 
 
 def build_fact(
@@ -61,11 +78,15 @@ def build_fact(
     mode: str = "replace",
     dry_run: bool = False,
     fmt: str = DEFAULT_FORMAT,
+    options: Mapping[str, str] | None = None,
+    database: Mapping | None = None,
 ) -> DataFrame | None:
     """Fact rows for the run days `start` to `end`.
 
     Daily rows for each day (unless skipped); monthly rows for each month that ends in the range, or for
-    `force_month` if the range touches it. `dry_run` returns the rows without writing.
+    `force_month` if the range touches it. `dry_run` returns the rows without writing. `options` are options of the
+    writer, such as maxRecordsPerFile. `database` (url, user, password and the like) names a database whose table takes the
+    same slices.
     """
     first, last = as_date(start), as_date(end or start)
     months = set(month_ends_between(first, last))
@@ -80,14 +101,16 @@ def build_fact(
     reviews, tips = (
         _silver(spark, silver_dir, t, columns, read_from, read_to, fmt) for t, columns in FACT_INPUTS.items()
     )
-    rows = fact_for_range(reviews, tips, first, last, not skip_daily, monthly=False, force_months=sorted(months))
+    rows = fact_for_range(
+        reviews, tips, first, last, not skip_daily, monthly=False, force_months=sorted(months), by_event_day=True
+    )
     if dry_run:
         return rows
     days = [] if skip_daily else [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
     slices = [{"day": d, "granularity": DAILY} for d in days]
     slices += [{"day": m, "granularity": MONTHLY} for m in sorted(months)]
     path = f"{gold_dir}/{FACT_TABLE}"
-    _store(spark, rows, path, FACT_KEY, slices, mode, fmt)
+    _store(spark, rows, path, FACT_KEY, slices, mode, fmt, options, database, FACT_TABLE)
     return read_table(spark, path, fmt=fmt)
 
 
@@ -98,11 +121,14 @@ def build_popularity(
     start: str | dt.date,
     end: str | dt.date | None = None,
     weights: Mapping[str, float] = WEIGHTS,
+    digits: int | None = None,
     mode: str = "replace",
     dry_run: bool = False,
     fmt: str = DEFAULT_FORMAT,
+    options: Mapping[str, str] | None = None,
+    database: Mapping | None = None,
 ) -> DataFrame | None:
-    """Popularity rows for every month end among the run days; None when there is no month end."""
+    """Popularity rows for every month end among the run days; None when there is no month end. See `build_fact`."""
     days = month_ends_between(as_date(start), as_date(end or start))
     if not days:
         return None
@@ -111,10 +137,11 @@ def build_popularity(
         for t, columns in POPULARITY_INPUTS.items()
     }
     rows = business_popularity(
-        inputs["business"], inputs["review"], inputs["tip"], inputs["checkin"], days, weights
+        inputs["business"], inputs["review"], inputs["tip"], inputs["checkin"], days, weights, digits=digits, by_event_day=True
     )
     if dry_run:
         return rows
     path = f"{gold_dir}/{POPULARITY_TABLE}"
-    _store(spark, rows, path, POPULARITY_KEY, [{"day": d, "granularity": MONTHLY} for d in days], mode, fmt)
+    slices = [{"day": d, "granularity": MONTHLY} for d in days]
+    _store(spark, rows, path, POPULARITY_KEY, slices, mode, fmt, options, database, POPULARITY_TABLE)
     return read_table(spark, path, fmt=fmt)
