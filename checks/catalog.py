@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bizpulse.functions.dates import calendar
+from bizpulse.functions.dates import as_date, calendar
 from bizpulse.functions.scoring import min_max_normalize, recency_boost
 from bizpulse.operators import facts, popularity, quality, serving, silver
 from bizpulse.operators.merging import slice_keys, with_default_column
 from bizpulse.operators.ranking import rank_within
+from bizpulse.plans.gold import FACT_TABLE, build_fact, build_popularity
 from bizpulse.plans.ingest import ingest_bronze, ingest_silver
 from bizpulse.schemas import (
     FACT_KEY,
@@ -83,15 +86,11 @@ def popularity_sources(spark: SparkSession, sf: str) -> list[DataFrame]:
 
 
 def popularity_of(spark: SparkSession, sf: str, months: list[str]) -> DataFrame:
-    return popularity.business_popularity(*popularity_sources(spark, sf), months, digits=DIGITS)
+    return popularity.business_popularity(*popularity_sources(spark, sf), months, digits=DIGITS, by_event_day=True)
 
 
 def fact_of(spark: SparkSession, sf: str) -> DataFrame:
-    return facts.fact_for_range(silver_table(spark, sf, "review"), silver_table(spark, sf, "tip"), FIRST_DAY, LAST_DAY)
-
-
-def monthly_fact(spark: SparkSession, sf: str) -> DataFrame:
-    return gold(spark, sf)[0].filter(F.col("granularity") == MONTHLY)
+    return facts.fact_for_range(silver_table(spark, sf, "review"), silver_table(spark, sf, "tip"), FIRST_DAY, LAST_DAY, by_event_day=True)
 
 
 # -- flagship and popularity parts
@@ -109,12 +108,12 @@ def business_popularity_all_months(spark, sf):
 
 @query
 def popularity_inputs(spark, sf):
-    return popularity.popularity_inputs(*popularity_sources(spark, sf), [MONTH_END])
+    return popularity.popularity_inputs(*popularity_sources(spark, sf), [MONTH_END], by_event_day=True)
 
 
 @query
 def popularity_score(spark, sf):
-    inputs = popularity.popularity_inputs(*popularity_sources(spark, sf), MONTHS)
+    inputs = popularity.popularity_inputs(*popularity_sources(spark, sf), MONTHS, by_event_day=True)
     parts = ["norm_stars", "norm_review_count", "norm_checkin_count", "norm_tip_compliments", "recency_boost"]
     scored = popularity.score_inputs(inputs, digits=DIGITS)
     return scored.select("business_id", "day", *[F.round(p, DIGITS).alias(p) for p in parts], "popularity_score")
@@ -165,19 +164,32 @@ def city_rank(spark, sf):
 # -- sources and cleaning
 
 
+def listed(tables: dict[str, DataFrame]) -> DataFrame:
+    """All rows of some tables, each as one text."""
+    parts = [
+        df.select(
+            F.lit(name).alias("table_name"),
+            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns]).alias("row_text"),
+        )
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 @query
 def bronze_json_roundtrip(spark, sf):
     path = scratch_path(spark, "json")
-    raw(spark, sf, "business").withColumn("not_in_schema", F.lit(1)).write.json(path)
-    return readers.read_json(spark, path, raw_schema("business"))
+    for table in RAW_TABLES:
+        raw(spark, sf, table).withColumn("not_in_schema", F.lit(1)).write.json(f"{path}/{table}")
+    return listed({t: readers.read_json(spark, f"{path}/{t}", raw_schema(t)) for t in RAW_TABLES})
 
 
 @query
 def json_inferred_schema(spark, sf):
     path = scratch_path(spark, "json")
-    raw(spark, sf, "business").write.json(path)
-    inferred = readers.read_json(spark, path)
-    return inferred.select("business_id", "stars", F.col("is_open").cast("int").alias("is_open"))
+    for table in RAW_TABLES:
+        raw(spark, sf, table).write.json(f"{path}/{table}")
+    return listed({t: readers.read_json(spark, f"{path}/{t}").select(*raw_schema(t).names) for t in RAW_TABLES})
 
 
 @query
@@ -220,22 +232,61 @@ def silver_run_days(spark, sf):
     return silver.silver_snapshot("checkin", raw(spark, sf, "checkin"), ["2024-01-30", MONTH_END])
 
 
+_job_lakes: dict[tuple[str, str], tuple[str, dict, dict]] = {}
+
+
+def job_lake(spark: SparkSession, sf: str) -> tuple[str, dict, dict]:
+    """JSON files of all raw tables -> bronze -> silver for three run days, and both jobs' reports; once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _job_lakes:
+        root = scratch_path(spark, "job-lake")
+        for table in RAW_TABLES:
+            raw(spark, sf, table).write.json(f"{root}/raw/{table}.json")
+        bronze = ingest_bronze(spark, f"{root}/bronze", "files", files=f"{root}/raw")
+        silver_report = ingest_silver(spark, f"{root}/bronze", f"{root}/silver", MONTHS, full_load=True)
+        _job_lakes[key] = (root, bronze, silver_report)
+    return _job_lakes[key]
+
+
 @query
 def silver_job(spark, sf):
-    """JSON files -> bronze -> silver for two run days, read back from the stored silver tables."""
-    files, bronze, target = (scratch_path(spark, n) for n in ("raw", "bronze", "silver"))
-    tables = ["tip", "checkin"]
-    for table in tables:
-        raw(spark, sf, table).write.json(f"{files}/{table}.json")
-    ingest_bronze(spark, bronze, "files", tables, files=files)
-    ingest_silver(spark, bronze, target, ["2024-01-29", "2024-01-30"], tables)
-    tip, checkin = (readers.read_table(spark, f"{target}/{t}_snapshot") for t in tables)
-    return quality_counts("tip", tip, "date").unionByName(quality_counts("checkin", checkin, "checkin_date"))
+    """All rows of the stored silver tables, the loads' time stamps aside."""
+    root = job_lake(spark, sf)[0]
+    tables = {t: readers.read_table(spark, f"{root}/silver/{t}_snapshot") for t in RAW_TABLES}
+    return listed({t: df.drop("_ingest_ts", "_silver_ingest_ts") for t, df in tables.items()})
+
+
+@query
+def job_metrics(spark, sf):
+    """What the ingest jobs count while they write."""
+    _, bronze, stored_silver = job_lake(spark, sf)
+    rows = [("bronze", t, r["rows"], r["rejected"], None) for t, r in bronze.items()]
+    for table, report in stored_silver.items():
+        dated = [report[c] for c in ("null_date", "null_checkin_date", "null_yelping_since") if c in report]
+        rows.append(("silver", table, report["rows"], None, dated[0] if dated else None))
+    return spark.createDataFrame(rows, "layer string, table_name string, rows long, rejected long, null_dates long")
+
 
+@query
+def fact_job(spark, sf):
+    """The stored fact table after a load of all days, a second load of January in upsert mode with the month forced, and a run
+    of a day without events over a slice that holds stale rows."""
+    root, target = job_lake(spark, sf)[0], scratch_path(spark, "gold")
+    build_fact(spark, f"{root}/silver", target, FIRST_DAY, LAST_DAY)
+    path, stale = f"{target}/{FACT_TABLE}", F.lit("2024-03-05").cast("date")
+    old = readers.read_table(spark, path, conditions=[F.col("day") == F.lit(LAST_DAY).cast("date"), F.col("granularity") == 0])
+    lake.write_table(old.withColumn("day", stale), path, "append", GOLD_PARTITIONS)
+    build_fact(spark, f"{root}/silver", target, "2024-01-10", "2024-01-20", force_month=MONTH_END, mode="upsert")
+    return build_fact(spark, f"{root}/silver", target, "2024-03-05").drop("_gold_ingest_ts")
 
-def quality_counts(name: str, df: DataFrame, dated: str) -> DataFrame:
-    counts = df.groupBy("day").agg(F.count(F.lit(1)).alias("rows"), F.count(dated).alias("dated"))
-    return counts.select(F.lit(name).alias("table_name"), "day", "rows", "dated")
+
+@query
+def popularity_job(spark, sf):
+    """The stored popularity table after a load of all months and a second one of January in upsert mode."""
+    root, target = job_lake(spark, sf)[0], scratch_path(spark, "gold")
+    build_popularity(spark, f"{root}/silver", target, FIRST_DAY, LAST_DAY, digits=DIGITS)
+    again = build_popularity(spark, f"{root}/silver", target, MONTH_END, mode="upsert", digits=DIGITS)
+    return again.drop("_gold_ingest_ts")
 
 
 @query
@@ -288,12 +339,12 @@ def extra_measures(spark, sf):
 
 @query
 def fact_review_tip_daily(spark, sf):
-    return facts.fact_for_period(silver_table(spark, sf, "review"), silver_table(spark, sf, "tip"), "2024-01-15", 0)
+    return facts.fact_for_period(silver_table(spark, sf, "review"), silver_table(spark, sf, "tip"), "2024-01-15", 0, by_event_day=True)
 
 
 @query
 def fact_review_tip_monthly(spark, sf):
-    return facts.fact_for_period(silver_table(spark, sf, "review"), silver_table(spark, sf, "tip"), MONTH_END, 2)
+    return facts.fact_for_period(silver_table(spark, sf, "review"), silver_table(spark, sf, "tip"), MONTH_END, 2, by_event_day=True)
 
 
 @query
@@ -323,7 +374,7 @@ def partition_overwrite(spark, sf):
 
 @query
 def upsert_by_key(spark, sf):
-    path, fact = scratch_path(spark, "upsert"), monthly_fact(spark, sf)
+    path, fact = scratch_path(spark, "upsert"), gold(spark, sf)[0]
     january = F.lit(MONTH_END).cast("date")
     old = fact.filter((F.col("day") <= january) & (F.col("measure") != 4))
     lake.write_table(old, path, "overwrite", GOLD_PARTITIONS, balance=True)
@@ -334,13 +385,12 @@ def upsert_by_key(spark, sf):
 
 @query
 def replace_slice(spark, sf):
-    """January shrinks to one measure and February, in the slices but not in the source, is emptied."""
-    path, fact = scratch_path(spark, "slice"), monthly_fact(spark, sf)
+    """January's months shrink to one measure and February's, in the slices but not in the source, are emptied."""
+    path, fact = scratch_path(spark, "slice"), gold(spark, sf)[0]
     lake.write_table(fact, path, "overwrite", GOLD_PARTITIONS, balance=True)
-    january, february = F.to_date(F.lit(MONTHS[1])), F.to_date(F.lit(MONTHS[2]))
-    days = spark.range(1).select(january.alias("a"), february.alias("b")).first()
-    source = fact.filter((F.col("day") == january) & (F.col("measure") == 1))
-    slices = [{"day": d, "granularity": MONTHLY} for d in days]
+    january, february = (as_date(m) for m in MONTHS[1:])
+    source = fact.filter((F.col("day") == F.lit(january)) & (F.col("granularity") == MONTHLY) & (F.col("measure") == 1))
+    slices = [{"day": d, "granularity": MONTHLY} for d in (january, february)]
     lake.replace_slice(spark, source, path, GOLD_PARTITIONS, slices, GOLD_PARTITIONS)
     return readers.read_table(spark, path)
 
@@ -348,13 +398,24 @@ def replace_slice(spark, sf):
 @query
 def replace_slice_by_month(spark, sf):
     """The slice column is not the partition column, so rows are matched instead of directories."""
-    path, fact = scratch_path(spark, "slice"), monthly_fact(spark, sf)
+    path, fact = scratch_path(spark, "slice"), gold(spark, sf)[0]
     lake.write_table(fact, path, "overwrite", GOLD_PARTITIONS, balance=True)
     source = fact.filter((F.col("period_month") == "2024-02") & (F.col("measure") == 1))
     lake.replace_slice(spark, source, path, ["period_month"], partition_by=GOLD_PARTITIONS)
     return readers.read_table(spark, path)
 
 
+@query
+def replace_slice_timestamp(spark, sf):
+    """Partitions named by a time of day; January's is emptied."""
+    path, slot = scratch_path(spark, "slice"), F.date_trunc("month", "date") + F.expr("INTERVAL 330 MINUTE")
+    tips = silver_table(spark, sf, "tip").filter("date IS NOT NULL").select("user_id", "business_id", "date", slot.alias("slot"))
+    lake.write_table(tips, path, "overwrite", ["slot"], balance=True)
+    january = [{"slot": dt.datetime(2024, 1, 1, 5, 30)}]
+    lake.replace_slice(spark, tips.limit(0), path, ["slot"], january, ["slot"])
+    return readers.read_table(spark, path)
+
+
 @query
 def measure_codes_seed(spark, sf):
     path = scratch_path(spark, "codes")
@@ -454,11 +515,9 @@ def coverage_stats(spark, sf):
 
 @query
 def reports_as_views(spark, sf):
-    """A report queried as SQL through its view."""
-    serving.create_views(*gold(spark, sf))
-    return spark.sql(
-        "SELECT city, count(*) AS listed, max(popularity_score) AS best FROM v_top_businesses_by_city GROUP BY city"
-    )
+    """Every report, queried as SQL through its view."""
+    views = [v for v in serving.create_views(*gold(spark, sf)) if v.startswith("v_")]
+    return spark.sql(" UNION ALL ".join(f"SELECT '{v}' AS view_name, count(*) AS row_count FROM {v}" for v in views))
 
 
 # -- quality, on gold tables with planted errors

@@ -22,7 +22,7 @@ SELECT business_id, trim(name) AS name, upper(left(trim(city), 1)) || lower(subs
        CAST(is_open AS BOOLEAN) AS is_open, trim(categories) AS categories
 FROM raw_business WHERE business_id <> ''"""
 CTE["silver_user"] = """
-SELECT user_id, trim(name) AS name, CAST(try_strptime(left(yelping_since, 10), '%Y-%m-%d') AS DATE) AS yelping_since,
+SELECT user_id, trim(name) AS name, CAST(try_strptime(regexp_extract(yelping_since, '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}'), '%Y-%m-%d') AS DATE) AS yelping_since,
        CASE WHEN review_count < 0 THEN 0 ELSE review_count END AS review_count,
        CASE WHEN fans < 0 THEN 0 ELSE fans END AS fans,
        CASE WHEN average_stars BETWEEN 1 AND 5 THEN average_stars END AS average_stars,
@@ -36,7 +36,7 @@ SELECT review_id, user_id, business_id,
        CAST(trunc(CASE WHEN stars BETWEEN 1 AND 5 THEN stars END) AS INTEGER) AS stars,
        CASE WHEN useful < 0 THEN 0 ELSE useful END AS useful, CASE WHEN funny < 0 THEN 0 ELSE funny END AS funny,
        CASE WHEN cool < 0 THEN 0 ELSE cool END AS cool,
-       CAST(try_strptime(left(date, 10), '%Y-%m-%d') AS DATE) AS date, trim(text) AS text
+       CAST(try_strptime(regexp_extract(date, '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}'), '%Y-%m-%d') AS DATE) AS date, trim(text) AS text
 FROM raw_review WHERE review_id <> '' AND user_id <> '' AND business_id <> ''"""
 CTE["silver_checkin"] = r"""
 SELECT business_id, checkin_date
@@ -48,7 +48,7 @@ FROM (SELECT business_id,
       WHERE one <> '')
 WHERE checkin_date IS NOT NULL"""
 CTE["silver_tip"] = """
-SELECT user_id, business_id, trim(text) AS text, try_strptime(left(date, 19), '%Y-%m-%d %H:%M:%S') AS date,
+SELECT user_id, business_id, trim(text) AS text, try_strptime(regexp_extract(date, '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}'), '%Y-%m-%d %H:%M:%S') AS date,
        CASE WHEN compliment_count < 0 THEN 0 ELSE compliment_count END AS compliment_count
 FROM raw_tip WHERE user_id <> '' AND business_id <> ''"""
 
@@ -146,6 +146,61 @@ def _with(final: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({CTE[n].strip()})" for n in needed) + "\n" + final.strip()
 
 
+#: Columns of each raw and each stored silver table, in order.
+RAW_COLUMNS = {
+    "business": "business_id name city state latitude longitude stars review_count is_open categories",
+    "user": "user_id name yelping_since review_count fans average_stars useful funny cool friends",
+    "review": "review_id user_id business_id stars useful funny cool date text",
+    "checkin": "business_id date",
+    "tip": "user_id business_id text date compliment_count",
+}
+_DATED = "CAST(try_strptime(regexp_extract(date, '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}'), '%Y-%m-%d') AS DATE)"
+_TIMED = "try_strptime(regexp_extract(date, '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}'), '%Y-%m-%d %H:%M:%S')"
+for _name in ("business", "user", "checkin"):
+    CTE[f"stored_{_name}"] = f"SELECT *, unnest([{MONTH_ENDS[1:-1]}]) AS day FROM silver_{_name}"
+CTE["stored_review"] = "SELECT *, date AS day FROM silver_review"
+CTE["stored_tip"] = f"""
+SELECT user_id, business_id, trim(text) AS text, {_TIMED} AS date,
+       CASE WHEN compliment_count < 0 THEN 0 ELSE compliment_count END AS compliment_count, {_DATED} AS day
+FROM raw_tip WHERE user_id <> '' AND business_id <> ''"""
+STORED_COLUMNS = {
+    "business": "business_id name city state latitude longitude stars review_count is_open categories day",
+    "user": "user_id name yelping_since review_count fans average_stars useful funny cool friend_count day",
+    "review": "review_id user_id business_id stars useful funny cool date text day",
+    "checkin": "business_id checkin_date day",
+    "tip": "user_id business_id text date compliment_count day",
+}
+
+
+def _listed(table: str) -> str:
+    """All rows of the five tables, each as one text."""
+    columns = RAW_COLUMNS if table.startswith("raw") else STORED_COLUMNS
+    texts = {t: ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in own.split()) for t, own in columns.items()}
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, concat_ws('|', {text}) AS row_text FROM {table.format(t)}" for t, text in texts.items()
+    )
+
+
+_KEYS = {"business": ["business_id"], "user": ["user_id"], "review": ["review_id", "user_id", "business_id"],
+         "checkin": ["business_id"], "tip": ["user_id", "business_id"]}
+_METRICS = "\nUNION ALL\n".join(
+    f"SELECT 'bronze' AS layer, '{t}' AS table_name, count(*) AS rows, count(*) FILTER (NOT coalesce("
+    + " AND ".join(f"{k} <> ''" for k in keys)
+    + f", FALSE)) AS rejected, CAST(NULL AS BIGINT) AS null_dates FROM raw_{t}\nUNION ALL\n"
+    f"SELECT 'silver', '{t}', count(*), NULL, "
+    + {"business": "NULL", "user": "count(*) FILTER (yelping_since IS NULL)", "checkin": "count(*) FILTER (checkin_date IS NULL)"}.get(t, "count(*) FILTER (date IS NULL)")
+    + f" FROM stored_{t}"
+    for t, keys in _KEYS.items()
+)
+_VIEWS = {
+    "v_top_businesses_by_city": "SELECT * FROM popularity WHERE city_rank <= 10 AND day = (SELECT max(day) FROM popularity)",
+    "v_latest_review_metrics": "SELECT DISTINCT business_id FROM fact WHERE granularity = 0 AND day = (SELECT max(day) FROM fact WHERE granularity = 0)",
+    "v_monthly_business_summary": "SELECT DISTINCT business_id, day FROM fact WHERE granularity = 2",
+    "v_table_row_counts": "SELECT unnest([1, 2]) FROM (SELECT count(*) FROM fact)",
+    "v_dq_duplicate_business_popularity": "SELECT business_id FROM popularity GROUP BY business_id, day, granularity HAVING count(*) > 1",
+    "v_dq_missing_fields": "SELECT unnest([1, 2]) FROM (SELECT count(*) FROM fact)",
+}
+
 ORACLE: dict[str, str] = {
     # -- flagship and popularity parts
     "business_popularity": "SELECT * FROM popularity WHERE day = DATE '2024-01-31'",
@@ -183,8 +238,8 @@ FROM silver_user""",
 SELECT business_id, city, stars, CAST(rank() OVER (PARTITION BY city ORDER BY stars DESC NULLS LAST) AS INTEGER) AS city_rank
 FROM silver_business""",
     # -- sources and cleaning
-    "bronze_json_roundtrip": "SELECT * FROM raw_business",
-    "json_inferred_schema": "SELECT business_id, stars, is_open FROM raw_business",
+    "bronze_json_roundtrip": _listed("raw_{}"),
+    "json_inferred_schema": _listed("raw_{}"),
     "silver_business": "SELECT * FROM silver_business",
     "silver_user": "SELECT * FROM silver_user",
     "silver_review": "SELECT * FROM silver_review",
@@ -192,19 +247,14 @@ FROM silver_business""",
     "silver_tip": "SELECT * FROM silver_tip",
     "silver_date_slice": "SELECT *, date AS day FROM silver_review WHERE date = DATE '2024-01-05'",
     "silver_full_load": """
-SELECT user_id, business_id, trim(text) AS text, try_strptime(left(date, 19), '%Y-%m-%d %H:%M:%S') AS date,
+SELECT user_id, business_id, trim(text) AS text, try_strptime(regexp_extract(date, '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}'), '%Y-%m-%d %H:%M:%S') AS date,
        CASE WHEN compliment_count < 0 THEN 0 ELSE compliment_count END AS compliment_count,
-       CAST(try_strptime(left(date, 10), '%Y-%m-%d') AS DATE) AS day
+       CAST(try_strptime(regexp_extract(date, '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}'), '%Y-%m-%d') AS DATE) AS day
 FROM raw_tip WHERE user_id <> '' AND business_id <> ''""",
     "silver_run_days": """
 SELECT *, unnest([DATE '2024-01-30', DATE '2024-01-31']) AS day FROM silver_checkin""",
-    "silver_job": """
-SELECT 'checkin' AS table_name, day, count(*) AS rows, count(checkin_date) AS dated
-FROM (SELECT *, unnest([DATE '2024-01-29', DATE '2024-01-30']) AS day FROM silver_checkin) GROUP BY day
-UNION ALL
-SELECT 'tip', CAST(try_strptime(left(date, 10), '%Y-%m-%d') AS DATE), count(*),
-       count(try_strptime(left(date, 19), '%Y-%m-%d %H:%M:%S'))
-FROM raw_tip WHERE user_id <> '' AND business_id <> '' AND (date LIKE '2024-01-29%' OR date LIKE '2024-01-30%') GROUP BY 2""",
+    "silver_job": _listed("stored_{}"),
+    "job_metrics": _METRICS,
     "latest_per_key": """
 SELECT business_id, max(user_id) AS user_id, max(date) AS date FROM (
   SELECT business_id, user_id, date, rank() OVER (PARTITION BY business_id ORDER BY date DESC NULLS LAST) AS r
@@ -245,6 +295,8 @@ FULL JOIN (SELECT business_id, avg(coalesce(compliment_count, 0)) AS avg_tip_com
     "fact_review_tip_daily": "SELECT * FROM fact WHERE granularity = 0 AND day = DATE '2024-01-15'",
     "fact_review_tip_monthly": "SELECT * FROM fact WHERE granularity = 2 AND day = DATE '2024-01-31'",
     "fact_all_days": "SELECT * FROM fact",
+    "fact_job": "SELECT * FROM fact",
+    "popularity_job": "SELECT * FROM popularity",
     "slice_keys": "SELECT DISTINCT day, granularity FROM fact",
     # -- table maintenance
     "partition_overwrite": """
@@ -254,12 +306,15 @@ FROM silver_tip WHERE date IS NOT NULL""",
     "upsert_by_key": """
 SELECT day, period_month, granularity, business_id, measure,
        CASE WHEN day >= DATE '2024-01-31' THEN units + 1000 ELSE units END AS units
-FROM fact WHERE granularity = 2 AND NOT (day < DATE '2024-01-31' AND measure = 4)""",
+FROM fact WHERE NOT (day < DATE '2024-01-31' AND measure = 4)""",
     "replace_slice": """
 SELECT * FROM fact
-WHERE granularity = 2 AND (day = DATE '2023-12-31' OR (day = DATE '2024-01-31' AND measure = 1))""",
+WHERE granularity = 0 OR day = DATE '2023-12-31' OR (day = DATE '2024-01-31' AND measure = 1)""",
     "replace_slice_by_month": """
-SELECT * FROM fact WHERE granularity = 2 AND (day <> DATE '2024-02-29' OR measure = 1)""",
+SELECT * FROM fact WHERE period_month <> '2024-02' OR measure = 1""",
+    "replace_slice_timestamp": """
+SELECT user_id, business_id, date, date_trunc('month', date) + INTERVAL 330 MINUTE AS slot FROM silver_tip
+WHERE date IS NOT NULL AND month(date) <> 1""",
     "measure_codes_seed": """
 SELECT measure AS measure_id, 'kept' AS measure_name FROM fact WHERE measure < 4 GROUP BY measure
 UNION ALL
@@ -327,9 +382,9 @@ SELECT city, CAST(sum(CAST(popularity_score AS DECIMAL(18, 9))) AS DOUBLE) / cou
 FROM popularity WHERE period_month = '2024-01' GROUP BY city""",
     "coverage_stats": """
 SELECT count(DISTINCT period_month) AS months_available, min(day) AS first_date, max(day) AS last_date FROM popularity""",
-    "reports_as_views": """
-SELECT city, count(*) AS listed, max(popularity_score) AS best FROM popularity
-WHERE city_rank <= 10 AND period_month = (SELECT max(period_month) FROM popularity) GROUP BY city""",
+    "reports_as_views": "\nUNION ALL\n".join(
+        f"SELECT '{view}' AS view_name, count(*) AS row_count FROM ({text})" for view, text in _VIEWS.items()
+    ),
     # -- quality
     "table_row_counts": """
 SELECT 'business_popularity' AS table_name, count(*) AS row_count FROM popularity

@@ -40,6 +40,7 @@ SELECT concat('r', l_orderkey, '-', l_linenumber) AS review_id,
        CAST(l_linenumber - 2 AS INT) AS useful, CAST(l_orderkey % 4 - 1 AS INT) AS funny,
        CAST(l_orderkey % 7 - 1 AS INT) AS cool,
        CASE WHEN l_orderkey % 101 = 1 THEN 'n/a'
+            WHEN l_orderkey % 103 = 2 THEN concat('2024-1-', CAST(l_linenumber + 1 AS STRING), ' 9:05:00')
             WHEN l_orderkey % 3 = 0
             THEN CAST(DATE '2023-12-01' + CAST((l_orderkey * 7 + l_linenumber * 3) % 91 AS INT) AS STRING)
             ELSE concat(CAST(DATE '2023-12-01' + CAST((l_orderkey * 7 + l_linenumber * 3) % 91 AS INT) AS STRING),
@@ -51,9 +52,10 @@ SELECT CASE WHEN event_id % 83 = 5 THEN NULL ELSE concat('u', user_id) END AS us
        concat('b', (event_id * 7) % (SELECT count(*) FROM {part})) AS business_id,
        concat(' ', event_type, ' ') AS text,
        CASE WHEN event_id % 59 = 2 THEN CAST(CAST(ts AS DATE) AS STRING)
+            WHEN event_id % 53 = 3 THEN concat('2024-2-', CAST(event_id % 9 + 1 AS STRING), ' 7:05:09')
             ELSE CAST(date_trunc('second', ts) AS STRING) END AS date,
        CAST(CAST(floor(value) AS INT) % 7 - 1 AS INT) AS compliment_count
-FROM {events} WHERE event_type IN ('click', 'purchase')""",
+FROM {events} WHERE event_type NOT IN ('view', 'signup')""",
     "checkin": """
 SELECT CASE WHEN event_id % 73 = 6 THEN '' ELSE concat('b', (event_id * 3) % (SELECT count(*) FROM {part})) END
            AS business_id,
