@@ -149,8 +149,9 @@ def near_vectors(
     label = F.xxhash64("label")
     key = F.sha2(F.concat_ws(",", "label", F.transform("unit", lambda x: x.cast("string"))), 256)
     keyed = materialize(unit.withColumn("key", key).dropDuplicates(["id", "key"]), "vectors")
-    copies = keyed.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    members = materialize(keyed.select("id", "key").join(copies, "key"), "members")
+    # Stored, so that the join meets two exchanges and adaptive execution can split a group of very many copies.
+    copies = materialize(keyed.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "copies")
+    members = materialize(keyed.select("id", "key").join(copies.hint("merge"), "key"), "members")
     reps = keyed.join(members.filter("id = rep").select("id", "key", "rep", "copies"), ["id", "key"])
     reps = materialize(reps.select("rep", "copies", label.alias("label"), "unit"), "reps")
 

@@ -103,7 +103,7 @@ def op9_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.apply_rules(_table(spark, sf_dir, "documents")).select(
-        "doc_id", *host_rules.COUNTS, "base_failed", "kept", "host", "host_rate"
+        "doc_id", *host_rules.COUNTS, "base_failed", "kept", "host", F.round("host_rate", 9).alias("host_rate")
     )
 
 

@@ -26,7 +26,7 @@ BASE = {
 }
 #: Weak parts, then the kind of a whole credential.
 VALUE = re.compile(r"(?<![A-Za-z0-9+/=_.-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_.-])")
-ENDPOINT = re.compile(r"(?a:\bhttps?://[A-Za-z0-9.-]+|\b[a-z0-9.-]+\.amazonaws\.com\b|\b(?:jdbc|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9.:/@_-]+)")
+ENDPOINT = re.compile(r"(?a:\bhttps?://[A-Za-z0-9.-]+|(?<![a-z0-9.-])[a-z0-9.-]{1,200}\.amazonaws\.com\b|\b(?:jdbc|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9.:/@_-]+)")
 KINDS = ("assign", "access", "hex", "value", "endpoint", "credential")
 REACH = 200
 ENTROPY = 4.0
