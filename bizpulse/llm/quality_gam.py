@@ -124,12 +124,17 @@ def _tree(g: np.ndarray, h: np.ndarray, n: np.ndarray, leaves: int = LEAVES) ->
 
 
 def _pair_tree(g: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Leaf values over a grid: one cut along the first feature, and one along the second on either side of it."""
-    _, at = _best_cut(g.sum(1), h.sum(1), n.sum(1))
+    """Leaf values over a grid: one cut along the first feature and one along the second on either side of it, the first
+    chosen with the second ones in view, as features may matter together and neither alone."""
+
+    def gain(side: slice) -> float:
+        own = [x[side].sum(0) for x in (g, h, n)]
+        return _best_cut(*own)[0] + own[0].sum() ** 2 / (own[1].sum() + 1)
+
+    at = max(range(1, len(g)), key=lambda at: gain(slice(0, at)) + gain(slice(at, None)))
     out = np.zeros(g.shape)
     for side in (slice(0, at), slice(at, None)):
-        if g[side].size:
-            out[side] = _tree(g[side].sum(0), h[side].sum(0), n[side].sum(0), 2)[None, :]
+        out[side] = _tree(g[side].sum(0), h[side].sum(0), n[side].sum(0), 2)[None, :]
     return out
 
 
