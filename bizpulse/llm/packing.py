@@ -10,12 +10,15 @@ combinations by their rank among those of their length, and what is left over is
 from __future__ import annotations
 
 import bisect
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,8 +27,14 @@ from bizpulse.session import materialize
 
 WINDOW = 2048
 EOS = 1
-#: Distinct chunks between white space whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Distinct words whose ids a worker remembers.
+REMEMBERED = 1_000_000
+_CHUNKS = re.compile(r"[^\x20\x09-\x0D]+")
+# How the tokenizer cuts lower-case ASCII, and the letters that stand for bytes in its vocabulary.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+")
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_OTHERS = {b: chr(0x100 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_BYTE_LETTERS = [_OTHERS.get(b, chr(b)) for b in range(256)]
 
 
 @cache
@@ -35,40 +44,85 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-class ChunkIds(dict):
-    """Ids of a chunk of text without ASCII white space, as unsigned 32-bit little-endian bytes.
+#: Letters that every version of Unicode knows as letters, composed and with a plain lower case, and marks that stand alone.
+LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") | frozenset(map(chr, range(0xC0, 0x130))) - {"\xd7", "\xf7"}
+PLAIN = LETTERS | frozenset(" \n.,")
 
-    The tokenizer drops white space and never lets a token span it, so a text's ids are those of its chunks in order.
+
+class WordIds:
+    """Ids of texts by way of their words, each encoded once and remembered, as unsigned 32-bit little-endian bytes.
+
+    The tokenizer lower-cases, drops white space and never lets a token span it, so a text's ids are those of its chunks
+    between ASCII white space, in order. In a text of letters, spaces and single full stops and commas, the marks are
+    tokens of their own too; there the words are lower-cased and the marks set apart first, so that fewer differ. A chunk of
+    plain ASCII is cut as the tokenizer cuts it, and each part goes straight to the tokenizer's model. All else is left
+    to the whole tokenizer.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        ids = self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
-        self[chunk] = out = np.array(ids, "<u4").tobytes()
+        self.model = self.tokenizer.model
+        self.known: dict[str, bytes] = {}
+
+    def split(self, text: str) -> list[str]:
+        if PLAIN.issuperset(text) and not any(two in text for two in ("..", ",,", ".,", ",.")):
+            return text.lower().replace(".", " . ").replace(",", " , ").split()
+        return _CHUNKS.findall(text)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [self.split(t) for t in texts]
+        words = [w for own in split for w in own]
+        ids = list(map(self.known.get, words))
+        gaps = [i for i, x in enumerate(ids) if x is None]
+        if gaps:
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            new = self._new({words[i] for i in gaps})
+            self.known.update(new)
+            for i in gaps:
+                ids[i] = new[words[i]]
+        out, low = [], 0
+        for own in split:
+            out.append(b"".join(ids[low : low + len(own)]))
+            low += len(own)
         return out
 
+    def _new(self, words: set[str]) -> dict[str, bytes]:
+        found: dict[str, bytes] = {}
+        rest = []
+        for word in words:
+            if word.isascii() and word.isprintable() and "<|" not in word:
+                lower = word.lower()
+                parts = [lower] if lower.isalpha() else _PARTS.findall(lower)
+                found[word] = b"".join(map(self._part, parts))
+            elif LETTERS.issuperset(word):
+                found[word] = self._part("".join(map(_BYTE_LETTERS.__getitem__, word.lower().encode())))
+            else:
+                rest.append(word)
+        for word, coded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            found[word] = np.array(coded.ids, "<u4").tobytes()
+        return found
+
+    def _part(self, part: str) -> bytes:
+        found = [t.id for t in self.model.tokenize(part)]
+        return struct.pack(f"<{len(found)}I", *found)
+
+
+@cache
+def word_ids(path: str) -> WordIds:
+    return WordIds(path)
+
 
 def _tokenised(path: str, window: int, eos: int):
     end = np.array([eos], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ChunkIds(path)
+        coder = word_ids(path)
+        uid = TaskContext.get().partitionId() << 40
         for batch in batches:
-            if len(known) > REMEMBERED:
-                known.clear()
-            fresh: dict[bytes, None] = {}
-            split = [b"" if t is None else t for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            split = [t.split() for t in split]
-            for chunks in split:
-                fresh.update((c, None) for c in chunks if c not in known)
-            new = list(fresh)
-            for chunk, coded in zip(new, known.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)):
-                known[chunk] = np.array(coded.ids, "<u4").tobytes()
             rows, starts, lengths, totals, crcs, ids = [], [], [], [], [], []
-            for i, chunks in enumerate(split):
-                whole = b"".join(map(known.__getitem__, chunks)) + end
+            for i, whole in enumerate(coder.encode([t or "" for t in batch.column(1).to_pylist()])):
+                whole += end
                 total = len(whole) // 4
                 for start in range(0, total, window):
                     rows.append(i)
@@ -78,9 +132,11 @@ def _tokenised(path: str, window: int, eos: int):
                     crcs.append(zlib.crc32(piece))
                     lengths.append(len(piece) // 4)
                     totals.append(total)
+            uids = pa.array(np.arange(uid, uid + len(rows)))
+            uid += len(rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()), pa.array(lengths, pa.int32()), pa.array(totals, pa.int64()), pa.array(crcs, pa.int64()), pa.array(ids, pa.binary())],
-                ["id", "start", "length", "doc_tokens", "crc", "ids"],
+                [uids, batch.column(0).take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()), pa.array(lengths, pa.int32()), pa.array(totals, pa.int64()), pa.array(crcs, pa.int64()), pa.array(ids, pa.binary())],
+                ["uid", "id", "start", "length", "doc_tokens", "crc", "ids"],
             )
 
     return run
@@ -209,13 +265,10 @@ def pack(
     text_batches(spark, 512)
     salt = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    schema = "id long, start long, length int, doc_tokens long, crc long, ids binary"
+    # The number that a piece gets while it is written names it from then on.
+    schema = "uid long, id long, start long, length int, doc_tokens long, crc long, ids binary"
     pieces = materialize(texts.mapInArrow(_tokenised(tokenizer, window, eos), schema), "pieces")
-    # Repeated rows of one id differ in nothing that matters, so a hash of the ids completes the order.
-    tails = pieces.filter(F.col("length") < window).select("id", "start", "length", "crc")
-    tails = tails.groupBy("id", "start", "length", "crc").agg(F.count("*").alias("times"))
-    tails = tails.select("id", "start", "length", "crc", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy"))
-    tails = materialize(tails, "tails")
+    tails = pieces.filter(F.col("length") < window)
 
     counts = np.zeros(window, dtype=np.int64)
     for row in tails.groupBy("length").count().collect():  # at most window - 1 rows
@@ -223,10 +276,11 @@ def pack(
     used, slots = allot(counts, window)
     combined = sum(times for _, times in used)
 
-    order = ["id", "start", "crc", "copy"]
-    ranked = numbered(tails.withColumn("one", F.lit(1)), order, "one", ["length"], "rank", "ranks", salt).drop("one")
+    order = ["id", "start", "crc", "uid"]
+    ranked = tails.select(*order, "length", F.lit(1).alias("one"))
+    ranked = numbered(ranked, order, "one", ["length"], "rank", "ranks", salt).drop("one")
     placed = materialize(ranked.withColumn("place", _dealt(slots, 0, window)("length", "rank")), "placed")
-    dealt = placed.filter("place IS NOT NULL AND place.seq IS NOT NULL").select(*order, F.lit(0).alias("from"), "length", "place.seq", "place.at")
+    dealt = placed.filter("place IS NOT NULL AND place.seq IS NOT NULL").select("uid", F.lit(0).alias("from"), "length", "place.seq", "place.at")
     rest = placed.filter("place.seq IS NULL").drop("place", "rank").withColumn("all", F.lit(0))
     laid = numbered(rest, order, "length", ["all"], "pos", "laid", salt)
     # Shorter than a window, a remainder meets one boundary at most.
@@ -239,20 +293,16 @@ def pack(
             F.struct(room.cast("int").alias("from"), (F.col("length") - room).cast("long").alias("n")),
         )
     )
-    laid = laid.select(*order, "pos", F.explode(cut).alias("c")).select(
-        *order, "c.from", F.col("c.n").cast("int").alias("length"),
+    laid = laid.select("uid", "pos", F.explode(cut).alias("c")).select(
+        "uid", "c.from", F.col("c.n").cast("int").alias("length"),
         (F.lit(combined) + F.floor((F.col("pos") + F.col("c.from")) / window)).cast("long").alias("seq"),
         ((F.col("pos") + F.col("c.from")) % window).cast("long").alias("at"),
     )
     places = dealt.unionByName(laid)
 
-    tail_ids = pieces.filter(F.col("length") < window)
-    copy = F.row_number().over(Window.partitionBy("id", "start", "crc").orderBy(F.lit(1)))
-    tail_ids = tail_ids.withColumn("copy", copy).select(*order, "doc_tokens", "ids")
-    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"p.{c}")) for c in order]
     tail_pieces = (
-        tail_ids.alias("t")
-        .join(places.alias("p"), same[0] & same[1] & same[2] & same[3])
+        tails.select("uid", "id", "start", "doc_tokens", "ids").alias("t")
+        .join(places.alias("p").hint("merge"), "uid")
         .select(
             F.col("t.id").alias(id_col), (F.col("t.start") + F.col("p.from")).alias("start"), F.col("p.length").cast("long").alias("length"), "doc_tokens",
             F.col("p.seq").alias("sequence_id"), F.col("p.at").alias("offset"),
