@@ -20,58 +20,86 @@ from bizpulse.llm.common import block_pairs, components, roots, text_batches, wh
 from bizpulse.session import materialize
 
 THRESHOLD = 0.93
-#: Caps per vector on average. At a cosine of 0.93 vectors in 64 dimensions share about four in ten of them.
-CAPS = 48
+#: Independent codes: what one misses by the way its blocks cut a vector, another finds.
+CODES = 4
+#: Caps per vector and code on average, and at least. At a cosine of 0.93 vectors in 64 dimensions share about four in ten.
+CAPS, LEAST_CAPS = 24, 16
 BLOCKS = 4
 #: Vectors of one group that a task compares at once.
 BLOCK_ROWS = 1024
 
 
 class CapCode:
-    """A random product code of `words` ** BLOCKS directions in `dim` dimensions and the height at which a uniformly
-    random vector exceeds `caps` of them on average."""
+    """A random product code of `words` ** BLOCKS directions in `dim` dimensions, turned at random, and the height at which a
+    uniformly random vector exceeds `caps` of them on average."""
 
-    def __init__(self, dim: int, words: int, caps: float = CAPS, seed: int = 7):
+    def __init__(self, dim: int, words: int, caps: float = CAPS, least: int = LEAST_CAPS, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.dim, self.width, self.words = dim, -(-dim // BLOCKS), words
+        self.turn = np.linalg.qr(rng.standard_normal((self.width * BLOCKS, self.width * BLOCKS)))[0][:, :dim]
         books = rng.standard_normal((BLOCKS, words, self.width))
         self.books = books / np.linalg.norm(books, axis=2, keepdims=True) / math.sqrt(BLOCKS)
-        trial = rng.standard_normal((200, self.width * BLOCKS))
-        trial /= np.linalg.norm(trial, axis=1, keepdims=True)
+        # Among two sorted halves, the `least` largest sums are at places i, j with (i + 1) * (j + 1) <= least.
+        side = min(least, words**2)
+        i, j = np.divmod(np.arange(side * side), side)
+        near = (i + 1) * (j + 1) <= least
+        self.top, self.least = (-1 - i[near], -1 - j[near]), min(least, side * side)
         # A cap's share of random vectors falls with its height; bisection finds the height for the wanted share.
+        trial = rng.standard_normal((200, dim))
+        halves = self._halves(trial / np.linalg.norm(trial, axis=1, keepdims=True))
         low, high = 0.0, 1.0
-        halves = [self._halves(v) for v in trial]
         for _ in range(30):
             self.height = (low + high) / 2
-            mean = sum(self._count(a, b) for a, b in halves) / len(halves)
+            mean = sum(self._count(a, b) for a, b in zip(*halves)) / len(trial)
             low, high = (self.height, high) if mean > caps else (low, self.height)
 
-    def _halves(self, vector: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        parts = np.einsum("bwd,bd->bw", self.books, np.resize(np.pad(vector, (0, self.width * BLOCKS - len(vector))), (BLOCKS, self.width)))
-        return (parts[0][:, None] + parts[1]).ravel(), (parts[2][:, None] + parts[3]).ravel()
+    def _halves(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Inner products with the first two blocks' words, all pairs of them, and with the last two blocks'."""
+        parts = (vectors @ self.turn.T).reshape(len(vectors), BLOCKS, self.width).transpose(1, 0, 2) @ self.books.transpose(0, 2, 1)
+        flat = (len(vectors), self.words**2)
+        return (parts[0][:, :, None] + parts[1][:, None]).reshape(flat), (parts[2][:, :, None] + parts[3][:, None]).reshape(flat)
 
     def _count(self, a: np.ndarray, b: np.ndarray) -> int:
         a = a[a > self.height - b.max()]
         return int((len(b) - np.searchsorted(np.sort(b), self.height - a, side="right")).sum())
 
-    def decode(self, vector: np.ndarray) -> np.ndarray:
-        """Numbers of all directions that exceed the height; a half that no other half can lift is never expanded."""
-        a, b = self._halves(vector)
-        order = np.argsort(b)
-        left = np.flatnonzero(a > self.height - b[order[-1]])
-        first = np.searchsorted(b[order], self.height - a[left], side="right")
-        return np.concatenate([l * len(b) + order[f:] for l, f in zip(left.tolist(), first.tolist())] or [np.zeros(0, np.int64)])
+    def decode(self, vectors: np.ndarray) -> list[np.ndarray]:
+        """For each vector the numbers of all directions that exceed the height, or the height of its `least` nearest directions
+        if that is lower, so that a vector far from most directions is in caps too. A half that no other half can lift is
+        never expanded."""
+        out = []
+        for a, b in zip(*self._halves(vectors)):
+            order = np.argsort(b)
+            b = b[order]
+            sums = np.partition(np.sort(a)[self.top[0]] + b[self.top[1]], -self.least)
+            height = min(self.height, sums[-self.least] - 1e-12)
+            left = np.flatnonzero(a > height - b[-1])
+            first = np.searchsorted(b, height - a[left], side="right")
+            counts = len(b) - first
+            inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
+            out.append(np.repeat(left, counts) * len(b) + order[inner])
+        return out
 
 
-def _decoded(code: CapCode):
+def cap_codes(dim: int, words: int, caps: float = CAPS) -> list[CapCode]:
+    return [CapCode(dim, words, caps, seed=7 + k) for k in range(CODES)]
+
+
+def _decoded(codes: list[CapCode]):
+    """Caps of each vector, those of all codes numbered one after the other."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [code.decode(np.asarray(v)) for v in batch.column(2).to_pylist()]
-            rows = pa.array(np.repeat(np.arange(len(lists)), [len(x) for x in lists]))
-            caps = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(caps.astype(np.int64))], ["rep", "label", "cap"]
-            )
+            if not batch.num_rows:
+                continue
+            units = np.array(batch.column(2).to_pylist(), dtype=np.float64)
+            for k, code in enumerate(codes):
+                lists = code.decode(units)
+                rows = pa.array(np.repeat(np.arange(len(lists)), [len(x) for x in lists]))
+                caps = np.concatenate(lists) + k * code.words**BLOCKS
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(caps.astype(np.int64))], ["rep", "label", "cap"]
+                )
 
     return run
 
@@ -160,10 +188,10 @@ def near_vectors(
         return _result(rows.select("id").distinct(), id_col)
     dim = found["dim"]
     reps = reps.filter(F.size("unit") == dim)
-    words = min(64, max(6, math.ceil((found["count"] * caps * 2) ** (1 / BLOCKS))))
-    code = CapCode(dim, words, caps)
+    words = min(48, max(12, math.ceil((found["count"] * caps * 2) ** (1 / BLOCKS))))
+    codes = cap_codes(dim, words, caps)
 
-    lists = materialize(reps.select("rep", "label", "unit").mapInArrow(_decoded(code), "rep long, label long, cap long"), "caps")
+    lists = materialize(reps.select("rep", "label", "unit").mapInArrow(_decoded(codes), "rep long, label long, cap long"), "caps")
     sizes = lists.groupBy("label", "cap").agg(F.count("*").alias("n")).filter("n > 1")
     sizes = sizes.select("label", "cap", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
     together = lists.join(sizes.hint("merge"), ["label", "cap"]).join(reps.select("rep", "unit").hint("merge"), "rep")
