@@ -104,11 +104,12 @@ def apply_rules(
     """`id_col`, `host`, the counts of `measure`, `base_failed`, `host_rate` and `kept`, one row per row of `docs`.
 
     `kept` is false if the document fails or its host's shrunk failure rate exceeds `limit`. Documents whose host is null
-    or empty share the empty one. The text is read once; counts go through the shared scratch folder. The join meets hot
-    hosts: adaptive execution splits them, as the side of the hosts has one row each.
+    or empty share the empty one. The text is read once; counts go through the shared scratch folder. The rates are
+    stored too, so that their size is known to the planner, and a join that has to shuffle meets two exchanges, of which
+    adaptive execution splits the hot hosts' side.
     """
     named = docs.select(id_col, F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.col(text_col).alias("rule_text"))
     measured = materialize(measure(named, [id_col, "host"], "rule_text"), "rules")
     rates = host_rates(measured, "host").select("host", F.col("rate").alias("host_rate"))
-    joined = measured.join(rates.hint("merge"), "host")
+    joined = measured.join(materialize(rates, "host-rates"), "host")
     return joined.withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") <= limit))
