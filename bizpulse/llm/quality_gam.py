@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bizpulse.llm.common import binary_texts, text_batches
+from bizpulse.llm.common import binary_texts, hash_sample, text_batches
 
 #: Most labelled texts that the fit uses, chosen by a hash of the id.
 SAMPLE = 20_000
@@ -199,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     text_batches(docs.sparkSession)
     chosen = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
-    chosen = chosen.groupBy("id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(sample)
+    chosen = hash_sample(chosen.groupBy("id").agg(F.min("label").alias("label")), ["id"], sample)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = texts.join(F.broadcast(chosen), "id").select("id", "label", "text")
     found = rows.mapInArrow(_featured, "id long, label int, x array<double>").groupBy("id", "label").agg(F.min("x").alias("x"))

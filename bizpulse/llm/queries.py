@@ -60,7 +60,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc_zst.archive_round_trip(_table(spark, sf_dir, "pages"))
     return records.select(
-        F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to")
+        F.col("record_id").try_cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").try_cast("long").alias("refers_to")
     )
 
 

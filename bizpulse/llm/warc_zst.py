@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bizpulse.llm.common import text_batches
+from bizpulse.llm.common import hash_sample, text_batches
 from bizpulse.session import materialize, scratch_path
 
 #: Magic number of the skippable frame that holds the dictionary, and of a Zstandard frame.
@@ -200,9 +200,9 @@ def _written(folder: str, dictionary: bytes, most: int):
 
 
 def train_dictionary(pages: DataFrame, id_col: str, html_col: str, sample: int = SAMPLE_PAGES) -> bytes:
-    """A dictionary from at most `sample` whole pages; empty if they are too few or too short to train one."""
-    rows = pages.select(F.xxhash64(id_col, html_col).alias("h"), F.col(html_col).alias("t")).filter("length(t) BETWEEN 1 AND 50000")
-    texts = [r["t"].encode() for r in rows.orderBy("h").limit(sample).collect()]
+    """A dictionary from at most `sample` whole pages of up to 50 000 characters; empty if they are too few or too short to train one."""
+    rows = pages.select(F.col(id_col).alias("i"), F.col(html_col).alias("t")).filter("length(t) BETWEEN 1 AND 50000")
+    texts = [r["t"].encode() for r in hash_sample(rows, ["i", "t"], sample).collect()]
     if len(texts) < 50:
         return b""
     try:

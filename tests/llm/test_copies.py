@@ -177,3 +177,11 @@ def test_queries_on_the_given_tables(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = {r.doc_id: (r.class_id, r.n_links) for r in queries.op2_ngram_join(spark, SF).collect()}
     assert got == brute.near(docs)
+
+
+def test_hash_sample_is_bounded_and_repeats(spark):
+    df = spark.range(5000).withColumnRenamed("id", "i")
+    for most in (0, 10, 800, 9000):
+        one, two = ([r.i for r in common.hash_sample(d, ["i"], most).collect()] for d in (df, df.repartition(9)))
+        assert one == two and len(set(one)) == len(one) == min(most, 5000)
+    assert common.hash_sample(df.limit(0), ["i"], 5).count() == 0
