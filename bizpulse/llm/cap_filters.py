@@ -196,7 +196,7 @@ def near_vectors(
     sizes = sizes.select("label", "cap", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
     together = lists.join(sizes.hint("merge"), ["label", "cap"]).join(reps.select("rep", "unit").hint("merge"), "rep")
     group = ["label", "cap", "block_i", "block_j"]
-    met = block_pairs(together, "rep", "blocks").select(*group, "rep", "unit").repartition(*group).sortWithinPartitions(*group)
+    met = block_pairs(together, "rep", "blocks").select(*group, "rep", "unit").repartition(*group).sortWithinPartitions(*group, "rep")
     parts = components(met.mapInArrow(_stars(threshold), "a long, b long").distinct())
     parts = materialize(parts, "parts")
 
@@ -205,9 +205,9 @@ def near_vectors(
     group = ["component", "block_i", "block_j"]
     inside = block_pairs(inside, "rep", "blocks").select(*group, "block", "rep", "copies", "unit").repartition(*group).sortWithinPartitions(*group)
     links = inside.mapInArrow(_counted(threshold), "rep long, links long").groupBy("rep").agg(F.sum("links").alias("links"))
-    per_rep = links.join(parts.withColumnRenamed("node", "rep"), "rep")
+    per_rep = materialize(links.join(parts.withColumnRenamed("node", "rep"), "rep"), "per-vector")
     per_id = (
-        members.join(per_rep, "rep", "left")
+        members.join(per_rep.hint("merge"), "rep", "left")
         .groupBy("id")
         .agg(F.sum(F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"), F.min(F.coalesce("component", "rep")).alias("c"))
     )
