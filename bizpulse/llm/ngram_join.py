@@ -288,8 +288,10 @@ def similar_documents(
     schema = "id long, d1 long, d2 long, values binary, bands array<long>"
     features = materialize(texts.mapInArrow(_featured(width), schema), "minhashes")
     distinct = features.groupBy("id").agg(F.min(F.struct("d1", "d2")).alias("d")).select("id", "d.*")
+    # Stored, so that the join meets two exchanges and adaptive execution can split a group of very many copies.
     copies = distinct.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    members = materialize(distinct.join(copies, ["d1", "d2"]), "members")
+    copies = materialize(copies, "copies")
+    members = materialize(distinct.join(copies.hint("merge"), ["d1", "d2"]), "members")
     first = members.filter("id = rep").select("id", "d1", "d2", "copies")
     reps = features.join(first, ["id", "d1", "d2"]).withColumnRenamed("id", "rep")
 
@@ -300,7 +302,8 @@ def similar_documents(
     values = features.join(first.select("id", "d1", "d2"), ["id", "d1", "d2"]).select(F.col("id").alias("rep"), "values")
     met = block_pairs(met.join(values.hint("merge"), "rep"), "rep", "blocks")
     group = ["bucket", "block_i", "block_j"]
-    met = met.select(*group, "rep", "values").repartition(*group).sortWithinPartitions(*group)
+    # In order of ids, so that the first member of a part is the same one in most of a family's buckets.
+    met = met.select(*group, "rep", "values").repartition(*group).sortWithinPartitions(*group, "rep")
     candidates = components(met.mapInArrow(_candidates(least), "a long, b long").distinct())
     candidates = materialize(candidates, "candidates")
 
@@ -317,7 +320,7 @@ def similar_documents(
 
     links = checked.groupBy("rep").agg(F.sum("links").alias("links"))
     classes = components(checked.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
-    per_rep = links.join(classes, "rep", "left")
+    per_rep = materialize(links.join(classes, "rep", "left"), "per-set")
     per_id = members.join(per_rep.hint("merge"), "rep", "left").select(
         "id", F.coalesce("component", "rep").alias("class_id"), F.col("rep").alias("copy_id"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
