@@ -3,7 +3,8 @@
 A text's segmentations are the paths of a lattice of vocabulary pieces. A piece's weight falls with its rank in the
 vocabulary; forward filtering sums the weights of all paths to each position, and backward sampling draws a path from
 the end, each step in proportion to the weight of what it leads to. No piece has white space but at its start, so the
-lattice falls apart into chunks; a chunk's forward sums are computed once for a worker and looked up after that.
+lattice falls apart into chunks; the different chunks of a few hundred texts are filtered together, a position of all of
+them at a time, and each occurrence is then sampled, again all at once.
 
 Random numbers are hashes of the seed, the row key and the position, so a row's sample depends on nothing else.
 """
@@ -15,6 +16,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +25,9 @@ from bizpulse.llm.common import mix64, text_batches
 SPACE = "▁"
 #: Texts are sampled this many code points at a time, and longer texts alone.
 SLICE = 1 << 19
-#: Lattice nodes that a worker remembers.
-REMEMBERED = 1_500_000
+#: Chunks longer than this are sampled one by one.
+LONG = 200
+_BASE = 0xD1342543DE82EF95
 #: Sharpness: a piece of rank r weighs (r + 1) ** -ALPHA.
 ALPHA = 1.0
 _CHUNK = re.compile(" +[^ ]*|[^ ]+")
@@ -61,70 +64,131 @@ def pieces(path: str) -> Pieces:
 
 
 class Lattices:
-    """Forward-filtered lattices of chunks, as flat arrays over all nodes of all chunks met so far.
+    """Builds the forward-filtered lattices of many chunks at once.
 
-    A node is a chunk and a position >= 1 in it. Its incoming edges are sorted and carry the node's number plus the running
-    probability, so one binary search over all edges samples an edge for many nodes at once.
+    Pieces are found by 64-bit polynomial hashes of the last 1, 2, ... characters before each position, which grow by one
+    term for each length; two small tables, the second for the pieces that the first has no room for, hold the hashes.
     """
 
     def __init__(self, vocabulary: Pieces, alpha: float):
         self.vocabulary = vocabulary
-        self.weights = {text: (rank + 1.0) ** -alpha for text, rank in ((t, vocabulary.ranks[i]) for t, i in vocabulary.ids.items())}
+        self.weights = {text: (vocabulary.ranks[i] + 1.0) ** -alpha for text, i in vocabulary.ids.items()}
         # A character that no piece covers is spelled in bytes; it weighs as the least likely piece, for each byte.
         self.rare = min(self.weights.values())
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.nodes = 0
-        self.edges = 0
-        self.arrays = [np.zeros(1 << 16), np.zeros(1 << 16, np.int8), np.zeros(1 << 16, np.int32)]
-        self.marks: list[float] = []
-        self.lengths: list[int] = []
-        self.labels: list[int] = []
-
-    def flat(self) -> list[np.ndarray]:
-        """Marks, lengths and labels of all edges; the new ones are moved into arrays that grow by doubling."""
-        new = self.edges + len(self.marks)
-        if new > len(self.arrays[0]):
-            room = max(new, 2 * len(self.arrays[0]))
-            self.arrays = [np.concatenate([a[: self.edges], np.zeros(room - self.edges, a.dtype)]) for a in self.arrays]
-        for array, part in zip(self.arrays, (self.marks, self.lengths, self.labels)):
-            array[self.edges : new] = part
-            part.clear()
-        self.edges = new
-        return [a[:new] for a in self.arrays]
-
-    def add(self, chunk: str) -> None:
-        """Number the chunk's nodes and append their edges. An edge's label is a piece id, or -1 for spelling in bytes."""
-        self.known[chunk] = self.nodes
-        weights, ids, longest = self.weights, self.vocabulary.ids, self.vocabulary.longest
-        forward = [1.0]
-        node = self.nodes
-        marks, lengths, labels = self.marks, self.lengths, self.labels
-        for end in range(1, len(chunk) + 1):
-            edges = []
-            total = 0.0
-            for start in range(max(0, end - longest), end):
-                part = chunk[start:end]
-                weight = weights.get(part)
-                if weight is not None:
-                    total += forward[start] * weight
-                    edges.append((total, end - start, ids[part]))
-            if chunk[end - 1] not in weights:
-                total += forward[end - 1] * self.rare ** len(chunk[end - 1].encode())
-                edges.append((total, 1, -1))
-            for running, length, label in edges:
-                marks.append(node + running / total)
-                lengths.append(length)
-                labels.append(label)
-            marks[-1] = node + 1.0
+        texts = sorted(vocabulary.ids)
+        self.ids = np.array([vocabulary.ids[t] for t in texts], np.int32)
+        self.piece_weights = np.array([self.weights[t] for t in texts])
+        self.sizes = np.array([len(t) for t in texts], np.int8)
+        with np.errstate(over="ignore"):
+            self.powers = np.cumprod(np.full(vocabulary.longest, _BASE, np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            hashes = []
+            for text in texts:
+                codes = np.array([ord(c) for c in reversed(text)], np.uint64)
+                hashes.append(int((codes * self.powers[: len(codes)]).sum()))
+        self.hashes = np.array(hashes, np.uint64)
+        self.tables, left = [], np.arange(len(texts))
+        for shift in (np.uint64(46), np.uint64(20)):
+            table = np.full(1 << 18, -1, np.int32)
+            slots = self._slots(self.hashes[left], shift)
+            table[slots] = left
+            self.tables.append((table, shift))
+            left = left[table[slots] != left]
+        self.extra = left  # next to none: what neither table has room for
+
+    @staticmethod
+    def _slots(hashes: np.ndarray, shift: np.uint64) -> np.ndarray:
+        return ((hashes >> shift) & np.uint64((1 << 18) - 1)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray, size: int) -> np.ndarray:
+        """Numbers of the pieces of `size` characters with these hashes, -1 where there is none."""
+        found = np.full(len(hashes), -1, np.int32)
+        for table, shift in self.tables:
+            number = table[self._slots(hashes, shift)]
+            hit = np.flatnonzero(number >= 0)
+            number = number[hit]
+            same = (self.hashes[number] == hashes[hit]) & (self.sizes[number] == size)
+            found[hit[same]] = number[same]
+        for number in self.extra.tolist():
+            if self.sizes[number] == size:
+                found[hashes == self.hashes[number]] = number
+        return found
+
+    def build(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Lattices of chunks sorted by length, longest first: (offsets, running, labels).
+
+        The node of chunk k and position p (1 and up) is offsets[p - 1] + k: all chunks' first positions, then all second
+        ones of the chunks that have one, and so on, so that each step works on whole arrays. running[node, n - 1] is
+        the probability that the piece ending there has at most n characters, labels[node, n - 1] its id, -1 for spelling.
+        """
+        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        most, wide = int(lengths[0]), self.vocabulary.longest
+        alive = np.searchsorted(-lengths, -np.arange(1, most + 1), side="right")  # chunks that have the position
+        offsets = np.concatenate([[0], np.cumsum(alive)])
+        flat = np.frombuffer("".join(chunks).encode("utf-32-le"), "<u4").astype(np.uint64)
+        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        codes = [flat[starts[:m] + p] for p, m in enumerate(alive.tolist())]
+        running = np.empty((int(offsets[-1]), wide), np.float32)
+        labels = np.empty((int(offsets[-1]), wide), np.int32)
+        forward = [np.ones(len(chunks))]
+        for p, m in enumerate(alive.tolist()):
+            rows = slice(int(offsets[p]), int(offsets[p]) + m)
+            total, hashes = np.zeros(m), np.zeros(m, np.uint64)
+            sums, own = np.empty((wide, m), np.float32), np.full((wide, m), -1, np.int32)
+            steps = []
+            for n in range(1, min(p + 1, wide) + 1):
+                with np.errstate(over="ignore"):
+                    hashes = hashes + codes[p + 1 - n][:m] * self.powers[n - 1]
+                number = self.find(hashes, n)
+                hit = np.flatnonzero(number >= 0)
+                total[hit] += forward[p + 1 - n][hit] * self.piece_weights[number[hit]]
+                own[n - 1][hit] = self.ids[number[hit]]
+                if n == 1 and len(hit) < m:
+                    odd = np.flatnonzero(number < 0)
+                    spelled = 1 + (codes[p][odd] > 0x7F) + (codes[p][odd] > 0x7FF) + (codes[p][odd] > 0xFFFF)
+                    total[odd] += forward[p][odd] * self.rare ** spelled.astype(float)
+                steps.append(total.copy())
+            for n in range(wide):
+                np.divide(steps[min(n, len(steps) - 1)], total, out=sums[n], casting="same_kind")
+            running[rows], labels[rows] = sums.T, own.T
             forward.append(total)
-            if total < 1e-200:  # only ratios matter: rescale what later positions can still reach
-                low = max(0, end - longest)
-                forward[low:] = [f / total for f in forward[low:]]
-            node += 1
-        self.nodes = node
+            small = np.flatnonzero(total < 1e-150)
+            for q in range(max(0, p + 2 - wide), p + 2) if len(small) else ():  # only ratios matter
+                forward[q][small] *= 1e140
+        return offsets, running, labels
+
+
+def _draws(row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Uniform numbers in [0, 1) for positions `at` of rows."""
+    with np.errstate(over="ignore"):
+        bits = mix64(row + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return (bits >> np.uint64(11)).astype(np.float64) * 2.0**-53
+
+
+def _sample_long(chunk: str, row: np.uint64, start: int, lattices: Lattices) -> list[tuple[int, int]]:
+    """(end, label) of the pieces of one long chunk that begins at `start` of its text: the same, a step at a time."""
+    weights, ids, longest = lattices.weights, lattices.vocabulary.ids, lattices.vocabulary.longest
+    forward, steps = [1.0], []
+    for end in range(1, len(chunk) + 1):
+        total, edges = 0.0, []
+        for n in range(1, min(end, longest) + 1):
+            weight = weights.get(chunk[end - n : end])
+            if weight is None and n == 1:
+                weight = lattices.rare ** len(chunk[end - 1].encode())
+            if weight is not None:
+                total += forward[end - n] * weight
+                edges.append((total, n))
+        steps.append((total, edges))
+        forward.append(total)
+        if total < 1e-150:
+            forward[-longest:] = [f * 1e140 for f in forward[-longest:]]
+    u = _draws(np.full(len(chunk), row), np.arange(start + 1, start + len(chunk) + 1)).tolist()
+    out, end = [], len(chunk)
+    while end:
+        total, edges = steps[end - 1]
+        n = next((n for running, n in edges if running > u[end - 1] * total), edges[-1][1])
+        out.append((end, ids.get(chunk[end - n : end], -1)))
+        end -= n
+    return out
 
 
 def sample(texts: list[str], keys: np.ndarray, lattices: Lattices, seed: int) -> list[np.ndarray]:
@@ -137,36 +201,39 @@ def sample(texts: list[str], keys: np.ndarray, lattices: Lattices, seed: int) ->
         counts.append(len(own))
     if not chunks:
         return [np.zeros(0, np.int32) for _ in texts]
-    known = lattices.known
-    for chunk in chunks:
-        if chunk not in known:
-            lattices.add(chunk)
-    base = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
     sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
-    marks, lengths, labels = lattices.flat()
+    kinds = set(chunks)
+    long = {c for c in kinds if len(c) > LONG} if sizes.max() > LONG else set()
+    kinds = sorted(kinds - long, key=len, reverse=True)
+    number = dict(zip(kinds, range(len(kinds)))) | dict.fromkeys(long, -1)
+    kind = np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
 
     ends = np.cumsum(sizes)
+    first = ends - sizes
     text_of = np.repeat(np.arange(len(texts)), counts)
-    text_end = np.zeros(len(texts), np.int64)
-    np.add.at(text_end, text_of, sizes)
-    text_end = np.cumsum(text_end)
+    text_end = np.cumsum(np.bincount(text_of, sizes, len(texts)).astype(np.int64))
     text_start = np.concatenate([[0], text_end[:-1]])
-    row = mix64(keys.astype(np.int64).view(np.uint64) ^ mix64(np.array([seed], np.uint64)))[text_of]
-    first = ends - sizes
-    at = sizes.copy()  # position in the chunk that each sample has come back to
+    row = mix64(keys.astype(np.int64).view(np.uint64) ^ mix64(np.array([seed], np.uint64)))
     label_at = np.full(int(ends[-1]) + 1, -2, np.int32)
-    active = np.arange(len(chunks))
-    while len(active):
-        here = first[active] + at[active]
-        with np.errstate(over="ignore"):
-            draw = mix64(row[active] + (here - text_start[text_of[active]]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        # Short of 1 by more than the rounding of node + u, which must stay with its node.
-        u = np.minimum((draw >> np.uint64(11)).astype(np.float64) * 2.0**-53, 1 - 2.0**-24)
-        node = base[active] + at[active] - 1
-        edge = np.searchsorted(marks, node + u, side="right")
-        label_at[here] = labels[edge]
-        at[active] -= lengths[edge]
-        active = active[at[active] > 0]
+    active = np.flatnonzero(kind >= 0)
+    if len(active):
+        offsets, running, labels = lattices.build(kinds)
+        at = sizes[active]  # position in the chunk that each sample has come back to
+        kind, begin, row_of = kind[active], first[active], row[text_of[active]]
+        inside = begin - text_start[text_of[active]]
+        while len(at):
+            u = np.minimum(_draws(row_of, inside + at), 1 - 2.0**-24).astype(np.float32)
+            node = offsets[at - 1] + kind
+            taken = (running[node] <= u[:, None]).sum(axis=1, dtype=np.int64)
+            label_at[begin + at] = labels[node, taken]
+            at = at - taken - 1
+            going = at > 0
+            if not going.all():
+                at, kind, begin, row_of, inside = at[going], kind[going], begin[going], row_of[going], inside[going]
+    for i in np.flatnonzero(sizes > LONG).tolist():
+        own = text_of[i]
+        for end, label in _sample_long(chunks[i], row[own], int(first[i] - text_start[own]), lattices):
+            label_at[first[i] + end] = label
 
     out = []
     joined = "".join(chunks)
@@ -203,8 +270,6 @@ def _encoded(path: str, seed: int, alpha: float):
             while high < len(texts) and (high == low or size + len(texts[high]) <= SLICE):
                 size += len(texts[high])
                 high += 1
-            if lattices.nodes > REMEMBERED:
-                lattices.clear()
             out += sample(texts[low:high], keys[low:high], lattices, seed)
             low = high
         bounds = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
@@ -221,8 +286,11 @@ def _lattices(path: str, alpha: float) -> Lattices:
 def _decoded(path: str):
     @F.arrow_udf("string")
     def decoded(ids: pa.Array) -> pa.Array:
-        vocabulary = pieces(path)
-        return pa.array([None if x is None else decode(np.array(x, np.int64), vocabulary) for x in ids.to_pylist()], pa.string())
+        vocabulary, flat, bounds, at = pieces(path), ids.flatten().to_numpy(), [], 0
+        for length in pc.list_value_length(ids).to_pylist():
+            bounds.append(None if length is None else (at, at + length))
+            at += length or 0
+        return pa.array([None if b is None else decode(flat[b[0] : b[1]], vocabulary) for b in bounds], pa.string())
 
     return decoded
 
@@ -240,4 +308,5 @@ def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
 
 def decode_pieces(encoded: DataFrame, model: str, ids_col: str = "pieces", to: str = "decoded") -> DataFrame:
     """Add `to`, the text that the ids in `ids_col` spell. Null ids: null; no ids: empty."""
-    return encoded.withColumn(to, _decoded(model)(F.col(ids_col)))
+    # The condition keeps two Python functions from being chained, which would run the first of them once for each use.
+    return encoded.withColumn(to, _decoded(model)(F.when(F.col(ids_col).isNotNull(), F.col(ids_col))))
