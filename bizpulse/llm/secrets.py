@@ -25,7 +25,8 @@ BASE = {
     "hex": (re.compile("[0-9a-f]{24,}"), 24),  # runs of [0-9a-f]+ that are long enough
 }
 #: Weak parts, then the kind of a whole credential.
-VALUE = re.compile(r"(?<![A-Za-z0-9+/=_.-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_.-])")
+#: A value may begin after '=', ':' or a quote and end before '.', ',' or ';'. Longer runs are data, not keys.
+VALUE = re.compile(r"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/]{20,256}+={0,2}+(?![A-Za-z0-9+/=_-])")
 ENDPOINT = re.compile(r"(?a:\bhttps?://[A-Za-z0-9.-]+|(?<![a-z0-9.-])[a-z0-9.-]{1,200}\.amazonaws\.com\b|\b(?:jdbc|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9.:/@_-]+)")
 KINDS = ("assign", "access", "hex", "value", "endpoint", "credential")
 REACH = 200
@@ -38,6 +39,16 @@ def _entropy(text: str) -> float:
     return -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values())
 
 
+def _is_value(match: str) -> bool:
+    """Whether a match of VALUE looks random: entropy, whole base64 where it is padded, and, unless it has the 40 characters of
+    a secret access key, capitals, small letters and digits, which joined words and paths seldom have all."""
+    plain = match.rstrip("=")
+    if len(plain) < len(match) and len(match) % 4:
+        return False
+    mixed = len(plain) == 40 or all(re.search(c, plain) for c in ("[A-Z]", "[a-z]", "[0-9]"))
+    return mixed and _entropy(plain) >= ENTROPY
+
+
 def base_spans(text: str) -> list[Span]:
     spans = []
     for kind, (pattern, least) in BASE.items():
@@ -57,7 +68,7 @@ def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
     for role, kind, pattern in (("secret", "value", VALUE), ("endpoint", "endpoint", ENDPOINT)):
         for m in pattern.finditer(text):
             inside = any(a < m.end() and m.start() < b for a, b in taken)
-            if not inside and (kind != "value" or _entropy(m.group()) >= ENTROPY):
+            if not inside and (kind != "value" or _is_value(m.group())):
                 parts.append((role, kind, m.start(), m.end()))
     parts.sort(key=lambda p: (p[2], p[3], p[1]))
     out: list[Span] = []
