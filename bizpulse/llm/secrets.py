@@ -1,15 +1,16 @@
 """Secrets in texts: single patterns, and credentials that come in several parts.
 
-Access identifiers, secret values and endpoints are joined as intervals within scopes. A scope is a stretch of one
-document in which no gap between parts exceeds `reach` code points, so all that can be joined lies in one row; the join is
-a sweep over that row's parts in order of place. Parts that are weak alone (a bare value of high entropy, an endpoint) are
-reported only when an access identifier or labelled secret stands in the same scope.
+Access identifiers, secret values and endpoints are joined as intervals: two parts of different roles are linked when the
+gap between them is at most `reach` code points. The join is a sweep over one text's parts in order of place that keeps the
+parts still in reach, so it is linear in the parts. Parts that are weak alone (a bare value of high entropy, an endpoint)
+are reported only when a part of another role is in reach of themselves.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import pyarrow as pa
@@ -32,7 +33,10 @@ KINDS = ("assign", "access", "hex", "value", "endpoint", "credential")
 REACH = 200
 ENTROPY = 4.0
 
-Span = tuple[str, int, int, float]
+#: Kind, start, end, score, starts of what it is linked with.
+Span = tuple[str, int, int, float, list[int]]
+#: Role, kind, start, end.
+Part = tuple[str, str, int, int]
 
 
 def _entropy(text: str) -> float:
@@ -54,49 +58,78 @@ def base_spans(text: str) -> list[Span]:
     for kind, (pattern, least) in BASE.items():
         for m in pattern.finditer(text):
             if len(m.group(2) if kind == "assign" else m.group()) >= least:
-                spans.append((kind, m.start(), m.end(), 1.0))
+                spans.append((kind, m.start(), m.end(), 1.0, []))
     return spans
 
 
+def _apart(spans: list[Span]):
+    """Whether an interval is apart from all spans: among merged spans in order, only the last that starts before its end counts."""
+    merged: list[list[int]] = []
+    for start, end in sorted((s[1], s[2]) for s in spans):
+        if merged and start <= merged[-1][1]:
+            merged[-1][1] = max(end, merged[-1][1])
+        else:
+            merged.append([start, end])
+    starts = [start for start, _ in merged]
+
+    def apart(start: int, end: int) -> bool:
+        last = bisect_left(starts, end) - 1
+        return last < 0 or merged[last][1] <= start
+
+    return apart
+
+
+def _parts(text: str, base: list[Span]) -> list[Part]:
+    """Base spans and weak parts apart from them, in order of place; nothing if no two roles can meet."""
+    parts: list[Part] = [("id" if s[0] == "access" else "secret", *s[:3]) for s in base]
+    apart = _apart(base)
+    for m in VALUE.finditer(text):
+        if apart(*m.span()) and _is_value(m.group()):
+            parts.append(("secret", "value", *m.span()))
+    if parts and ("://" in text or ".amazonaws.com" in text):
+        parts += (("endpoint", "endpoint", *m.span()) for m in ENDPOINT.finditer(text) if apart(*m.span()))
+    return sorted(parts, key=lambda p: (p[2], p[3], p[1]))
+
+
+def _links(parts: list[Part], reach: int) -> list[list[int]]:
+    """For each part the numbers of the parts of other roles in reach, in order of place."""
+    links: list[list[int]] = [[] for _ in parts]
+    near: list[int] = []
+    for i, (role, _, start, _) in enumerate(parts):
+        near = [k for k in near if parts[k][3] + reach >= start]
+        for k in near:
+            if parts[k][0] != role:
+                links[k].append(i)
+                links[i].append(k)
+        near.append(i)
+    return links
+
+
 def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
-    """Weak parts and whole credentials, by a sweep over all parts in order of place."""
-    strong = [("id" if kind == "access" else "secret", kind, start, end) for kind, start, end, _ in base]
-    if not strong:
-        return []  # weak parts need a complement
-    taken = sorted((start, end) for _, _, start, end in strong)
-    parts = list(strong)
-    for role, kind, pattern in (("secret", "value", VALUE), ("endpoint", "endpoint", ENDPOINT)):
-        for m in pattern.finditer(text):
-            inside = any(a < m.end() and m.start() < b for a, b in taken)
-            if not inside and (kind != "value" or _is_value(m.group())):
-                parts.append((role, kind, m.start(), m.end()))
-    parts.sort(key=lambda p: (p[2], p[3], p[1]))
-    out: list[Span] = []
-    scope: list[tuple[str, str, int, int]] = []
-    reached = 0
-
-    def close() -> None:
-        roles = {role for role, *_ in scope}
-        sure = any(kind in BASE for _, kind, _, _ in scope)
-        if sure and len(roles) > 1:
-            score = 0.6 + 0.2 * (len(roles) - 1)
-            out.extend((kind, start, end, score) for role, kind, start, end in scope if kind not in BASE)
-            if {"id", "secret"} <= roles:
-                out.append(("credential", scope[0][2], max(end for *_, end in scope), score))
-
-    for part in parts:
-        if scope and part[2] > reached + reach:
-            close()
-            scope = []
-            reached = 0
-        scope.append(part)
-        reached = max(reached, part[3])
-    close()
-    return out
+    """Weak parts with a complement in reach, then a whole credential for each linked pair of an identifier and a secret, both in
+    order of place. The base spans' own links are filled in."""
+    parts = _parts(text, base)
+    links = _links(parts, reach)
+    own = {(s[0], s[1], s[2]): s for s in base}
+    weak: list[Span] = []
+    whole: list[Span] = []
+    for i, (role, kind, start, end) in enumerate(parts):
+        starts = [parts[k][2] for k in links[i]]
+        if kind in BASE:
+            own[kind, start, end][4][:] = starts
+        elif starts:
+            roles = {role} | {parts[k][0] for k in links[i]}
+            weak.append((kind, start, end, 0.6 + 0.2 * (len(roles) - 1), starts))
+        for k in links[i] if role == "id" else ():
+            other, _, from_, to = parts[k]
+            if other == "secret":
+                ends = sorted({parts[e][2] for e in links[i] + links[k] if parts[e][0] == "endpoint"})
+                whole.append(("credential", min(start, from_), max(end, to), 1.0 if ends else 0.8, [start, from_, *ends]))
+    return weak + sorted(whole, key=lambda s: s[1:3])
 
 
 def _found(reach: int):
-    @F.arrow_udf("array<struct<kind: string, start: bigint, end: bigint, score: double>>")
+    @F.arrow_udf("array<struct<kind: string, start: bigint, end: bigint, score: double, links: array<bigint>>>")
     def found(texts: pa.Array) -> pa.Array:
         rank = {kind: i for i, kind in enumerate(KINDS)}
         counts, flat = [0], []
@@ -107,10 +140,13 @@ def _found(reach: int):
                 spans.sort(key=lambda s: (s[1], rank[s[0]], s[2]))
                 flat += spans
             counts.append(len(flat))
-        kinds, starts, ends, scores = zip(*flat) if flat else ((), (), (), ())
+        kinds, starts, ends, scores, links = zip(*flat) if flat else ((), (), (), (), ())
         values = pa.StructArray.from_arrays(
-            [pa.array(kinds, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64()), pa.array(scores, pa.float64())],
-            ["kind", "start", "end", "score"],
+            [
+                pa.array(kinds, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64()), pa.array(scores, pa.float64()),
+                pa.array(links, pa.list_(pa.int64())),
+            ],
+            ["kind", "start", "end", "score", "links"],
         )
         return pa.ListArray.from_arrays(pa.array(counts, pa.int32()), values)
 
@@ -118,12 +154,14 @@ def _found(reach: int):
 
 
 def find_secrets(docs: DataFrame, text_col: str = "text", reach: int = REACH) -> DataFrame:
-    """Add `secrets`, an array of (kind, start, end, score) in code points, end exclusive, by start, then kind.
+    """Add `secrets`, an array of (kind, start, end, score, links) in code points, end exclusive, by start, then kind.
 
     Kinds assign, access and hex are base spans: all matches of their patterns that are long enough; a shorter match is
-    dropped and its characters are not tried again. Kinds value and endpoint are weak parts that stand, with gaps of at
-    most `reach`, in a scope with a base span of another role; credential spans a scope with identifier and secret. Null
-    or empty text: an empty array. Repeated rows are reported each. A column named `secrets` is replaced.
+    dropped and its characters are not tried again. Kinds value and endpoint are weak parts with a part of another role
+    (identifier, secret, endpoint) at a gap of at most `reach`; a credential is a linked pair of identifier and secret.
+    `links` has the starts of a part's complements in reach, for a credential those of its identifier, its secret and the
+    endpoints of either. Null or empty text: an empty array. Repeated rows are reported each. A column named `secrets` is
+    replaced.
     """
     text_batches(docs.sparkSession)
     return docs.drop("secrets").withColumn("secrets", _found(reach)(F.col(text_col)))

@@ -109,6 +109,27 @@ def test_values_are_no_words_or_names():
         assert secrets.linked_spans(text, secrets.base_spans(text)) == [], word
 
 
+def test_credentials_are_pairs():
+    """A long list of pairs gives one credential each; weak parts need a complement in reach of themselves."""
+    some = secrets.linked_spans
+    ids, values = [f"AKIA{i:016d}" for i in range(3000)], [f"{i:04d}" + KEY40[4:] for i in range(3000)]
+    text = "".join(f"{i}:{v}" + "\n" * 300 for i, v in zip(ids, values))
+    spans = some(text, secrets.base_spans(text))
+    assert [text[s[1] : s[2]] for s in spans if s[0] == "credential"] == [f"{i}:{v}" for i, v in zip(ids, values)]
+    assert [s[4] for s in spans if s[0] == "credential"] == [[at, at + 21] for at in range(0, len(text), 361)]
+    text = "".join(f"{i} {v}\n" for i, v in zip(ids, values))  # each id reaches three to four secrets on either side, no more
+    spans = some(text, secrets.base_spans(text))
+    assert {(a, a + 21) for a in range(0, len(text), 62)} <= {tuple(s[4]) for s in spans if s[0] == "credential"}
+    assert max(s[2] - s[1] for s in spans) <= 20 + 200 + 40 and len(spans) < 10 * 3000
+    gap = "\n" * 150
+    text = gap.join([ids[0], "password=abcdef", "http://a.b", "token=abcdef", "http://c.d", "x", "http://e.f"])
+    base = secrets.base_spans(text)
+    assert [text[s[1] : s[2]] for s in some(text, base)] == ["http://a.b", "http://c.d", text[: text.index("http") - 150]]
+    assert [text[b[4][0] :][:10] for b in base if b[0] == "access"] == ["password=a"]
+    assert [s[0] for s in some(f"{KEY40} at https://host.org", [])] == ["value", "endpoint"]
+    assert some(f"{KEY40} {gap}{gap} https://host.org", []) == []
+
+
 def test_redaction_keeps_other_text(spark):
     df = spark.createDataFrame([(1, "é token=abcdefgh end"), (2, None), (3, "clean")], "i int, text string")
     found = secrets.find_secrets(df)
