@@ -29,6 +29,11 @@ BASE = {
 #: A value may begin after '=', ':' or a quote and end before '.', ',' or ';'. Longer runs are data, not keys.
 VALUE = re.compile(r"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/]{20,256}+={0,2}+(?![A-Za-z0-9+/=_-])")
 ENDPOINT = re.compile(r"(?a:\bhttps?://[A-Za-z0-9.-]+|(?<![a-z0-9.-])[a-z0-9.-]{1,200}\.amazonaws\.com\b|\b(?:jdbc|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9.:/@_-]+)")
+#: Addresses of any scheme with a password: group 1 is user:password. It ends at the last '@' before a slash, else at the first
+#: '@' after one, unless what looks like a password is a port.
+LOGIN = re.compile(
+    r"""(?a:(?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]{0,30}+://([^\s/@:"'<>]{0,200}:(?:[^\s/"'<>]{1,200}|(?![0-9]{1,5}/)(?:(?!://)[^\s"'<>]){1,200}?))@[A-Za-z0-9.:/@_-]*)"""
+)
 KINDS = ("assign", "access", "hex", "value", "endpoint", "credential")
 REACH = 200
 ENTROPY = 4.0
@@ -79,15 +84,22 @@ def _apart(spans: list[Span]):
     return apart
 
 
-def _parts(text: str, base: list[Span]) -> list[Part]:
-    """Base spans and weak parts apart from them, in order of place; nothing if no two roles can meet."""
+def _logins(text: str) -> list[re.Match]:
+    return list(LOGIN.finditer(text)) if "://" in text and "@" in text else []
+
+
+def _parts(text: str, base: list[Span], logins: list[re.Match]) -> list[Part]:
+    """Base spans, addresses with a password, and weak parts apart from them, in order of place; weak endpoints only if another
+    role is there."""
     parts: list[Part] = [("id" if s[0] == "access" else "secret", *s[:3]) for s in base]
     apart = _apart(base)
     for m in VALUE.finditer(text):
         if apart(*m.span()) and _is_value(m.group()):
             parts.append(("secret", "value", *m.span()))
     if parts and ("://" in text or ".amazonaws.com" in text):
+        apart = _apart(base + [("endpoint", *m.span(), 1.0, []) for m in logins])
         parts += (("endpoint", "endpoint", *m.span()) for m in ENDPOINT.finditer(text) if apart(*m.span()))
+    parts += (("endpoint", "endpoint", *m.span()) for m in logins)
     return sorted(parts, key=lambda p: (p[2], p[3], p[1]))
 
 
@@ -106,9 +118,11 @@ def _links(parts: list[Part], reach: int) -> list[list[int]]:
 
 
 def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
-    """Weak parts with a complement in reach, then a whole credential for each linked pair of an identifier and a secret, both in
-    order of place. The base spans' own links are filled in."""
-    parts = _parts(text, base)
+    """Weak parts with a complement in reach and addresses with a password, then a whole credential for each linked pair of an
+    identifier and a secret, both in order of place. The base spans' own links are filled in."""
+    logins = _logins(text)
+    alone = {m.span() for m in logins}
+    parts = _parts(text, base, logins)
     links = _links(parts, reach)
     own = {(s[0], s[1], s[2]): s for s in base}
     weak: list[Span] = []
@@ -117,8 +131,8 @@ def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
         starts = [parts[k][2] for k in links[i]]
         if kind in BASE:
             own[kind, start, end][4][:] = starts
-        elif starts:
-            roles = {role} | {parts[k][0] for k in links[i]}
+        elif starts or (kind == "endpoint" and (start, end) in alone):
+            roles = {role} | {parts[k][0] for k in links[i]} | ({"secret"} if (start, end) in alone else set())
             weak.append((kind, start, end, 0.6 + 0.2 * (len(roles) - 1), starts))
         for k in links[i] if role == "id" else ():
             other, _, from_, to = parts[k]
@@ -158,7 +172,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", reach: int = REACH) ->
 
     Kinds assign, access and hex are base spans: all matches of their patterns that are long enough; a shorter match is
     dropped and its characters are not tried again. Kinds value and endpoint are weak parts with a part of another role
-    (identifier, secret, endpoint) at a gap of at most `reach`; a credential is a linked pair of identifier and secret.
+    (identifier, secret, endpoint) at a gap of at most `reach`; an endpoint that carries a password stands alone. A credential is a linked pair of identifier and secret.
     `links` has the starts of a part's complements in reach, for a credential those of its identifier, its secret and the
     endpoints of either. Null or empty text: an empty array. Repeated rows are reported each. A column named `secrets` is
     replaced.
@@ -168,7 +182,8 @@ def find_secrets(docs: DataFrame, text_col: str = "text", reach: int = REACH) ->
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """`text` with every stretch that base spans or bare values cover replaced by `mark`; other text stays."""
+    """`text` with every stretch that base spans, bare values or an endpoint's user and password cover replaced by `mark`; other
+    text stays."""
     return _redacted(mark)(text, spans)
 
 
@@ -179,7 +194,10 @@ def _redacted(mark: str):
         for text, own in zip(texts.to_pylist(), spans.to_pylist()):
             if text and own:
                 parts, at = [], 0
-                for start, end in sorted((s["start"], s["end"]) for s in own if s["kind"] not in ("endpoint", "credential")):
+                covered = [(s["start"], s["end"]) for s in own if s["kind"] not in ("endpoint", "credential")]
+                ends = {(s["start"], s["end"]) for s in own if s["kind"] == "endpoint"}
+                covered += (m.span(1) for m in (_logins(text) if ends else ()) if m.span() in ends)
+                for start, end in sorted(covered):
                     if start >= at:
                         parts += [text[at:start], mark]
                     at = max(at, end)

@@ -137,6 +137,30 @@ def test_redaction_keeps_other_text(spark):
     assert rows(got) == [(1, "é [SECRET] end"), (2, None), (3, "clean")]
 
 
+LOGINS = {
+    "postgres://user:password@host/db": "postgres://[SECRET]@host/db", "see mongodb+srv://u:p%40w@a.b,c": "see mongodb+srv://[SECRET]@a.b,c",
+    "redis://:pw@h:6379/0": "redis://[SECRET]@h:6379/0", "https://u:p@w!$@h.org/x": "https://[SECRET]@h.org/x", "jdbc:mysql://u:a/b+c@h/d": "jdbc:mysql://[SECRET]@h/d",
+    f"postgresql://u:{'0123456789abcdef' * 2}@h": "postgresql://[SECRET]@h", "https://h.org:8080/@scope/x": None, "ssh://git@github.com:u/r": None, "http://h:80 a@b": None,
+    "postgres://host:5432/db": None,
+}
+
+
+def test_passwords_in_addresses_are_redacted_in_the_pipeline(spark):
+    import corpus_pipeline
+
+    data = [(i, t, "en", "h", len(t)) for i, t in enumerate(LOGINS)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.no_secrets(spark, docs, SF).collect()}
+    assert got == {i: new or old for i, (old, new) in enumerate(LOGINS.items())}
+    for text, new in LOGINS.items():
+        spans = secrets.linked_spans(text, secrets.base_spans(text))
+        assert [s[0] for s in spans] == (["endpoint"] if new else []), text
+    for text in ("x://a:b" * 30_000, "x://a:b," * 30_000, "a://" * 60_000 + "@", "x" * 200_000 + "://:@"):
+        began = time.monotonic()
+        secrets.linked_spans(text + "@", [])
+        assert time.monotonic() - began < 20
+
+
 def test_rules(spark, odd):
     data, df = odd
     got = {r.doc_id: r for r in host_rules.measure(df, ["doc_id"]).collect()}
