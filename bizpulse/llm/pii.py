@@ -12,6 +12,28 @@ from pyspark.sql import functions as F
 
 from bizpulse.llm.common import free_name
 
+#: Account numbers: countries by length, those that use the form without being in its registry included.
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST",
+    26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD", 28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """Groups of four with or without blanks between them, as many characters as the country's numbers have. For a country
+    without a known length the longest run of groups, up to where a number of a known one begins."""
+    known = "|".join(codes.replace(" ", "|") for codes in IBAN_COUNTRIES.values())
+    forms = []
+    for length, codes in IBAN_COUNTRIES.items():
+        groups, rest = divmod(length - 4, 4)
+        forms.append(rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{groups}}}" + (rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""))
+    blank = rf"(?:\x20(?!(?:{known})[0-9]{{2}}))?"
+    forms.append(rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?:{blank}[A-Z0-9]{{4}}){{2,7}}(?:{blank}[A-Z0-9]{{1,3}})?")
+    return rf"(?<![A-Za-z0-9])(?:{'|'.join(forms)})(?![A-Za-z0-9])"
+
+
 #: Base kinds, in the order in which they are reported, then the kinds that checks and context add.
 PATTERNS = {
     # [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
@@ -22,7 +44,7 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": _iban(),
     "ssn": r"(?<![A-Za-z0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![A-Za-z0-9-])",
 }
 BASE = ("email", "ip", "card", "phone")

@@ -62,6 +62,29 @@ def test_pii_checks_and_context(spark):
     assert got == {0: [("iban", "DE89 3704 0044 0532 0130 00")], 1: [], 2: [("ssn", "123-45-6789")], 3: [], 4: []}
 
 
+def test_ibans_of_all_countries_before_other_words(spark):
+    def number(country, length, seed):
+        own = "".join(random.Random(seed).choice("0123456789") for _ in range(length - 4))
+        rest = int("".join(str(int(c, 36)) for c in own + country) + "00") % 97
+        return f"{country}{98 - rest:02d}{own}"
+
+    assert number("BE", 16, 0)[:2] == "BE" and len(pii.IBAN_COUNTRIES) == 18
+    after = [" BIC", " EUR", " IBAN", " 12", " A", " ABCD EFGH", ".", "", " de89", " X1", "x"]
+    wanted = {}
+    for length, countries in pii.IBAN_COUNTRIES.items():
+        for country in countries.split():
+            plain = number(country, length, len(wanted))
+            for form in (plain, " ".join(plain[i : i + 4] for i in range(0, length, 4))):
+                for end in after:
+                    wanted[f"bank {form}{end}"] = [] if end == "x" else [form]
+    wanted["bank BE68 5390 0754 7034 BIC and AT611904300234573201 BIC"] = ["BE68 5390 0754 7034", "AT611904300234573201"]
+    wanted["bank DE89 3704 0044 0532 0130 00 AT61 1904 3002 3457 3201 BE68 5390 0754 7034 7"] = ["DE89 3704 0044 0532 0130 00", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034"]
+    wanted["bank QQ12 3456 7890 1234 BE68 5390 0754 7034"] = ["BE68 5390 0754 7034"]
+    wanted[f"bank {number('QQ', 21, 1)}"] = [number("QQ", 21, 1)]
+    got = {r.text: [s.text for s in r.pii if s.kind == "iban"] for r in pii.find_pii(spark.createDataFrame([(t,) for t in wanted], "text string")).collect()}
+    assert got == wanted
+
+
 def test_pii_stays_in_the_jvm(spark, odd):
     plan = pii.find_pii(odd[1])._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
