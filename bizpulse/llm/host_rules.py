@@ -84,15 +84,20 @@ def host_rates(measured: DataFrame, host: str) -> DataFrame:
     """One row per host: documents, failures, and `rate`, the failure rate shrunk by an empirical beta prior.
 
     The prior's mean is the mean of the hosts' rates; its weight comes from their variance beyond what counting alone makes
-    (method of moments). Without such a surplus all hosts are alike and the weight is large. The prior is one row; it is
-    fetched here, so `measured` should be stored.
+    (method of moments). Of `noise`, the mean of 1 / documents, the variance of the rates holds tau2 * (1 - noise) +
+    mean * (1 - mean) * noise, so the surplus is divided by 1 - noise. Without a surplus, or where no host has two documents,
+    all hosts are alike and the weight is large. The prior is one row; it is fetched here, so `measured` should be stored.
     """
     hosts = measured.groupBy(host).agg(F.count("*").alias("docs"), F.sum(F.col("base_failed").cast("long")).alias("failures"))
     share = F.col("failures") / F.col("docs")
-    prior = hosts.agg(F.avg(share).alias("mean"), F.var_samp(share).alias("variance"), F.avg(1 / F.col("docs")).alias("noise")).first()
+    moments = (F.avg(share).alias("mean"), F.var_samp(share).alias("variance"), F.avg(1 / F.col("docs")).alias("noise"), F.count("*").alias("hosts"))
+    prior = hosts.agg(*moments).first()
     mean = prior["mean"] or 0.0
     spread = mean * (1 - mean)
-    surplus = max((prior["variance"] or 0.0) - spread * (prior["noise"] or 0.0), spread * 1e-4, 1e-12)
+    noise, variance = prior["noise"] or 0.0, prior["variance"] or 0.0
+    # The mean's own variance comes back to `spread`; without it hosts of one document each would seem to differ.
+    surplus = (variance - (spread + variance / max(prior["hosts"], 1)) * noise) / max(1 - noise, 1e-6)
+    surplus = max(surplus, spread * 1e-4, 1e-12)
     weight = max(spread / surplus - 1, 1.0)
     rate = (F.col("failures") + F.lit(mean * weight)) / (F.col("docs") + F.lit(weight))
     return hosts.select(host, "docs", "failures", rate.alias("rate"))

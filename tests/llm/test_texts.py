@@ -204,6 +204,28 @@ def test_host_verdict_shrinks_small_hosts(spark):
     assert got[400].host_rate < 1.0  # one failure of one is pulled to the mean
 
 
+def host_rates(spark, hosts):
+    """hosts: name -> (documents, failures)."""
+    data = [(h, i < k) for h, (n, k) in hosts.items() for i in range(n)]
+    return {r.host: r.rate for r in host_rules.host_rates(spark.createDataFrame(data, "host string, base_failed boolean"), "host").collect()}
+
+
+def test_host_prior_with_mostly_one_document_hosts(spark):
+    """Rates from a beta(0.2, 1.8), weight 2: however many hosts have one document, the weight is near that."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    docs = np.where(np.arange(5000) % 50 == 0, 100, 1)
+    fails = rng.binomial(docs, rng.beta(0.2, 1.8, len(docs)))
+    hosts = {f"h{i}": (int(n), int(k)) for i, (n, k) in enumerate(zip(docs, fails))} | {"bad": (100, 90)}
+    got = host_rates(spark, hosts)
+    mean = np.mean([k / n for n, k in hosts.values()])
+    weight = (90 - 100 * got["bad"]) / (got["bad"] - mean)
+    assert 1 <= weight < 6 and got["bad"] > 0.85
+    alone = host_rates(spark, {f"h{i}": (1, int(i < 300)) for i in range(3000)})  # nothing is known of the hosts' spread
+    assert all(abs(rate - 0.1) < 0.01 for rate in alone.values())
+
+
 @pytest.mark.parametrize("name", ["pii", "secrets", "rules"])
 def test_empty_tables_and_clashing_names(spark, name):
     extra = "doc_id long, text string, source string, pii int, secrets int, found_email int, n_words int, host int"
