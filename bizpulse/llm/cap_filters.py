@@ -25,6 +25,8 @@ CODES = 4
 #: Caps per vector and code on average, and at least. At a cosine of 0.93 vectors in 64 dimensions share about four in ten.
 CAPS, LEAST_CAPS = 24, 16
 BLOCKS = 4
+#: Words of a code at most.
+MOST_WORDS = 48
 #: Vectors of one group that a task compares at once.
 BLOCK_ROWS = 1024
 
@@ -85,27 +87,38 @@ def cap_codes(dim: int, words: int, caps: float = CAPS) -> list[CapCode]:
     return [CapCode(dim, words, caps, seed=7 + k) for k in range(CODES)]
 
 
-def _decoded(codes: list[CapCode]):
-    """Caps of each vector, those of all codes numbered one after the other."""
+def _decoded(codes: dict[int, list[CapCode]]):
+    """Caps of each vector by the codes of its dimension. Caps are numbered one code after the other, dimensions apart, so that
+    no cap is shared by two of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            units = np.array(batch.column(2).to_pylist(), dtype=np.float64)
-            for k, code in enumerate(codes):
-                lists = code.decode(units)
-                rows = pa.array(np.repeat(np.arange(len(lists)), [len(x) for x in lists]))
-                caps = np.concatenate(lists) + k * code.words**BLOCKS
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(caps.astype(np.int64))], ["rep", "label", "cap"]
-                )
+            values, at = _flat(batch.column(2))
+            for dim in np.unique(np.diff(at)):
+                own = np.flatnonzero(np.diff(at) == dim)
+                units = values[at[own][:, None] + np.arange(dim)]
+                for k, code in enumerate(codes[int(dim)]):
+                    lists = code.decode(units)
+                    rows = pa.array(np.repeat(own, [len(x) for x in lists]))
+                    caps = np.concatenate(lists) + k * code.words**BLOCKS + int(dim) * CODES * MOST_WORDS**BLOCKS
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(caps.astype(np.int64))], ["rep", "label", "cap"]
+                    )
 
     return run
 
 
-def _matrix(table: pa.Table) -> np.ndarray:
-    return np.array(table["unit"].to_pylist(), dtype=np.float64)
+def _flat(vectors: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All vectors' parts one after the other, and where each vector begins; the last place is the end."""
+    at = vectors.offsets.to_numpy().astype(np.int64)
+    return vectors.flatten().to_numpy(zero_copy_only=False), at - at[0]
+
+
+def _matrices(table: pa.Table, bounds: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Bounds and vectors of each group, which are of one dimension within it."""
+    values, at = _flat(table["unit"].combine_chunks())
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        yield low, high, values[at[low] : at[high]].reshape(high - low, -1)
 
 
 def _stars(threshold: float):
@@ -113,11 +126,10 @@ def _stars(threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_groups(batches, ["label", "cap", "block_i", "block_j"]):
-            units, reps = _matrix(table), table["rep"].to_numpy()
+            reps = table["rep"].to_numpy()
             a, b = [], []
-            for low, high in zip(bounds[:-1], bounds[1:]):
+            for low, high, own in _matrices(table, bounds):
                 if high - low > 1:
-                    own = units[low:high]
                     root = roots(lambda i, rest, own=own: own[rest] @ own[i] >= threshold, high - low)
                     other = root != np.arange(high - low)
                     a.append(reps[low:high][other])
@@ -133,11 +145,11 @@ def _counted(threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_groups(batches, ["component", "block_i", "block_j"]):
-            units, copies = _matrix(table), table["copies"].to_numpy().astype(np.float64)
+            copies = table["copies"].to_numpy().astype(np.float64)
             block, bi, bj = (table[c].to_numpy() for c in ("block", "block_i", "block_j"))
             links = np.zeros(table.num_rows, np.int64)
-            for low, high in zip(bounds[:-1], bounds[1:]):
-                own, times = units[low:high], copies[low:high]
+            for low, high, own in _matrices(table, bounds):
+                times = copies[low:high]
                 linked = own @ own.T >= threshold
                 if bi[low] != bj[low]:
                     linked &= block[low:high, None] != block[None, low:high]
@@ -155,10 +167,9 @@ def near_vectors(
     """`id_col`, `n_links`, `component_id` and `kept`, one row per distinct id and one per row whose id is null.
 
     Vectors with equal, non-null labels are linked when their cosine in double precision is at least `threshold` and caps
-    bring them together. n_links counts the other vectors linked directly, exact copies included; component_id is the
+    bring them together; each dimension is joined within itself. n_links counts the other vectors linked directly, exact copies included; component_id is the
     smallest id reachable; kept marks the one that names its component. A vector that is null, empty, zero or has null or
-    non-finite parts links with nothing, nor does one of another dimension than the most common. Rows of equal id and vector
-    count once; a null id links with nothing and names no component (n_links 0, component_id null, kept true).
+    non-finite parts links with nothing. Rows of equal id and vector count once; a null id links with nothing and names no component (n_links 0, component_id null, kept true).
 
     Exact copies are reduced to one representative first. Large groups are compared in blocks of bounded size; links
     are counted in components, so each pair is met once.
@@ -183,13 +194,12 @@ def near_vectors(
     reps = keyed.join(members.filter("id = rep").select("id", "key", "rep", "copies"), ["id", "key"])
     reps = materialize(reps.select("rep", "copies", label.alias("label"), "unit"), "reps")
 
-    found = reps.groupBy(F.size("unit").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    if found is None:
-        return _result(rows.select("id").distinct(), id_col)
-    dim = found["dim"]
-    reps = reps.filter(F.size("unit") == dim)
-    words = min(48, max(12, math.ceil((found["count"] * caps * 2) ** (1 / BLOCKS))))
-    codes = cap_codes(dim, words, caps)
+    # A dimension that one representative has alone cannot be near another, so it needs no codes.
+    found = {r["dim"]: r["count"] for r in reps.groupBy(F.size("unit").alias("dim")).count().filter("count > 1").collect()}
+    codes = {
+        dim: cap_codes(dim, min(MOST_WORDS, max(12, math.ceil((count * caps * 2) ** (1 / BLOCKS)))), caps) for dim, count in sorted(found.items())
+    }
+    reps = reps.filter(F.size("unit").isin(list(codes)))
 
     lists = materialize(reps.select("rep", "label", "unit").mapInArrow(_decoded(codes), "rep long, label long, cap long"), "caps")
     sizes = lists.groupBy("label", "cap").agg(F.count("*").alias("n")).filter("n > 1")

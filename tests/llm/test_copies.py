@@ -129,6 +129,20 @@ def test_cap_filters(spark, monkeypatch):
         assert got == wanted
 
 
+def test_cap_filters_join_each_dimension(spark, monkeypatch):
+    """Vectors of two models, mixed, and dimensions of one and two vectors; labels are shared by all."""
+    data = [(3 * i, v, l) for i, v, l in vectors()] + [(3 * i + 1, v, l) for i, v, l in vectors(seed=4, dim=48, families=10)]
+    data += [(3 * i + 2, v, 0) for i, v in enumerate([[1.0], [1.0, 2.0], [1.0, 2.1], [2.0, -1.0], [1.0, 2.0, 0.0], [2.0, 4.0]])]
+    wanted = {}
+    for dim in {len(v) for _, v, _ in data}:
+        wanted |= brute.near_vectors([row for row in data if len(row[1]) == dim])
+    assert sum(n for i, (_, n) in wanted.items() if i % 3 == 1) > 50 and wanted[5][1] == wanted[8][1] == 2
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int").repartition(3)
+    for block in (1024, 4):
+        monkeypatch.setattr(cap_filters, "BLOCK_ROWS", block)
+        assert {r.vec_id: (r.component_id, r.n_links) for r in cap_filters.near_vectors(df).collect()} == wanted
+
+
 def test_caps_reach_pairs_at_the_threshold():
     """Recall at a cosine of exactly 0.93, the hardest pairs, with the production parameters."""
     rng = np.random.default_rng(1)
