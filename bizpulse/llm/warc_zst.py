@@ -32,8 +32,6 @@ SAMPLE_PAGES, DICTIONARY_BYTES = 200, 65_536
 #: A new archive is begun once one has so many bytes.
 ARCHIVE_BYTES = 256 << 20
 READ_BYTES = 1 << 20
-#: Longest header block that the reader takes.
-HEADER_BYTES = 1 << 16
 
 RECORD_SCHEMA = (
     "archive string, record_id string, record_type string, target_uri string, payload_digest string, refers_to string,"
@@ -79,7 +77,7 @@ def dictionary_frame(dictionary: bytes) -> bytes:
 def _headers(block: bytes, first: bytes) -> tuple[dict[str, str], bytes]:
     head, gap, rest = block.partition(b"\r\n\r\n")
     lines = head.split(b"\r\n")
-    if not gap or len(head) > HEADER_BYTES or not lines[0].startswith(first):
+    if not gap or not lines[0].startswith(first):
         raise BadArchive(f"no {first.decode()} header block")
     out: dict[str, str] = {}
     for line in lines[1:]:

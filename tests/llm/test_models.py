@@ -173,6 +173,13 @@ def test_archives(spark):
     assert warc_zst.archive_round_trip(df.filter("false")).count() == 0
 
 
+def test_warc_with_very_long_urls(spark):
+    urls = ["data:text/html," + "x" * 100_000, "http://h/" + " \x01" * 50_000, "http://h/"]
+    df = spark.createDataFrame([(i, u, f"page {i // 2}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r.record_id: (r.record_type, r.target_uri) for r in warc_zst.archive_round_trip(df).collect()}
+    assert got == {"0": ("revisit", urls[0]), "1": ("response", urls[1].replace(" ", "%20").replace("\x01", "%01")), "2": ("response", urls[2])}
+
+
 def test_archives_of_the_given_pages(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     records = warc_zst.archive_round_trip(spark.read.parquet(f"{SF}/pages.parquet"))
