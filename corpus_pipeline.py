@@ -39,9 +39,9 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences, with a checksum of their ids."""
+    """Pieces of token sequences: their places, their ids and a checksum of these."""
     pieces = packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [("quality", quality), ("lines", lines), ("near_copies", near_copies), ("secrets", no_secrets), ("packing", pack)]

@@ -43,6 +43,23 @@ def test_stages(spark, folder):
         docs = out
 
 
+def test_packed_ids_are_stored(spark, folder):
+    """Each text's ids can be put together again from what the last stage stores."""
+    import zlib
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
+    corpus_pipeline.pack(spark, docs, SF).write.parquet(f"{folder}/packed")
+    ids = packing._tokenizer(queries.tokenizer_file("word_bpe_49k.json"))
+    whole = {}
+    for r in sorted(spark.read.parquet(f"{folder}/packed").collect(), key=lambda r: (r.doc_id, r.start)):
+        assert len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32
+        whole[r.doc_id] = whole.get(r.doc_id, b"") + r.ids
+    for r in docs.collect():
+        wanted = ids.encode(r.text or "", add_special_tokens=False).ids
+        got = [int.from_bytes(whole[r.doc_id][k : k + 4], "little") for k in range(0, 4 * len(wanted), 4)]
+        assert got == wanted and len(whole[r.doc_id]) == 4 * len(wanted) + 4
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
