@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from bizpulse.llm import (
     cap_filters,
+    chat_format,
+    collocations,
     host_rules,
     line_dedup,
     ngram_join,
@@ -17,6 +19,7 @@ from bizpulse.llm import (
     quality_gam,
     sampled_pieces,
     secrets,
+    spelling,
     warc_zst,
 )
 from bizpulse.llm.sql import ORACLE
@@ -107,10 +110,30 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(_table(spark, sf_dir, "documents")))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    made = chat_format.format_chats(told.union(more)).withColumns({"turns": chat_format.read_chats(F.col("formatted")), "trained": chat_format.loss_text(F.col("segments"))})
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return made.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"), F.length("trained").cast("long").alias("loss_chars"),
+        F.sha2("trained", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"), "valid", "bad_turn",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         op1_pii, op2_ngram_join, op3_line_dedup, op4_warc, op5_secrets, op6_quality, op7_packing, op8_cap_filters,
-        op9_sampled_pieces, op10_host_rules,
+        op9_sampled_pieces, op10_host_rules, op11_spelling, op12_collocations, op13_chat_format,
     ]
     return {f.__name__: f for f in own}
 

@@ -125,6 +125,67 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        round(rate, 9) AS host_rate
 FROM judged JOIN rates USING (host)"""
 
+_HEX = "0123456789abcdef"
+_SPELLING = f"""
+WITH RECURSIVE table_ AS (SELECT list_transform(range(256), lambda k: list_reduce(list_prepend(CAST(k AS BIGINT), range(8)),
+    lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT run, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, len(x) // 2 + 1), lambda k:
+      CAST(16 * (strpos('{_HEX}', x[2 * k - 1]) - 1) + strpos('{_HEX}', x[2 * k]) - 1 AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM (SELECT run, n, lower(hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run))) AS x FROM runs), table_),
+vocabulary AS (SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT word, i, word[1:i - 1] || word[i + 1:] AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)),
+shorter AS (SELECT DISTINCT c.word AS long_, v.word AS short_ FROM cut c JOIN vocabulary v ON v.word = c.rest),
+near AS (SELECT a.word AS word, b.word AS other FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT long_, short_ FROM shorter UNION SELECT short_, long_ FROM shorter),
+best AS (SELECT near.word AS word, count(*) AS n_near, max(v.n) AS form_n, min(v.word) FILTER (v.n = top) AS form
+  FROM (SELECT near.word, other, max(v.n) OVER (PARTITION BY near.word) AS top FROM near JOIN vocabulary v ON v.word = other) near
+  JOIN vocabulary v ON v.word = other GROUP BY near.word),
+judged AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * n THEN form END AS form, CASE WHEN form_n >= 5 * n THEN form_n END AS form_n
+  FROM vocabulary v LEFT JOIN best USING (word)),
+paths AS (SELECT word, word AS root, 0 AS steps FROM judged
+  UNION ALL SELECT paths.word, judged.form, steps + 1 FROM paths JOIN judged ON judged.word = paths.root WHERE judged.form IS NOT NULL)
+SELECT word, form, arg_max(root, steps) AS root, n, n_near, form_n FROM judged JOIN paths USING (word) GROUP BY ALL"""
+
+_FOLDED = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
+_PHRASES = rf"""
+WITH pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_FOLDED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+words AS (SELECT lang, unnest(w) AS word FROM pieces),
+totals AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+phrases AS (SELECT lang, w[i:i + k - 1] AS p, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k) GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT *, array_to_string(p, ' ') AS phrase FROM phrases WHERE len(p) > 1),
+cuts AS (SELECT lang, p, phrase, f, unnest(range(1, len(p))) AS k FROM candidates),
+scored AS (SELECT c.lang, c.phrase, c.f AS a, h.f AS l, t.f AS r, n, k, CAST((CAST(1000 AS HUGEINT) * c.f * n) // (CAST(h.f AS HUGEINT) * t.f) AS BIGINT) AS score
+  FROM cuts c JOIN phrases h ON h.lang = c.lang AND h.p = c.p[1:k] JOIN phrases t ON t.lang = c.lang AND t.p = c.p[k + 1:] JOIN totals ON totals.lang = c.lang),
+least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+within AS (SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN candidates b ON s.lang = b.lang AND s.f = b.f AND len(b.p) > len(s.p)
+  AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' '))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM least ANTI JOIN within USING (lang, phrase) QUALIFY rank <= 2000"""
+
+_HARD = r"\### Assistant: </turn> ok"
+_CHATS = rf"""
+WITH told AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{_HARD}'), (-7, 1, 'assistant', '{_HARD}')),
+turns AS (SELECT *, row_number() OVER own - 1 AS i, coalesce(lag(role) OVER own, '') AS before,
+    length(text) + length(text) - length(replace(text, '\', '')) + (length(text) - length(replace(text, '</turn>', ''))) // 7
+      + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{{3,}}'), lambda x: length(x) - 2)), 0)
+      + CASE WHEN role IN ('user', 'system', 'assistant') THEN length(role) ELSE 5 + 2 * strlen(role) END + 14 AS chars
+  FROM told WINDOW own AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(sum(chars) AS BIGINT) AS formatted_chars,
+       bad_turn IS NULL AS valid, bad_turn
+FROM turns JOIN (SELECT conv_id, coalesce(min(i) FILTER (before || ' ' || role NOT IN (' system', ' user', 'system user', 'user assistant', 'assistant user')),
+    CASE WHEN arg_max(role, i) <> 'assistant' THEN count(*) END) AS bad_turn FROM turns GROUP BY conv_id) ends USING (conv_id) GROUP BY conv_id, bad_turn"""
+
 ORACLE: dict[str, str] = {
     "op1_pii": _found(_PII, "{rank}, start"),
     "op2_ngram_join": _GRAMS,
@@ -133,4 +194,7 @@ ORACLE: dict[str, str] = {
     "op5_secrets": _found(_SECRETS, "start, {rank}"),
     "op8_cap_filters": _VECTORS,
     "op10_host_rules": _RULES,
+    "op11_spelling": _SPELLING,
+    "op12_collocations": _PHRASES,
+    "op13_chat_format": _CHATS,
 }
