@@ -179,7 +179,8 @@ def _written(folder: str, dictionary: bytes, most: int):
                     out = system.open_output_stream(f"{root}/{name}")
                     if dictionary:
                         out.write(dictionary_frame(dictionary))
-                frame = packer.compress(record(row["page_id"], row["url"], row["payload"], row["digest"], row["original"]))
+                digest = base64.b32encode(row["sha"]).decode()
+                frame = packer.compress(record(row["page_id"], row["url"], row["payload"], digest, row["original"]))
                 out.write(frame)
                 size, count = size + len(frame), count + 1
                 if size >= most:
@@ -215,6 +216,9 @@ def write_archives(
     """Write one record per row into archives in `folder`, an address that every machine reaches; return the manifest
     (archive, records, bytes).
 
+    Who revisits whom is found from digests and ids alone and stored; payloads stay in the rows they came in, or meet their
+    original by id and digest, so that a payload that many pages share is written by as many tasks as its pages fill.
+
     Of rows with equal payloads of at least `least_bytes`, the one with the largest id is a response and the others revisit
     it; shorter payloads are responses all. Null html: an empty payload. Null url: about:blank. Rows that repeat the largest
     id are responses too. Rows with a null id revisit the largest id, and are responses where there is none.
@@ -225,23 +229,27 @@ def write_archives(
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.encode(html, "UTF-8").alias("payload")
     )
-    rows = rows.withColumn("sha", F.sha1("payload"))
-    owners = rows.groupBy("sha").agg(F.max("page_id").alias("owner"))
-    rows = rows.join(owners.hint("merge"), "sha")
-    apart = (F.octet_length("payload") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("owner"))
-    rows = rows.select("page_id", "url", "payload", F.unhex("sha").alias("sha"), F.when(apart, F.col("owner")).alias("original"))
+    rows = rows.withColumn("sha", F.unhex(F.sha1("payload")))
+    found = materialize(originals(rows.filter(F.octet_length("payload") >= least_bytes).select("page_id", "sha")), "originals")
+    same = F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha"))
+    rows = rows.join(found.withColumnsRenamed({"page_id": "_id", "sha": "_sha"}), same, "left").drop("_id", "_sha")
     dictionary = train_dictionary(pages, id_col, html_col)
     system, root = _filesystem(folder)
     system.create_dir(root, recursive=True)
-    coded = rows.mapInArrow(_coded, "page_id long, url string, payload binary, original long, digest string")
-    return materialize(coded.mapInArrow(_written(folder, dictionary, archive_bytes), "archive string, records long, bytes long"), "manifest")
+    written = rows.select("page_id", "url", "payload", "sha", "original").mapInArrow(
+        _written(folder, dictionary, archive_bytes), "archive string, records long, bytes long"
+    )
+    return materialize(written, "manifest")
 
 
-def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        digests = [base64.b32encode(x).decode() for x in batch.column("sha").to_pylist()]
-        columns = [batch.column(c) for c in ("page_id", "url", "payload", "original")]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(digests, pa.string())], ["page_id", "url", "payload", "original", "digest"])
+def originals(rows: DataFrame) -> DataFrame:
+    """Rows (page_id, sha, original) for the different (page_id, sha) of `rows` that revisit another page: `original` is the
+    largest id with that digest. Counts of digests are combined before they move; of a digest that many pages share, the pages
+    meet its one owner in a join that adaptive execution can split."""
+    each = materialize(rows.distinct(), "digests")
+    owners = each.groupBy("sha").agg(F.max("page_id").alias("original"), F.count("*").alias("pages"))
+    owners = materialize(owners.filter("pages > 1 AND original IS NOT NULL").drop("pages"), "owners")
+    return each.join(owners, "sha").filter(~F.col("page_id").eqNullSafe(F.col("original")))
 
 
 def _read(folder: str):
