@@ -178,21 +178,23 @@ def near_pairs(points: np.ndarray, lengths: np.ndarray, firsts: np.ndarray, lo:
     return np.concatenate(found_a), np.concatenate(found_b)
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table, edges in whole_groups(batches, ["m", "bucket"]):
-        sizes, bounds = np.diff(edges), edges[:-1]
-        lengths_m = table["m"].to_numpy()[bounds]
-        begin = 0
-        while begin < len(bounds):  # buckets of one length, as many as fit
-            end = begin + 1
-            while end < len(bounds) and lengths_m[end] == lengths_m[begin] and sizes[begin : end + 1].sum() * lengths_m[begin] <= CELLS:
-                end += 1
-            part = table.slice(int(bounds[begin]), int(sizes[begin:end].sum()))
-            yield from _bucket_pairs(part, bounds[begin:end] - bounds[begin], int(lengths_m[begin]))
-            begin = end
-
-
-def _bucket_pairs(part: pa.Table, bounds: np.ndarray, m: int) -> Iterator[pa.RecordBatch]:
+def _neighbours(queries: int, cells: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, edges in whole_groups(batches, ["m", "bucket"]):
+            widths = table["m"].to_numpy()[edges[:-1]]
+            begin = 0
+            while begin < len(widths):  # buckets of one length, as many as fit
+                end = begin + 1
+                while end < len(widths) and widths[end] == widths[begin] and (edges[end + 1] - edges[begin]) * widths[begin] <= cells:
+                    end += 1
+                part = table.slice(int(edges[begin]), int(edges[end] - edges[begin]))
+                yield from _bucket_pairs(part, edges[begin:end] - edges[begin], int(widths[begin]), queries)
+                begin = end
+
+    return run
+
+
+def _bucket_pairs(part: pa.Table, bounds: np.ndarray, m: int, queries: int) -> Iterator[pa.RecordBatch]:
     if part.num_rows == len(bounds):
         return
     words, n = part["word"].to_pylist(), part["n"].to_numpy()
@@ -201,8 +203,8 @@ def _bucket_pairs(part: pa.Table, bounds: np.ndarray, m: int) -> Iterator[pa.Rec
     firsts = np.zeros(len(words), dtype=bool)
     firsts[bounds] = True
     lo, hi = part["lo"].to_numpy(), part["hi"].to_numpy()
-    for begin in range(0, len(words), QUERIES):
-        a, b = near_pairs(points, lengths, firsts, lo, hi, slice(begin, begin + QUERIES))
+    for begin in range(0, len(words), queries):
+        a, b = near_pairs(points, lengths, firsts, lo, hi, slice(begin, begin + queries))
         order = np.lexsort((b, -n[b], a))  # the list is sorted by code points, so rows stand for them
         a, b = a[order], b[order]
         rows, first, many = np.unique(a, return_index=True, return_counts=True)
@@ -219,7 +221,7 @@ def near_words(words: DataFrame, most: int = MOST_BUCKET) -> DataFrame:
     told = buckets(words, most)
     parts = int(told.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = told.repartition(parts, "m", "bucket").sortWithinPartitions("m", "bucket", "word")
-    found = placed.mapInArrow(_neighbours, "word string, n_near long, best_n long, best string")
+    found = placed.mapInArrow(_neighbours(QUERIES, CELLS), "word string, n_near long, best_n long, best string")
     best = F.min(F.struct((-F.col("best_n")).alias("n"), F.col("best").alias("word"))).alias("best")
     each = found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best)
     return each.select("word", "n_near", (-F.col("best.n")).alias("best_n"), F.col("best.word").alias("best"))

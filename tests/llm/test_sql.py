@@ -18,4 +18,4 @@ def test_agrees_with_sql(spark, name):
 
 def test_registered():
     assert set(queries.queries()) | {"pipeline"} <= set(driver.queries())
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{k}" for k in range(1, 14)}
