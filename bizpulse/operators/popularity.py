@@ -13,8 +13,9 @@ from bizpulse.functions.scoring import WEIGHTS, min_max_normalize, popularity_sc
 from bizpulse.operators.ranking import rank_within
 from bizpulse.operators.silver import latest_per_key
 from bizpulse.schemas import MONTHLY, POPULARITY_COLUMNS
-from bizpulse.session import materialize
 
+#: Slices of equal scores' width that a city is ranked in.
+SLICES = 4096
 # Metric column -> its normalised column.
 NORMALIZED = {
     "avg_review_stars": "norm_stars",
@@ -146,15 +147,23 @@ def business_popularity(
     digits: int | None = None,
     by_event_day: bool = False,
 ) -> DataFrame:
-    """Popularity rows of one or many months.
+    """Popularity rows of one or many months, a frame that runs nothing and writes nothing until it is used."""
+    return ranked_popularity(popularity_inputs(business, reviews, tips, checkins, month_ends, by_event_day), weights, rank_by, digits)
 
-    The per-business inputs are far smaller than the events and feed the bounds, the scores and the ranks, so they
-    are written once to shared scratch: the events are read a single time. The ranks need written slices in any case.
+
+def ranked_popularity(
+    inputs: DataFrame, weights: Mapping[str, float] = WEIGHTS, rank_by: Sequence[str] = ("city",), digits: int | None = None
+) -> DataFrame:
+    """Scores and ranks of the per-business inputs, which feed the bounds, the scores and the ranks: a job stores them first, so
+    that it reads the events a single time.
+
+    Scores lie between 0 and the sum of the weights, so they are cut into SLICES of equal width for ranking.
     """
-    inputs = materialize(popularity_inputs(business, reviews, tips, checkins, month_ends, by_event_day), "popularity-inputs")
     scored = score_inputs(inputs, weights, digits)
+    width = sum(map(abs, weights.values())) or 1.0
+    slices = -F.floor(F.col("popularity_score") * F.lit(SLICES / width))
     return (
-        rank_within(scored, ["day", *rank_by], "popularity_score", "city_rank")
+        rank_within(scored, ["day", *rank_by], "popularity_score", "city_rank", slices)
         .withColumn("period_month", period_month(F.col("day")))
         .withColumn("granularity", F.lit(MONTHLY))
         .select(*POPULARITY_COLUMNS)

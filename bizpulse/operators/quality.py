@@ -54,6 +54,15 @@ def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, counts)
 
 
+def slices_to_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The rows of `table_row_counts`, from the row counts of the tables' slices (see `sources.footers.slice_counts`)."""
+    counts = [
+        df.agg(F.coalesce(F.sum("row_count"), F.lit(0)).cast("long").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+        for n, df in tables.items()
+    ]
+    return reduce(DataFrame.union, counts)
+
+
 def constraint_violations(
     name: str, df: DataFrame, rules: Mapping[str, Column], keys: Sequence[str] = ()
 ) -> DataFrame:

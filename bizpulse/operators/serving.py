@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bizpulse.functions.dates import in_months, month_end
+from bizpulse.functions.dates import in_months, month_end, period_month
 from bizpulse.operators.quality import duplicate_keys, missing_fields, table_row_counts
 from bizpulse.schemas import (
     AVG_STARS,
@@ -109,17 +109,17 @@ def latest_review_metrics(fact: DataFrame) -> DataFrame:
 def monthly_business_summary(fact: DataFrame, popularity: DataFrame) -> DataFrame:
     """Monthly measures with score and rank, for every business with activity.
 
-    Pivoting first leaves one row per business and month, so the join is one to one.
+    The left join on business and month is one by business: its scores, one a month, are a short list, of which each row takes
+    those of its month. So the business is the only key of all steps, and tables that are bucketed by it are not shuffled.
     """
-    monthly = fact.filter(F.col("granularity") == MONTHLY)
-    keys = ["business_id", "day", "granularity"]
-    wide = pivot_measures(monthly, [*keys, "period_month"], SUMMARY_METRICS)
-    scores = popularity.filter(F.col("granularity") == MONTHLY).select(
-        *keys, "popularity_score", "city_rank", "name", "city", "state"
-    )
-    return wide.join(scores, keys, "left").select(
-        "business_id", "period_month", "day", *SUMMARY_METRICS, "popularity_score", "city_rank", "name", "city", "state"
+    own = ["popularity_score", "city_rank", "name", "city", "state"]
+    wide = pivot_measures(fact.filter(F.col("granularity") == MONTHLY), ["business_id", "day", "period_month"], SUMMARY_METRICS)
+    scores = popularity.filter(F.col("granularity") == MONTHLY)
+    listed = scores.groupBy("business_id").agg(F.collect_list(F.struct("day", *own)).alias("_scores"))
+    joined = wide.join(listed, "business_id", "left").select(
+        "business_id", "period_month", "day", *SUMMARY_METRICS, F.explode_outer(F.filter("_scores", lambda s: s["day"] == F.col("day"))).alias("_own")
     )
+    return joined.select("business_id", "period_month", "day", *SUMMARY_METRICS, *(f"_own.{c}" for c in own))
 
 
 def monthly_trend(fact: DataFrame, business_id: str | None = None) -> DataFrame:
@@ -239,6 +239,14 @@ def coverage_stats(popularity: DataFrame) -> DataFrame:
     )
 
 
+def coverage_of_slices(slices: DataFrame) -> DataFrame:
+    """Months and days that a table's slices cover; `slices` has a row for each that has rows, with its `day`. Every row's period
+    is the month of its day, so counts of slices tell what the rows would."""
+    return slices.agg(
+        F.count_distinct(period_month(F.col("day"))).alias("months_available"), F.min("day").alias("first_date"), F.max("day").alias("last_date")
+    )
+
+
 def create_views(fact: DataFrame, popularity: DataFrame) -> list[str]:
     """Register the gold tables, the standing reports and the quality checks as temporary views for SQL users; return
     their names."""

@@ -20,6 +20,8 @@ from bizpulse.functions.dates import as_date, in_days
 from bizpulse.schemas import EVENT_TABLES
 
 INGEST_TS = "_ingest_ts"
+#: Typed day of an event in bronze, by which its files are clustered.
+EVENT_DAY = "_event_day"
 
 
 def _carried(df: DataFrame) -> list[str]:
@@ -118,10 +120,13 @@ def clean(table: str, raw: DataFrame) -> DataFrame:
 def slice_raw_events(raw: DataFrame, start: str | dt.date, end: str | dt.date | None = None) -> DataFrame:
     """Raw event rows dated `start` (to `end`).
 
-    Dates of one year sort as text between its number and the next, padded or not, so a plain string range over whole
-    years comes first: it is pushed to the file scan and skips row groups. The parse then decides.
+    Bronze carries the parsed day and lies in its order, so a range on it skips all row groups but those of the days asked
+    for. Without that column, dates of one year sort as text between its number and the next, padded or not, so a plain string
+    range over whole years comes first, which is pushed to the scan too, and the parse then decides.
     """
     first, last = as_date(start), as_date(end or start)
+    if EVENT_DAY in raw.columns:
+        return raw.filter(in_days(EVENT_DAY, first, last))
     text = F.col("date")
     sorts_inside = (text >= F.lit(f"{first.year:04d}-")) & (text < F.lit(f"{last.year:04d}."))
     return raw.filter(sorts_inside & parse_day(text).between(F.lit(first), F.lit(last)))
@@ -130,9 +135,16 @@ def slice_raw_events(raw: DataFrame, start: str | dt.date, end: str | dt.date |
 def stamp_event_day(raw: DataFrame) -> DataFrame:
     """Event tables: `day` is the day of the event, so a range needs one pass and no copy per run day.
 
-    Taken from the raw text, because cleaning nulls the timestamp of a tip that has a bare date.
+    Taken from the raw text, or from the day that bronze read from it, because cleaning nulls the timestamp of a tip that has a
+    bare date.
     """
-    return raw.withColumn("day", parse_day(F.col("date")))
+    return raw.withColumn("day", F.col(EVENT_DAY) if EVENT_DAY in raw.columns else parse_day(F.col("date")))
+
+
+def by_event_day(raw: DataFrame) -> DataFrame:
+    """Raw events with their parsed day, dealt out by it: rows of a day come together, and what is too much for one file is
+    split at run time, as are the rows without a date. Sorted by that day, files have narrow bounds for it."""
+    return raw.withColumn(EVENT_DAY, parse_day(F.col("date"))).hint("rebalance", EVENT_DAY)
 
 
 def stamp_run_days(silver: DataFrame, days: Sequence[str | dt.date]) -> DataFrame:

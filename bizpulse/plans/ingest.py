@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bizpulse.functions.dates import as_date
-from bizpulse.operators.silver import silver_snapshot
 from bizpulse.functions.cleaning import filled
-from bizpulse.schemas import RAW_TABLES, raw_schema
+from bizpulse.operators.silver import EVENT_DAY, by_event_day, silver_snapshot
+from bizpulse.schemas import EVENT_TABLES, RAW_TABLES, raw_schema
+from bizpulse.sources.history import append_run
 from bizpulse.sources.lake import overwrite_partitions, write_counted, write_table
 from bizpulse.sources.readers import DEFAULT_FORMAT, read_raw, read_table_if_exists
+from bizpulse.sources.versions import publish
 
 log = logging.getLogger(__name__)
 
@@ -28,8 +30,10 @@ KEYS = {
 ON_ERROR = ("fail_fast", "skip", "fail_at_end")
 
 
-def _each_table(tables: Iterable[str], on_error: str, work: Callable[[str], dict]) -> dict[str, dict]:
-    """Run `work` for every table and report rows, seconds and outcome."""
+def _each_table(
+    spark: SparkSession, layer: str, tables: Iterable[str], on_error: str, work: Callable[[str], dict], history: str | None
+) -> dict[str, dict]:
+    """Run `work` for every table and report rows, seconds and outcome, to the table `history` too if one is named."""
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}, not {on_error!r}")
     report: dict[str, dict] = {}
@@ -43,6 +47,8 @@ def _each_table(tables: Iterable[str], on_error: str, work: Callable[[str], dict
             log.warning("table %s failed: %s", table, error)
             outcome = {"status": "failed", "error": str(error)}
         report[table] = {**outcome, "seconds": time.monotonic() - began}
+    if history and report:
+        append_run(spark, history, layer, report)
     failed = [t for t, r in report.items() if r["status"] == "failed"]
     if failed and on_error == "fail_at_end":
         raise RuntimeError("tables failed: " + "; ".join(f"{t}: {report[t]['error']}" for t in failed))
@@ -64,21 +70,38 @@ def ingest_bronze(
     on_error: str = "fail_at_end",
     fmt: str = DEFAULT_FORMAT,
     options: Mapping[str, str] | None = None,
+    publish_in: str | None = None,
+    history: str | None = None,
 ) -> dict[str, dict]:
     """Read each raw table with its fixed schema, stamp it and replace its bronze table whole.
 
-    The report counts rows and `rejected`, the rows whose keys are null or blank, which cleaning will drop.
+    Event tables carry their parsed day and lie in its order, so a later run of one day reads that day's row groups only. With
+    `publish_in`, a database of the catalog, each load goes to a fresh folder under `bronze_dir`, and the table of that name
+    moves to it once it is whole; otherwise the table's folder is overwritten, and readers may see the moment of the change.
+
+    The report counts rows and `rejected`, the rows whose keys are null or blank, which cleaning will drop. `history` is the path
+    of a table that reports are appended to (see `sources.history`).
     """
 
     def work(table: str) -> dict:
         stamped = stamp_ingest(read_raw(spark, table, source, raw_schema(table), files, store))
+        order = [EVENT_DAY] if table in EVENT_TABLES else []
+        if order:
+            stamped = by_event_day(stamped)
+
+        def write(df: DataFrame) -> None:
+            if publish_in:
+                publish(df, f"{publish_in}.{table}", f"{bronze_dir}/{table}", options, fmt, order)
+            else:
+                write_table(df, f"{bronze_dir}/{table}", "overwrite", ["_ingest_date"], options, fmt, cluster_by=order)
+
         return write_counted(
             stamped,
-            lambda df: write_table(df, f"{bronze_dir}/{table}", "overwrite", ["_ingest_date"], options, fmt),
+            write,
             rejected=~F.coalesce(filled(*KEYS[table]), F.lit(False)) if table in KEYS else None,
         )
 
-    return _each_table(tables, on_error, work)
+    return _each_table(spark, "bronze", tables, on_error, work, history)
 
 
 def ingest_silver(
@@ -91,17 +114,22 @@ def ingest_silver(
     on_error: str = "fail_at_end",
     fmt: str = DEFAULT_FORMAT,
     options: Mapping[str, str] | None = None,
+    history: str | None = None,
+    bronze_in: str | None = None,
 ) -> dict[str, dict]:
     """Clean each bronze table for the run days and replace the silver partitions of those days.
 
     A missing bronze table is skipped. A result without rows replaces nothing; whether it had rows comes from the
-    write itself, not from a second scan. The report also counts nulls in dates and stars, which cleaning makes of
+    write itself, not from a second scan. `bronze_in` is the database that bronze was published in, if it was. The report also counts nulls in dates and stars, which cleaning makes of
     values it cannot read.
     """
     days = sorted({as_date(d) for d in run_days})
 
     def work(table: str) -> dict:
-        bronze = read_table_if_exists(spark, f"{bronze_dir}/{table}", fmt)
+        if bronze_in:
+            bronze = spark.table(f"{bronze_in}.{table}") if spark.catalog.tableExists(f"{bronze_in}.{table}") else None
+        else:
+            bronze = read_table_if_exists(spark, f"{bronze_dir}/{table}", fmt)
         if bronze is None:
             log.warning("no bronze table %s", table)
             return {"status": "skipped"}
@@ -115,4 +143,4 @@ def ingest_silver(
             not_null=[c for c in ("date", "checkin_date", "yelping_since", "stars") if c in stamped.columns],
         )
 
-    return _each_table(tables, on_error, work)
+    return _each_table(spark, "silver", tables, on_error, work, history)

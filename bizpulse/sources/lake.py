@@ -271,6 +271,25 @@ def seed_rows(spark: SparkSession, rows: DataFrame, path: str, keys: Sequence[st
     write_table(new, path, "append", fmt=fmt)
 
 
+def add_column(spark: SparkSession, table: str, name: str, kind: str, default: str) -> bool:
+    """Add a column with a default to a catalog table; say whether it was added.
+
+    The default, a literal of SQL, is kept in the catalog: files written before have no such column and answer with it, so no
+    file is rewritten and no schema is merged when the table is read. Rows inserted without the column take it too. A column
+    that is there already stays as it is.
+    """
+    if name.lower() in {c.lower() for c in spark.table(table).columns}:
+        return False
+    spark.sql(f"ALTER TABLE {table} ADD COLUMNS (`{name}` {kind} DEFAULT {default})")
+    return True
+
+
+def rows_per_file(df: DataFrame) -> DataFrame:
+    """Rows of every file that a stored frame is read from: `file` and `row_count`. Reads no column; a file without rows is not
+    listed."""
+    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def register_table(
     spark: SparkSession, path: str, table: str, view: str | None = None, fmt: str = DEFAULT_FORMAT
 ) -> None:

@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from bizpulse.sources.dumps import RANGE_BYTES, read_dump
+
 DEFAULT_FORMAT = "parquet"
 
 
@@ -50,12 +52,19 @@ def read_document_store(
 def read_raw(
     spark: SparkSession, table: str, source: str, schema: T.StructType, files: str = "", store: Mapping | None = None
 ) -> DataFrame:
-    """One raw table from the run's chosen source: `files` (JSON under `<files>/<table>.json`) or `store`."""
+    """One raw table from the run's chosen source: `files` (JSON under `<files>/<table>.json`) or `store`.
+
+    A store is reached through its connector (uri, database and options), or read from its dump: `store["dump"]` names the folder
+    that holds a file or folder per collection.
+    """
     if source == "files":
         _required(files=files)
         return read_json(spark, f"{files.rstrip('/')}/{table}.json", schema)
     if source == "store":
         store = dict(store or {})
+        if "dump" in store:
+            _required(dump=store["dump"])
+            return read_dump(spark, f"{store['dump'].rstrip('/')}/{table}", schema, int(store.get("range_bytes", RANGE_BYTES)))
         return read_document_store(
             spark, store.pop("uri", ""), store.pop("database", ""), table, schema=schema, extra=store
         )

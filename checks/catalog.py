@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from bizpulse.functions.dates import as_date, calendar
 from bizpulse.functions.scoring import min_max_normalize, recency_boost
-from bizpulse.operators import facts, popularity, quality, serving, silver
+from bizpulse.operators import facts, popularity, quality, serving, silver, summaries
 from bizpulse.operators.merging import slice_keys, with_default_column
 from bizpulse.operators.ranking import rank_within
-from bizpulse.plans.gold import FACT_TABLE, build_fact, build_popularity
+from bizpulse.plans.gold import FACT_TABLE, POPULARITY_TABLE, build_fact, build_popularity, store_monthly
 from bizpulse.plans.ingest import ingest_bronze, ingest_silver
 from bizpulse.schemas import (
     FACT_KEY,
@@ -27,7 +27,8 @@ from bizpulse.schemas import (
     raw_schema,
 )
 from bizpulse.session import scratch_path
-from bizpulse.sources import lake, readers
+from bizpulse.plans.state import month_from_state, read_city_sums, update_city_sums, update_state
+from bizpulse.sources import checked, dumps, footers, history, lake, readers, versions
 from checks.projections import raw
 
 # Parameters of the checks: the months and days the given tables cover (see FIXTURES.md), one city, score digits.
@@ -81,6 +82,28 @@ def gold(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return fact, scores
 
 
+def database(spark: SparkSession, sf: str) -> str:
+    """A catalog database of this session and data folder."""
+    name = f"checks_{spark.sparkContext.applicationId}_{abs(hash(sf))}".replace("-", "_")
+    if not spark.catalog.databaseExists(name):
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, 'database')}'")
+    return name
+
+
+_monthly: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def monthly_gold(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The monthly rows of both gold tables in buckets of businesses, stored once per session and data folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _monthly:
+        name, root = database(spark, sf), scratch_path(spark, "monthly")
+        store_monthly(spark, *gold(spark, sf), name, root, buckets=8)
+        _monthly[key] = (f"{name}.{FACT_TABLE}_monthly", f"{name}.{POPULARITY_TABLE}_monthly")
+    fact, scores = map(spark.table, _monthly[key])
+    return fact, scores
+
+
 def popularity_sources(spark: SparkSession, sf: str) -> list[DataFrame]:
     return [silver_table(spark, sf, t) for t in ("business", "review", "tip", "checkin")]
 
@@ -192,6 +215,23 @@ def json_inferred_schema(spark, sf):
     return listed({t: readers.read_json(spark, f"{path}/{t}").select(*raw_schema(t).names) for t in RAW_TABLES})
 
 
+@query
+def bronze_from_dump(spark, sf):
+    """Bronze tables loaded from dumps of a document store, cut into ranges of a few records."""
+    dump, target = scratch_path(spark, "dump"), scratch_path(spark, "bronze")
+    for table in RAW_TABLES:
+        dumps.write_dump(raw(spark, sf, table).withColumn("not_in_schema", F.lit(1)), f"{dump}/{table}")
+    ingest_bronze(spark, target, "store", store={"dump": dump, "range_bytes": 1 << 16})
+    return listed({t: readers.read_table(spark, f"{target}/{t}").select(*raw_schema(t).names) for t in RAW_TABLES})
+
+
+@query
+def silver_pass_through(spark, sf):
+    """A table without a cleaning rule: its rows as they are, stamped with the run day."""
+    other = spark.read.parquet(f"{sf}/nation.parquet")
+    return silver.silver_snapshot("nation", other, [MONTH_END])
+
+
 @query
 def silver_business(spark, sf):
     return cleaned(spark, sf, "business")
@@ -242,8 +282,8 @@ def job_lake(spark: SparkSession, sf: str) -> tuple[str, dict, dict]:
         root = scratch_path(spark, "job-lake")
         for table in RAW_TABLES:
             raw(spark, sf, table).write.json(f"{root}/raw/{table}.json")
-        bronze = ingest_bronze(spark, f"{root}/bronze", "files", files=f"{root}/raw")
-        silver_report = ingest_silver(spark, f"{root}/bronze", f"{root}/silver", MONTHS, full_load=True)
+        bronze = ingest_bronze(spark, f"{root}/bronze", "files", files=f"{root}/raw", history=f"{root}/history")
+        silver_report = ingest_silver(spark, f"{root}/bronze", f"{root}/silver", MONTHS, full_load=True, history=f"{root}/history")
         _job_lakes[key] = (root, bronze, silver_report)
     return _job_lakes[key]
 
@@ -258,13 +298,35 @@ def silver_job(spark, sf):
 
 @query
 def job_metrics(spark, sf):
-    """What the ingest jobs count while they write."""
-    _, bronze, stored_silver = job_lake(spark, sf)
-    rows = [("bronze", t, r["rows"], r["rejected"], None) for t, r in bronze.items()]
-    for table, report in stored_silver.items():
-        dated = [report[c] for c in ("null_date", "null_checkin_date", "null_yelping_since") if c in report]
-        rows.append(("silver", table, report["rows"], None, dated[0] if dated else None))
-    return spark.createDataFrame(rows, "layer string, table_name string, rows long, rejected long, null_dates long")
+    """What the jobs of all layers count while they write, from the history that they keep. Of each table the newest run."""
+    root, target = job_lake(spark, sf)[0], scratch_path(spark, "gold")
+    build_fact(spark, f"{root}/silver", target, FIRST_DAY, LAST_DAY, history=f"{root}/history")
+    build_popularity(spark, f"{root}/silver", target, FIRST_DAY, LAST_DAY, digits=DIGITS, history=f"{root}/history")
+    newest = silver.latest_per_key(history.read_history(spark, f"{root}/history").drop("nulls"), ["layer", "table_name"], newest="run_ts")
+    nulls = history.read_history(spark, f"{root}/history").select("run_ts", "layer", "table_name", "nulls")
+    dated = [F.col("nulls")[c] for c in ("date", "checkin_date", "yelping_since")]
+    both = newest.join(nulls, ["run_ts", "layer", "table_name"])
+    return both.select("layer", "table_name", "rows", "rejected", F.coalesce(*dated).alias("null_dates"))
+
+
+@query
+def silver_one_day_job(spark, sf):
+    """The stored silver rows of a job for one day over bronze that lies in order of the events' days."""
+    root, target = job_lake(spark, sf)[0], scratch_path(spark, "one-day")
+    ingest_silver(spark, f"{root}/bronze", target, ["2024-01-05"], ["review", "tip"])
+    tables = {t: readers.read_table(spark, f"{target}/{t}_snapshot") for t in ("review", "tip")}
+    return listed({t: df.drop("_ingest_ts", "_silver_ingest_ts") for t, df in tables.items()})
+
+
+@query
+def bronze_published(spark, sf):
+    """Bronze tables after a second load under another folder; the tables moved to it and the first one was dropped."""
+    root, name, target = job_lake(spark, sf)[0], database(spark, sf), scratch_path(spark, "published")
+    for _ in range(2):
+        ingest_bronze(spark, target, "files", files=f"{root}/raw", publish_in=name)
+    for table in RAW_TABLES:
+        versions.drop_old_versions(spark, f"{name}.{table}", f"{target}/{table}")
+    return listed({t: spark.table(f"{name}.{t}").select(*raw_schema(t).names) for t in RAW_TABLES})
 
 
 @query
@@ -352,6 +414,51 @@ def fact_all_days(spark, sf):
     return fact_of(spark, sf)
 
 
+@query
+def fact_from_state(spark, sf):
+    """Monthly rows merged from daily state that was loaded in three runs, the last over days that were there before."""
+    root, target = job_lake(spark, sf)[0], scratch_path(spark, "state")
+    days = [as_date(FIRST_DAY) + dt.timedelta(days=i) for i in range((as_date(LAST_DAY) - as_date(FIRST_DAY)).days + 1)]
+    for own in (days[:60], days[60:], days[55:65]):
+        update_state(spark, f"{root}/silver", target, own)
+    return reduce(DataFrame.unionAll, [month_from_state(spark, target, m) for m in MONTHS])
+
+
+_city_sums: dict[tuple[str, str], str] = {}
+
+
+def city_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """City sums of all months, then January replaced by the scores up to rank 5 and February emptied; once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _city_sums:
+        path, (fact, scores) = scratch_path(spark, "city-sums"), gold(spark, sf)
+        update_city_sums(spark, scores, fact, path, MONTHS, DIGITS)
+        kept = scores.filter((F.col("day") != F.lit(as_date(MONTHS[1]))) | (F.col("city_rank") <= 5))
+        update_city_sums(spark, kept.filter(F.col("day") != F.lit(as_date(MONTHS[2]))), fact, path, MONTHS[1:], DIGITS)
+        _city_sums[key] = path
+    return read_city_sums(spark, _city_sums[key])
+
+
+@query
+def top_cities_maintained(spark, sf):
+    return summaries.top_cities(city_sums(spark, sf))
+
+
+@query
+def city_dashboard_maintained(spark, sf):
+    return summaries.city_dashboard(city_sums(spark, sf))
+
+
+@query
+def city_time_series_maintained(spark, sf):
+    return summaries.city_time_series(city_sums(spark, sf))
+
+
+@query
+def city_period_average_maintained(spark, sf):
+    return summaries.city_period_average(city_sums(spark, sf), PERIOD)
+
+
 @query
 def slice_keys_(spark, sf):
     return slice_keys(gold(spark, sf)[0], GOLD_PARTITIONS)
@@ -383,6 +490,17 @@ def upsert_by_key(spark, sf):
     return readers.read_table(spark, path)
 
 
+@query
+def upsert_unpartitioned(spark, sf):
+    """The same change to a table without partitions, published as a new version of it."""
+    table, root, fact = f"{database(spark, sf)}.upserted", scratch_path(spark, "versions"), gold(spark, sf)[0]
+    january = F.lit(MONTH_END).cast("date")
+    versions.publish(fact.filter((F.col("day") <= january) & (F.col("measure") != 4)), table, root)
+    new = fact.filter(F.col("day") >= january).withColumn("units", F.col("units") + 1000)
+    versions.upsert_published(spark, new, table, root, FACT_KEY, cluster_by=["business_id"])
+    return spark.table(table)
+
+
 @query
 def replace_slice(spark, sf):
     """January's months shrink to one measure and February's, in the slices but not in the source, are emptied."""
@@ -437,6 +555,41 @@ def add_column_default(spark, sf):
     return with_default_column(merged, "region", F.lit("Unknown"))
 
 
+@query
+def add_column_catalog_default(spark, sf):
+    """The same with the default in the catalog: no schema is merged and old files answer with it."""
+    name, scores = f"{database(spark, sf)}.regions", gold(spark, sf)[1].select("business_id", "day", "popularity_score", "state")
+    newest = F.col("day") == F.to_date(F.lit(LAST_DAY))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    scores.filter(~newest).drop("state").write.option("path", scratch_path(spark, "region")).saveAsTable(name)
+    lake.add_column(spark, name, "region", "string", "'Unknown'")
+    scores.filter(newest).withColumnRenamed("state", "region").write.insertInto(name)
+    return spark.table(name)
+
+
+@query
+def rows_per_file(spark, sf):
+    """Files of the fact table with and without a limit of rows: all rows, and whether the largest file keeps the limit."""
+    reports = []
+    for limit, options in ((50, {"maxRecordsPerFile": "50"}), (None, {})):
+        path = scratch_path(spark, "files")
+        lake.write_table(gold(spark, sf)[0], path, "overwrite", ["granularity"], options, balance=True)
+        files = lake.rows_per_file(readers.read_table(spark, path))
+        reports.append(files.agg(F.lit(limit).cast("int").alias("row_limit"), F.sum("row_count").alias("rows"), (F.max("row_count") <= 50).alias("kept")))
+    return reduce(DataFrame.unionAll, reports)
+
+
+@query
+def checked_write(spark, sf):
+    """Scores with planted errors: what was published and what went to quarantine, with the rules it breaks."""
+    name, root = f"{database(spark, sf)}.checked", scratch_path(spark, "checked")
+    checked.checked_write(dirty(spark, sf)[1], quality.popularity_rules(), name, root, most_bad=0.9)
+    columns = [*POPULARITY_KEY, "popularity_score", "city_rank"]
+    good = spark.table(name).select(*columns, F.lit("").alias("broken_rules"))
+    bad = spark.table(f"{name}_quarantine").select(*columns, F.array_join(F.array_sort("broken_rules"), ",").alias("broken_rules"))
+    return good.unionAll(bad)
+
+
 @query
 def register_table(spark, sf):
     app = spark.sparkContext.applicationId.replace("-", "_")
@@ -470,7 +623,7 @@ def latest_review_metrics(spark, sf):
 
 @query
 def monthly_business_summary(spark, sf):
-    return serving.monthly_business_summary(*gold(spark, sf))
+    return serving.monthly_business_summary(*monthly_gold(spark, sf))
 
 
 @query
@@ -480,7 +633,7 @@ def monthly_trend(spark, sf):
 
 @query
 def review_growth(spark, sf):
-    return serving.review_growth(gold(spark, sf)[0])
+    return serving.review_growth(monthly_gold(spark, sf)[0])
 
 
 @query
@@ -510,9 +663,24 @@ def city_period_average(spark, sf):
 
 @query
 def coverage_stats(spark, sf):
+    """From file footers: the days of the slices that have rows."""
+    return serving.coverage_of_slices(footers.slice_counts(spark, stored(spark, sf, "popularity"), GOLD_PARTITIONS))
+
+
+@query
+def coverage_of_rows(spark, sf):
     return serving.coverage_stats(gold(spark, sf)[1])
 
 
+@query
+def latest_slice_rows(spark, sf):
+    """Rows of the latest daily slice, found and counted in file footers; and the bounds of its table's measures."""
+    path = stored(spark, sf, "fact")
+    daily = footers.slice_counts(spark, path, GOLD_PARTITIONS).filter(F.col("granularity") == 0)
+    newest = daily.agg(F.max_by(F.struct("day", "row_count"), "day").alias("s")).select("s.*")
+    return newest.crossJoin(footers.column_bounds(spark, path, ["measure"]))
+
+
 @query
 def reports_as_views(spark, sf):
     """Every report, queried as SQL through its view."""
@@ -546,6 +714,13 @@ def dirty(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 @query
 def table_row_counts(spark, sf):
+    """From file footers."""
+    counts = {n: footers.slice_counts(spark, stored(spark, sf, t), GOLD_PARTITIONS) for n, t in (("business_popularity", "popularity"), ("fact_review_tip_metrics", "fact"))}
+    return quality.slices_to_row_counts(counts)
+
+
+@query
+def table_row_counts_scanned(spark, sf):
     fact, scores = gold(spark, sf)
     return quality.table_row_counts({"business_popularity": scores, "fact_review_tip_metrics": fact})
 

@@ -172,9 +172,10 @@ STORED_COLUMNS = {
 }
 
 
-def _listed(table: str) -> str:
-    """All rows of the five tables, each as one text."""
+def _listed(table: str, only: tuple[str, ...] = tuple(STORED_COLUMNS)) -> str:
+    """All rows of the five tables, or of some, each as one text."""
     columns = RAW_COLUMNS if table.startswith("raw") else STORED_COLUMNS
+    columns = {t: own for t, own in columns.items() if t in only}
     texts = {t: ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in own.split()) for t, own in columns.items()}
     return "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, concat_ws('|', {text}) AS row_text FROM {table.format(t)}" for t, text in texts.items()
@@ -254,7 +255,11 @@ FROM raw_tip WHERE user_id <> '' AND business_id <> ''""",
     "silver_run_days": """
 SELECT *, unnest([DATE '2024-01-30', DATE '2024-01-31']) AS day FROM silver_checkin""",
     "silver_job": _listed("stored_{}"),
-    "job_metrics": _METRICS,
+    "job_metrics": _METRICS
+    + "\nUNION ALL\nSELECT 'gold', 'fact_review_tip_metrics', count(*), NULL, NULL FROM fact"
+    + "\nUNION ALL\nSELECT 'gold', 'business_popularity', count(*), NULL, NULL FROM popularity",
+    "silver_one_day_job": _listed("(SELECT * FROM stored_{} WHERE day = DATE '2024-01-05')", ("review", "tip")),
+    "bronze_published": _listed("raw_{}"),
     "latest_per_key": """
 SELECT business_id, max(user_id) AS user_id, max(date) AS date FROM (
   SELECT business_id, user_id, date, rank() OVER (PARTITION BY business_id ORDER BY date DESC NULLS LAST) AS r
@@ -297,6 +302,9 @@ FULL JOIN (SELECT business_id, avg(coalesce(compliment_count, 0)) AS avg_tip_com
     "fact_all_days": "SELECT * FROM fact",
     "fact_job": "SELECT * FROM fact",
     "popularity_job": "SELECT * FROM popularity",
+    "fact_from_state": "SELECT * FROM fact WHERE granularity = 2",
+    "bronze_from_dump": _listed("raw_{}"),
+    "silver_pass_through": "SELECT *, DATE '2024-01-31' AS day FROM nation",
     "slice_keys": "SELECT DISTINCT day, granularity FROM fact",
     # -- table maintenance
     "partition_overwrite": """
@@ -306,6 +314,10 @@ FROM silver_tip WHERE date IS NOT NULL""",
     "upsert_by_key": """
 SELECT day, period_month, granularity, business_id, measure,
        CASE WHEN day >= DATE '2024-01-31' THEN units + 1000 ELSE units END AS units
+FROM fact WHERE NOT (day < DATE '2024-01-31' AND measure = 4)""",
+    "upsert_unpartitioned": """
+SELECT day, period_month, granularity, business_id, measure,
+       CASE WHEN day >= DATE '2024-01-31' THEN units + 1000 ELSE units END AS units
 FROM fact WHERE NOT (day < DATE '2024-01-31' AND measure = 4)""",
     "replace_slice": """
 SELECT * FROM fact
@@ -324,6 +336,16 @@ FROM fact WHERE measure >= 4 GROUP BY measure""",
     "add_column_default": """
 SELECT business_id, day, popularity_score, CASE WHEN day = DATE '2024-02-29' THEN state ELSE 'Unknown' END AS region
 FROM popularity""",
+    "add_column_catalog_default": """
+SELECT business_id, day, popularity_score, CASE WHEN day = DATE '2024-02-29' THEN state ELSE 'Unknown' END AS region
+FROM popularity""",
+    "rows_per_file": """
+SELECT 50 AS row_limit, count(*) AS rows, TRUE AS kept FROM fact UNION ALL SELECT NULL, count(*), FALSE FROM fact""",
+    "checked_write": """
+SELECT business_id, day, granularity, popularity_score, city_rank,
+       concat_ws(',', CASE WHEN city_rank <= 0 THEN 'city_rank' END, CASE WHEN granularity NOT IN (0, 2) THEN 'granularity' END,
+                 CASE WHEN popularity_score < 0 OR popularity_score > 1 THEN 'popularity_score' END) AS broken_rules
+FROM dirty_popularity""",
     "register_table": "SELECT period_month, count(*) AS row_count FROM popularity GROUP BY period_month",
     # -- reports
     "top_businesses_by_city": """
@@ -382,6 +404,11 @@ SELECT city, CAST(sum(CAST(popularity_score AS DECIMAL(18, 9))) AS DOUBLE) / cou
 FROM popularity WHERE period_month = '2024-01' GROUP BY city""",
     "coverage_stats": """
 SELECT count(DISTINCT period_month) AS months_available, min(day) AS first_date, max(day) AS last_date FROM popularity""",
+    "coverage_of_rows": """
+SELECT count(DISTINCT period_month) AS months_available, min(day) AS first_date, max(day) AS last_date FROM popularity""",
+    "latest_slice_rows": """
+SELECT day, count(*) AS row_count, (SELECT min(measure) FROM fact) AS min_measure, (SELECT max(measure) FROM fact) AS max_measure
+FROM fact WHERE granularity = 0 AND day = (SELECT max(day) FROM fact WHERE granularity = 0) GROUP BY day""",
     "reports_as_views": "\nUNION ALL\n".join(
         f"SELECT '{view}' AS view_name, count(*) AS row_count FROM ({text})" for view, text in _VIEWS.items()
     ),
@@ -389,6 +416,10 @@ SELECT count(DISTINCT period_month) AS months_available, min(day) AS first_date,
     "table_row_counts": """
 SELECT 'business_popularity' AS table_name, count(*) AS row_count FROM popularity
 UNION ALL
+SELECT 'fact_review_tip_metrics', count(*) FROM fact""",
+    "table_row_counts_scanned": """
+SELECT 'business_popularity' AS table_name, count(*) AS row_count FROM popularity
+UNION ALL
 SELECT 'fact_review_tip_metrics', count(*) FROM fact""",
     "dq_duplicate_keys": """
 SELECT business_id, day, granularity, count(*) AS duplicate_count FROM dirty_popularity
@@ -422,5 +453,12 @@ WHERE granularity NOT IN (0, 2) OR popularity_score < 0 OR popularity_score > 1
 }
 
 
+# The same reports where January keeps ranks up to 5 and February has no rows.
+CTE["kept_popularity"] = """
+SELECT * FROM popularity WHERE day = DATE '2023-12-31' OR (day = DATE '2024-01-31' AND city_rank <= 5)"""
+for _report in ("top_cities", "city_dashboard", "city_time_series", "city_period_average"):
+    ORACLE[f"{_report}_maintained"] = re.sub(r"\bpopularity\b", "kept_popularity", ORACLE[_report])
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _with(text) for name, text in ORACLE.items()}
