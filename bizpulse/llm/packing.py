@@ -2,9 +2,10 @@
 
 Every document is cut into full windows, which are sequences of their own, and one remainder shorter than the window. The
 remainders' lengths make a histogram of at most `window` - 1 counts, whatever the size of the corpus. Combinations of up
-to three lengths that fill a window exactly are the columns of a non-negative least squares problem whose right-hand side is
-that histogram; the solution, rounded down, says how often each combination is used. Remainders are then dealt to the
-combinations by their rank among those of their length, and what is left over is laid end to end and cut at the window.
+to five lengths that fill a window exactly are the columns of a non-negative least squares problem whose right-hand side is
+that histogram; the solution, rounded, says how often each combination is used. What rounding leaves is packed by best fit,
+longest first, into windows that stay short by less than a hundredth. Remainders are dealt to the combinations by their rank
+among those of their length. Only what fits nowhere, as when all are longer than half a window, is laid end to end and cut.
 """
 
 from __future__ import annotations
@@ -142,68 +143,115 @@ def _tokenised(path: str, window: int, eos: int):
     return run
 
 
-def combinations(counts: np.ndarray, window: int, most: int = 3000) -> list[tuple[int, ...]]:
-    """Shallow combinations of lengths that fill the window: pairs that sum to it, then triples.
+#: Lengths in a combination at most, and how many combinations of three or more are sought for each length that occurs.
+PARTS, EACH = 5, 3
+#: A window may stay short by this share of it, padded, when documents then stay whole.
+SLACK = 1 / 128
 
-    A pair is listed for every length whose complement occurs. Triples join a length with two others near half of what is
-    missing and near its own complement, so that each length that occurs is in some; `most` bounds their number.
+
+def combinations(counts: np.ndarray, window: int) -> list[tuple[int, ...]]:
+    """Shallow combinations of lengths that fill the window: every pair, and for every length that occurs up to EACH each of
+    three, four and five lengths, the longer ones for short lengths only.
+
+    A combination is sought from its first length: the others but the last are common ones near their even share of what is
+    missing, the last is what then fills the window. So their number is bounded by the window, not by the corpus.
     """
     there = np.flatnonzero(counts)
     present = set(there.tolist())
-    out = [(a, window - a) for a in there.tolist() if 2 * a <= window and window - a in present]
-    triples: set[tuple[int, ...]] = set()
+    out = {(window - a, a) for a in there.tolist() if 2 * a <= window and window - a in present}
     for a in there.tolist():
-        rest, found = window - a, 0
-        near = there[np.argsort(-counts[there] / (1 + np.abs(there - rest / 2) / window), kind="stable")]
-        for b in near.tolist():
-            if found == 4 or len(triples) >= most:
-                break
-            if rest - b in present and rest - b > 0:
-                triples.add(tuple(sorted((a, b, rest - b), reverse=True)))
-                found += 1
-    return out + sorted(triples)
-
-
-def nnls(columns: list[tuple[int, ...]], target: np.ndarray, rounds: int = 400) -> np.ndarray:
+        for parts in range(3, PARTS + 1):
+            if a * (parts - 1) > window and parts > 3:
+                break  # longer than its share by far
+            share = (window - a) / (parts - 1)
+            order = there[np.argsort(np.abs(there - share) / window - counts[there] / counts.max(), kind="stable")]
+            found = 0
+            for b in order.tolist():
+                last = window - a - b * (parts - 2)
+                if last in present:
+                    out.add(tuple(sorted((a, *[b] * (parts - 2), last), reverse=True)))
+                    found += 1
+                    if found == EACH:
+                        break
+    return sorted(out, key=lambda c: (len(c), c))
+
+
+def nnls(columns: list[tuple[int, ...]], target: np.ndarray, rounds: int = 300) -> np.ndarray:
     """x >= 0 that nearly minimises |A x - target|^2, where column k of A counts the lengths in combination k.
 
-    Projected gradient with momentum; A is sparse (three entries a column) and is applied by index.
+    Projected gradient with momentum; A is sparse (a few entries a column) and is applied by index.
     """
     if not columns:
         return np.zeros(0)
-    index = np.array([c + (0,) * (3 - len(c)) for c in columns])
+    most = max(map(len, columns))
+    index = np.array([c + (0,) * (most - len(c)) for c in columns])
     weight = (index > 0).astype(float)
-    share = np.zeros(len(target))
-    np.add.at(share, index, weight)
-    # Scaled gradient: 3 * the most columns that share a length bounds the curvature in each coordinate.
-    step = weight.sum(1) / (3.0 * (weight * share[index]).sum(1))
+    share = np.bincount(index.ravel(), weight.ravel(), len(target))
+    # Scaled gradient: the most entries of a column times the columns that share a length bound the curvature.
+    step = weight.sum(1) / (most * (weight * share[index]).sum(1))
     x = momentum = np.zeros(len(columns))
     t = 1.0
     for _ in range(rounds):
-        made = np.zeros(len(target))
-        np.add.at(made, index, weight * momentum[:, None])
+        made = np.bincount(index.ravel(), (weight * momentum[:, None]).ravel(), len(target))
         gradient = (weight * (made - target)[index]).sum(1)
         new, s = np.maximum(0.0, momentum - step * gradient), (1 + (1 + 4 * t * t) ** 0.5) / 2
         momentum, x, t = new + (t - 1) / s * (new - x), new, s
     return x
 
 
-def allot(counts: np.ndarray, window: int) -> tuple[list[tuple[tuple[int, ...], int]], dict[int, list[tuple[int, int, int, int]]]]:
-    """How often each combination is used, and for each length its slots: (first rank, past the last rank, number of
-    the first sequence, offset in it), by rank. No length is used more often than it occurs."""
-    columns = combinations(counts, window)
-    solution, left = nnls(columns, counts.astype(float)), counts.copy()
-    used: list[tuple[tuple[int, ...], int]] = []
-    # Once with the solution rounded down, then greedily with what rounding left.
-    for wish in (np.floor(solution + 1e-9).astype(np.int64), None):
-        for k, combination in enumerate(columns):
-            need = {a: combination.count(a) for a in combination}
-            times = min(int(left[a]) // n for a, n in need.items())
-            times = times if wish is None else min(times, int(wish[k]))
+def rounded(columns: list[tuple[int, ...]], x: np.ndarray, left: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
+    """Repeat counts near `x`, never more of a length than `left` has; `left` is reduced. The solution is rounded down, then
+    up, each time in order of what it asks for, so combinations that it wants most are not robbed by others."""
+    used: dict[int, int] = {}
+    for wish in (np.floor(x + 1e-9), np.ceil(x - 1e-3) - np.floor(x + 1e-9)):
+        for k in np.argsort(-x, kind="stable").tolist():
+            if wish[k] <= 0:
+                continue
+            need = [(a, columns[k].count(a)) for a in set(columns[k])]
+            times = min(int(wish[k]), *(int(left[a]) // n for a, n in need))
             if times > 0:
-                used.append((combination, times))
-                for a, n in need.items():
+                used[k] = used.get(k, 0) + times
+                for a, n in need:
                     left[a] -= n * times
+    return [(columns[k], times) for k, times in used.items()]
+
+
+def best_fit(left: np.ndarray, window: int, slack: int) -> list[tuple[tuple[int, ...], int]]:
+    """Windows for what is left: the longest remainder first, then each time the longest that still fits. A pattern is used as
+    often as its lengths last, so there are at most as many as lengths. Those that stay short by more than `slack` are not used.
+    `left` is reduced by what is used."""
+    free, used = left.copy(), []
+    while free.any():
+        pattern, room, there = [], window, free.copy()
+        while room > 0:
+            fits = np.flatnonzero(there[: room + 1])
+            if not len(fits):
+                break
+            a = int(fits[-1])
+            n = min(room // a, int(there[a]))
+            pattern += [a] * n
+            there[a] -= n
+            room -= a * n
+        need = {a: pattern.count(a) for a in set(pattern)}
+        times = min(int(free[a]) // n for a, n in need.items())
+        for a, n in need.items():
+            free[a] -= n * times
+            if room <= slack:
+                left[a] -= n * times
+        if room <= slack:
+            used.append((tuple(pattern), times))
+    return used
+
+
+def allot(
+    counts: np.ndarray, window: int
+) -> tuple[list[tuple[tuple[int, ...], int]], dict[int, list[tuple[int, int, int, int]]], np.ndarray]:
+    """How often each combination is used; for each length its slots: (first rank, past the last rank, number of the first
+    sequence, offset in it), by rank; and how many of each length have no slot. No length is used more often than it occurs."""
+    left = counts.copy()
+    columns = combinations(counts, window) if counts.any() else []
+    used = rounded(columns, nnls(columns, counts.astype(float)), left)
+    used += best_fit(left, window, int(window * SLACK))
     slots: dict[int, list[tuple[int, int, int, int]]] = {}
     first = 0
     for combination, times in used:
@@ -213,7 +261,7 @@ def allot(counts: np.ndarray, window: int) -> tuple[list[tuple[tuple[int, ...],
             slots.setdefault(a, []).append((rank, rank + times, first, offset))
             offset += a
         first += times
-    return used, slots
+    return used, slots, left
 
 
 def _dealt(slots, base: int, window: int):
@@ -247,7 +295,8 @@ def numbered(df: DataFrame, order: list[str], weight: str, by: list[str], name:
     totals = materialize(totals.select(*by, "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before")), label)
     inside = Window.partitionBy(*by, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     df = df.withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-    return df.join(totals, [*by, "_part"]).withColumn(name, F.col("_before") + F.col("_inside")).drop("_part", "_inside", "_before")
+    # A merge join: the rows lie in order of these keys already, and the totals are a row for each group and part.
+    return df.join(totals.hint("merge"), [*by, "_part"]).withColumn(name, F.col("_before") + F.col("_inside")).drop("_part", "_inside", "_before")
 
 
 def pack(
@@ -257,8 +306,8 @@ def pack(
     `doc_tokens` (the document's ids with the end id), `sequence_id`, `offset` (in the sequence, gapless from 0) and `ids`
     (unsigned 32-bit little-endian).
 
-    Each id of each document lies in exactly one piece and no sequence holds more than `window`. At most one sequence of the
-    whole result is shorter than the window. Null or empty text: the end id alone. Rows of equal id are packed each on
+    Each id of each document lies in exactly one piece and no sequence holds more than `window`. All sequences but one at most
+    are short by SLACK of the window or less. Null or empty text: the end id alone. Rows of equal id are packed each on
     its own; a null id stays null. `tokenizer` is the path of a tokenizer file, the same on every machine.
     """
     spark = docs.sparkSession
@@ -273,7 +322,7 @@ def pack(
     counts = np.zeros(window, dtype=np.int64)
     for row in tails.groupBy("length").count().collect():  # at most window - 1 rows
         counts[row["length"]] = row["count"]
-    used, slots = allot(counts, window)
+    used, slots, left = allot(counts, window)
     combined = sum(times for _, times in used)
 
     order = ["id", "start", "crc", "uid"]
@@ -310,7 +359,7 @@ def pack(
         )
     )
     # Full windows: sequences of their own, numbered after the others.
-    after = combined + int((counts * np.arange(window)).sum() - sum(window * times for _, times in used) + window - 1) // window
+    after = combined + int((left * np.arange(window)).sum() + window - 1) // window
     full = pieces.filter(F.col("length") == window)
     full_pieces = full.select(
         F.col("id").alias(id_col), "start", F.col("length").cast("long").alias("length"), "doc_tokens",
