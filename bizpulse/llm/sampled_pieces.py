@@ -11,7 +11,9 @@ Random numbers are hashes of the seed, the row key and the position, so a row's
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
 from functools import cache
 
 import numpy as np
@@ -165,29 +167,38 @@ def _draws(row: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _sample_long(chunk: str, row: np.uint64, start: int, lattices: Lattices) -> list[tuple[int, int]]:
-    """(end, label) of the pieces of one long chunk that begins at `start` of its text: the same, a step at a time."""
-    weights, ids, longest = lattices.weights, lattices.vocabulary.ids, lattices.vocabulary.longest
-    forward, steps = [1.0], []
+    """(end, label) of the pieces of one long chunk that begins at `start` of its text: the same, a step at a time.
+
+    Of the forward sums the last few are kept as they are, and of all others the logarithm, so a chunk takes a few bytes a
+    character; the way back weighs the pieces that end where it comes to anew.
+    """
+    find, ids, longest = lattices.weights.get, lattices.vocabulary.ids, lattices.vocabulary.longest
+
+    def ending(end: int) -> list[tuple[int, float]]:
+        """Lengths and weights of the pieces that end here."""
+        found = [(n, weight) for n in range(1, min(end, longest) + 1) if (weight := find(chunk[end - n : end])) is not None]
+        if not found or found[0][0] > 1:
+            found.insert(0, (1, lattices.rare ** len(chunk[end - 1].encode())))
+        return found
+
+    recent, logs, lifted = [1.0], array("d", [0.0]), 0.0
     for end in range(1, len(chunk) + 1):
-        total, edges = 0.0, []
-        for n in range(1, min(end, longest) + 1):
-            weight = weights.get(chunk[end - n : end])
-            if weight is None and n == 1:
-                weight = lattices.rare ** len(chunk[end - 1].encode())
-            if weight is not None:
-                total += forward[end - n] * weight
-                edges.append((total, n))
-        steps.append((total, edges))
-        forward.append(total)
-        if total < 1e-150:
-            forward[-longest:] = [f * 1e140 for f in forward[-longest:]]
-    u = _draws(np.full(len(chunk), row), np.arange(start + 1, start + len(chunk) + 1)).tolist()
+        total = sum([recent[-n] * weight for n, weight in ending(end)])
+        recent.append(total)
+        logs.append(math.log(total) - lifted)
+        if total < 1e-150:  # only ratios matter
+            recent, lifted = [f * 1e140 for f in recent[-longest:]], lifted + math.log(1e140)
+        elif len(recent) > 64 * longest:
+            recent = recent[-longest:]
     out, end = [], len(chunk)
     while end:
-        total, edges = steps[end - 1]
-        n = next((n for running, n in edges if running > u[end - 1] * total), edges[-1][1])
-        out.append((end, ids.get(chunk[end - n : end], -1)))
-        end -= n
+        u, running, taken = float(_draws(np.array([row]), np.array([start + end]))[0]), 0.0, 1
+        for n, weight in ending(end):
+            running, taken = running + math.exp(logs[end - n] - logs[end]) * weight, n
+            if running > u:
+                break
+        out.append((end, ids.get(chunk[end - taken : end], -1)))
+        end -= taken
     return out
 
 
