@@ -25,10 +25,12 @@ CODES = 4
 #: Caps per vector and code on average, and at least. At a cosine of 0.93 vectors in 64 dimensions share about four in ten.
 CAPS, LEAST_CAPS = 24, 16
 BLOCKS = 4
-#: Words of a code at most.
-MOST_WORDS = 48
+#: Sums of half directions that a task holds at once.
+SUMS = 1 << 22
 #: Vectors of one group that a task compares at once.
 BLOCK_ROWS = 1024
+#: Products of matrices round by their shape; cosines so near the threshold are summed again exactly.
+DOUBT = 1e-9
 
 
 class CapCode:
@@ -83,27 +85,37 @@ class CapCode:
         return out
 
 
+def code_words(count: int, caps: float = CAPS) -> int:
+    """Words for `count` vectors: there are twice as many directions as caps that vectors fall into, so the vectors that share a
+    cap by chance stay as few however many vectors there are. Decoding a vector takes the square of the words."""
+    return max(12, math.ceil((count * caps * 2) ** (1 / BLOCKS)))
+
+
 def cap_codes(dim: int, words: int, caps: float = CAPS) -> list[CapCode]:
     return [CapCode(dim, words, caps, seed=7 + k) for k in range(CODES)]
 
 
-def _decoded(codes: dict[int, list[CapCode]]):
+def _decoded(codes: dict[int, list[CapCode]], sums: int):
     """Caps of each vector by the codes of its dimension. Caps are numbered one code after the other, dimensions apart, so that
     no cap is shared by two of them."""
+    first, at = {}, 0
+    for dim, own in sorted(codes.items()):
+        first[dim], at = at, at + CODES * own[0].words**BLOCKS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values, at = _flat(batch.column(2))
             for dim in np.unique(np.diff(at)):
-                own = np.flatnonzero(np.diff(at) == dim)
-                units = values[at[own][:, None] + np.arange(dim)]
+                whole = np.flatnonzero(np.diff(at) == dim)
                 for k, code in enumerate(codes[int(dim)]):
-                    lists = code.decode(units)
-                    rows = pa.array(np.repeat(own, [len(x) for x in lists]))
-                    caps = np.concatenate(lists) + k * code.words**BLOCKS + int(dim) * CODES * MOST_WORDS**BLOCKS
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(caps.astype(np.int64))], ["rep", "label", "cap"]
-                    )
+                    step = max(1, sums // code.words**2)
+                    for own in (whole[i : i + step] for i in range(0, len(whole), step)):
+                        lists = code.decode(values[at[own][:, None] + np.arange(dim)])
+                        rows = pa.array(np.repeat(own, [len(x) for x in lists]))
+                        caps = np.concatenate(lists) + k * code.words**BLOCKS + first[int(dim)]
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(caps.astype(np.int64))], ["rep", "label", "cap"]
+                        )
 
     return run
 
@@ -121,6 +133,15 @@ def _matrices(table: pa.Table, bounds: np.ndarray) -> Iterator[tuple[int, int, n
         yield low, high, values[at[low] : at[high]].reshape(high - low, -1)
 
 
+def alike(own: np.ndarray, i: int, others: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the rows `others` have a cosine with row `i` of at least the threshold. Near it the products are added up exactly,
+    in which neither the order of two rows nor what else is compared matters, so every step of the join decides alike."""
+    cosines = own[others] @ own[i]
+    for k in np.flatnonzero(np.abs(cosines - threshold) <= DOUBT):
+        cosines[k] = math.fsum(own[others[k]] * own[i])
+    return cosines >= threshold
+
+
 def _stars(threshold: float):
     """Within each group, links from every vector to the first of its connected part."""
 
@@ -130,7 +151,7 @@ def _stars(threshold: float):
             a, b = [], []
             for low, high, own in _matrices(table, bounds):
                 if high - low > 1:
-                    root = roots(lambda i, rest, own=own: own[rest] @ own[i] >= threshold, high - low)
+                    root = roots(lambda i, rest, own=own: alike(own, i, rest, threshold), high - low)
                     other = root != np.arange(high - low)
                     a.append(reps[low:high][other])
                     b.append(reps[low:high][root[other]])
@@ -150,7 +171,10 @@ def _counted(threshold: float):
             links = np.zeros(table.num_rows, np.int64)
             for low, high, own in _matrices(table, bounds):
                 times = copies[low:high]
-                linked = own @ own.T >= threshold
+                cosines = own @ own.T
+                linked = cosines >= threshold
+                for i, k in np.argwhere(np.abs(cosines - threshold) <= DOUBT):
+                    linked[i, k] = alike(own, i, np.array([k]), threshold)[0]
                 if bi[low] != bj[low]:
                     linked &= block[low:high, None] != block[None, low:high]
                 else:
@@ -197,11 +221,11 @@ def near_vectors(
     # A dimension that one representative has alone cannot be near another, so it needs no codes.
     found = {r["dim"]: r["count"] for r in reps.groupBy(F.size("unit").alias("dim")).count().filter("count > 1").collect()}
     codes = {
-        dim: cap_codes(dim, min(MOST_WORDS, max(12, math.ceil((count * caps * 2) ** (1 / BLOCKS)))), caps) for dim, count in sorted(found.items())
+        dim: cap_codes(dim, code_words(count, caps), caps) for dim, count in sorted(found.items())
     }
     reps = reps.filter(F.size("unit").isin(list(codes)))
 
-    lists = materialize(reps.select("rep", "label", "unit").mapInArrow(_decoded(codes), "rep long, label long, cap long"), "caps")
+    lists = materialize(reps.select("rep", "label", "unit").mapInArrow(_decoded(codes, SUMS), "rep long, label long, cap long"), "caps")
     sizes = lists.groupBy("label", "cap").agg(F.count("*").alias("n")).filter("n > 1")
     sizes = sizes.select("label", "cap", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
     together = lists.join(sizes.hint("merge"), ["label", "cap"]).join(reps.select("rep", "unit").hint("merge"), "rep")

@@ -150,13 +150,48 @@ def test_caps_reach_pairs_at_the_threshold():
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     b -= (a * b).sum(1, keepdims=True) * a
     b = 0.93 * a + np.sqrt(1 - 0.93**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
-    for words in (12, 32):
+    for words in (12, 32, 48, 64):
         met = np.zeros(600, bool)
         for code in cap_filters.cap_codes(64, words):
             met |= [bool(set(x.tolist()) & set(y.tolist())) for x, y in zip(code.decode(a), code.decode(b))]
         assert met.mean() >= 0.998
 
 
+def test_codes_grow_with_the_vectors():
+    for count in (10, 10**5, 10**7, 10**9):
+        words = cap_filters.code_words(count)
+        assert words**cap_filters.BLOCKS >= 2 * count * cap_filters.CAPS and (words - 1) ** cap_filters.BLOCKS < max(2 * count * cap_filters.CAPS, 12**4)
+
+
+def test_caps_of_many_dimensions_are_apart_and_found_in_slices():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    vectors = [v / np.linalg.norm(v) for v in (rng.standard_normal(rng.choice([3, 5, 64])) for _ in range(80))]
+    codes = {dim: cap_filters.cap_codes(dim, words) for dim, words in ((3, 12), (5, 14), (64, 13))}
+    batch = pa.RecordBatch.from_arrays([pa.array(range(80)), pa.array([0] * 80), pa.array([v.tolist() for v in vectors])], ["rep", "label", "unit"])
+    found = []
+    for sums in (1, 400, 1 << 22):
+        out = [(r["rep"], r["cap"]) for b in cap_filters._decoded(codes, sums)(iter([batch])) for r in b.to_pylist()]
+        found.append(sorted(out))
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(set(found[0]))
+    dims = {}
+    for rep, cap in found[0]:
+        assert dims.setdefault(cap, len(vectors[rep])) == len(vectors[rep])
+
+
+def test_cosines_at_the_threshold_are_decided_alike():
+    """Pairs whose cosine is the threshold to the last bits: the same verdict from rows, blocks and either order."""
+    rng = np.random.default_rng(6)
+    units = rng.standard_normal((40, 64))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    for threshold in (float(units[0] @ units[1]), float((units @ units.T)[0, 1]), float(units[3] @ units[2])):
+        rows_ = np.array([cap_filters.alike(units, i, np.arange(40), threshold) for i in range(40)])
+        assert (rows_ == rows_.T).all()
+        some = np.array([[cap_filters.alike(units[[i, k]], 0, np.array([1]), threshold)[0] for k in range(40)] for i in range(40)])
+        assert (some == rows_).all()
+
+
 def test_cap_decoding_finds_every_direction():
     code = cap_filters.CapCode(10, 5, caps=20, least=9)
     vectors = np.random.default_rng(2).standard_normal((20, 10))
