@@ -1,21 +1,25 @@
 """Phrases whose words come together more often than chance has it, counted with a partitioned suffix tree.
 
 The tree of all suffixes of all pieces, cut at a depth of a few words, is never built whole. Its branches are divided
-vertically: a branch begins with a prefix, and prefixes that hold more suffixes than a group may have are extended by a
-word until they do not. Suffixes go to the group of their prefix, already summed by the task that read them; a group sorts
-its suffixes, which puts its subtrees in order, and reads the count of every node from the totals of the leaves below it.
+vertically: a branch begins with a prefix, and prefixes that hold more suffixes than their share of a group are extended by a
+word until they do not. Prefixes are dealt into groups, as many as a budget of suffixes for each asks for. A task that reads
+texts sums the suffixes it has seen and hands each group its part as one packed block; a group sorts its suffixes, which puts
+its subtrees in order, and reads the count of every node from the totals of the leaves below it.
 
 Words are numbered by a 64-bit hash of language and word; a seed is taken at which no two words share a number.
 """
 
 from __future__ import annotations
 
+import struct
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,12 +28,10 @@ from bizpulse.llm.common import binary_texts, mix64, text_batches
 from bizpulse.session import materialize
 
 DEPTH, LEAST, MOST = 5, 100, 2000
-#: Suffixes of a group over the mean share of a partition; a prefix with more is extended.
-SHARE = 4
+#: Suffixes that a group may have, and how many extended prefixes a partition may cause at each length.
+GROUP, SHARE = 2_000_000, 4
 #: Words that a task sums at once: numbers within them take 20 bits.
 CHUNK = 1 << 20
-#: Bits of the filter of frequent words: 16 a word, within these bounds (32 MB at most).
-LEAST_BITS, MOST_BITS = 15, 28
 UNKNOWN = "und"
 #: ASCII capitals become small, marks that end pieces become line feeds, tabs blanks.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz\n\n\n\n\n\n\n\n\n ")
@@ -40,72 +42,76 @@ def _number(lang: str, word: bytes, seed: int) -> int:
     return xxhash.xxh64_intdigest(b"%d:" % len(lang) + lang.encode() + word, seed) or 1
 
 
-class _Chunk:
-    """Words of one language in order, as numbers within the chunk; 0 ends a piece."""
+def _tokens(text: bytes) -> list[bytes]:
+    """Words in order, a line feed where a piece ends, and empty strings where blanks follow each other."""
+    return text.translate(_FOLD).replace(b"\n", b" \n ").split(b" ")
 
-    def __init__(self):
-        self.words: dict[bytes, int] = defaultdict()
-        self.words.default_factory = self.words.__len__
-        self.words[b""] = 0
-        self.at: list[int] = []
 
-    def add(self, text: bytes) -> None:
-        number = self.words.__getitem__
-        for piece in text.translate(_FOLD).split(b"\n"):
-            if words := piece.split():
-                self.at.extend(map(number, words))
-                self.at.append(0)
-
-
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
-    """Per language, the different words of some whole texts, and the words' numbers in order."""
-    open_chunks: dict[str, _Chunk] = defaultdict(_Chunk)
+def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+    """Per language, the different words of some whole texts, from 1 on, and the words' numbers in order; 0 ends a piece."""
+    known: dict[str, dict[bytes, int]] = {}
+    read: dict[str, list[np.ndarray]] = defaultdict(list)
     held = 0
 
     def closed():
-        for lang, chunk in open_chunks.items():
-            yield lang, list(chunk.words), np.array(chunk.at, dtype=np.int64)
-        open_chunks.clear()
+        for lang, parts in read.items():
+            numbers = np.concatenate(parts)
+            numbers = numbers[numbers != 1]
+            yield lang, list(known[lang])[1:], numbers - (numbers > 1)
+        known.clear()
+        read.clear()
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), binary_texts(batch.column(1))):
-            chunk = open_chunks[lang]
-            before = len(chunk.at)
-            chunk.add(text)
-            held += len(chunk.at) - before
-            if held >= CHUNK // 2:
+            if lang not in known:
+                known[lang] = number = defaultdict()
+                number.default_factory = number.__len__
+                number[b"\n"], number[b""] = 0, 1
+            tokens = _tokens(text)
+            tokens.append(b"\n")
+            read[lang].append(np.fromiter(map(known[lang].__getitem__, tokens), np.int64, len(tokens)))
+            held += len(tokens)
+            if held >= most:
                 yield from closed()
                 held = 0
     yield from closed()
 
 
-def _slices(numbers: np.ndarray, depth: int) -> Iterator[np.ndarray]:
-    """Suffixes that begin with a word, `depth` numbers wide, zeros behind the end of a piece; CHUNK of them at most at once."""
+def _slices(numbers: np.ndarray, depth: int, most: int) -> Iterator[np.ndarray]:
+    """Suffixes of two words or more, `depth` numbers wide, zeros behind the end of a piece; `most` places at once."""
     padded = np.concatenate([numbers, np.zeros(depth, np.int64)])
-    for begin in range(0, len(numbers), CHUNK):
-        end = min(begin + CHUNK, len(numbers))
-        out = np.empty((end - begin, depth), np.int64)
-        out[:, 0] = padded[begin:end]
-        for k in range(1, depth):
-            out[:, k] = np.where(out[:, k - 1] > 0, padded[begin + k : end + k], 0)
+    for begin in range(0, len(numbers), most):
+        end = min(begin + most, len(numbers))
+        at = begin + np.flatnonzero((padded[begin:end] > 0) & (padded[begin + 1 : end + 1] > 0))
+        out = np.empty((len(at), depth), np.int64)
+        out[:, 0], out[:, 1] = padded[at], padded[at + 1]
+        for k in range(2, depth):
+            out[:, k] = np.where(out[:, k - 1] > 0, padded[at + k], 0)
         yield out
 
 
-def _summed(suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different rows and how often each occurs: columns are numbered anew two by two, so all stays exact in 64 bits."""
-    code, size = suffixes[:, 0], int(suffixes.max(initial=0)) + 1
-    for k in range(1, suffixes.shape[1]):
-        code = code * size + suffixes[:, k]
-        if k + 1 < suffixes.shape[1]:
-            if k % 2 == 0 or size > 1 << 20:
-                code = np.unique(code, return_inverse=True)[1]
-    _, first, counts = np.unique(code, return_index=True, return_counts=True)
-    return suffixes[first], counts
-
-
-def _word_counts(seed: int):
+def _summed(rows: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Different rows in order, and how often each occurs, or the sum of its `counts`. Columns are numbered anew two by two, so
+    all stays exact in 64 bits."""
+    if not len(rows):
+        return rows, np.zeros(0, np.int64)
+    code, size = rows[:, 0].astype(np.int64), int(rows.max()) + 1
+    for k in range(1, rows.shape[1]):
+        code = code * size + rows[:, k]
+        if k + 1 < rows.shape[1] and (k % 2 == 0 or size > 1 << 20):
+            code = np.unique(code, return_inverse=True)[1]
+    if counts is None:
+        _, first, totals = np.unique(code, return_index=True, return_counts=True)
+        return rows[first], totals
+    _, first, at = np.unique(code, return_index=True, return_inverse=True)
+    totals = np.zeros(len(first), np.int64)
+    np.add.at(totals, at, counts)
+    return rows[first], totals
+
+
+def _word_counts(seed: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, words, numbers in _chunks(batches):
+        for lang, words, numbers in _chunks(batches, most):
             counts = np.bincount(numbers, minlength=len(words))[1:]
             ids = np.array([_number(lang, w, seed) for w in words[1:]], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -116,103 +122,136 @@ def _word_counts(seed: int):
     return run
 
 
-def _probes(ids: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.int64((1 << bits) - 1)
-    return ids & mask, (ids >> np.int64(36)) & mask
-
-
-def frequent_filter(words: DataFrame) -> tuple[int, np.ndarray]:
-    """A Bloom filter of the numbers of `words`: how many bits name a place, and the places' bits. It has 16 bits a word, from
-    4 KB to 32 MB; beyond that it lets more rare words through, which costs time and changes no result."""
-    bits = min(max(LEAST_BITS, (16 * words.count()).bit_length()), MOST_BITS)
-    mask = (1 << bits) - 1
-    places = words.select(F.explode(F.array(F.col("id").bitwiseAND(F.lit(mask)), F.shiftright("id", 36).bitwiseAND(F.lit(mask)))).alias("p"))
-    # Spark's bitmaps hold 32768 numbers each and begin with 1.
-    held = places.groupBy(F.shiftright("p", 15).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("p") + 1)).alias("bits"))
-    filled = np.zeros(1 << (bits - 3), np.uint8)
-    for row in held.collect():
-        filled[row.k << 12 : (row.k + 1) << 12] = np.frombuffer(bytes(row.bits), np.uint8)
-    return bits, filled
-
-
 def _key(prefixes: np.ndarray) -> np.ndarray:
     """A hash of each row."""
-    key = prefixes[:, 0].view(np.uint64)
+    key = np.ascontiguousarray(prefixes[:, 0]).view(np.uint64)
     for k in range(1, prefixes.shape[1]):
         with np.errstate(over="ignore"):
             key = mix64(key) + np.ascontiguousarray(prefixes[:, k]).view(np.uint64)
     return key.view(np.int64)
 
 
-def _suffixes(seed: int, bits: int, filled: np.ndarray, depth: int, wide: list[np.ndarray]):
-    """Suffixes of two to `depth` words, all of them frequent by the filter, summed, with the key of their group: that of their
-    shortest prefix that is not among `wide`, sorted keys of prefixes of 1, 2, ... words."""
+def _common_prefixes(common: dict[str, dict[bytes, int]], width: int, most: int):
+    """Keys of prefixes of `width` words, all of them common, with how many suffixes begin so. `common` has the words by language.
+    A prefix is no more frequent than its words, so no other can hold too many suffixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, words, numbers in _chunks(batches):
+        total: dict[int, int] = defaultdict(int)
+
+        def packed() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.int64()), pa.array(total.values(), pa.int64())], ["part", "f"])
+            total.clear()
+            return out
+
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), binary_texts(batch.column(1))):
+                if lang not in common:
+                    continue
+                tokens = [t for t in _tokens(text) if t]
+                ids = np.fromiter(map(common[lang].get, tokens, repeat(0)), np.int64, len(tokens))
+                windows = np.lib.stride_tricks.sliding_window_view(ids, width) if len(ids) >= width else ids[:0].reshape(0, width)
+                keys, n = np.unique(_key(windows[(windows != 0).all(axis=1)]), return_counts=True) if len(windows) else ([], [])
+                for key, times in zip(keys, n):
+                    total[int(key)] += int(times)
+            if len(total) >= most:
+                yield packed()
+        yield packed()
+
+    return run
+
+
+def _pack(ids: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> bytes:
+    """Suffixes as a compressed block: the words' ids once, then the columns of their numbers, in as few bytes as they take."""
+    used, own = np.unique(rows, return_inverse=True)
+    width = np.uint8 if len(used) <= 1 << 8 else np.uint16 if len(used) <= 1 << 16 else np.uint32
+    tall = np.uint8 if counts.max() < 1 << 8 else np.int64
+    body = ids[used].tobytes() + own.reshape(rows.shape).T.astype(width).tobytes() + counts.astype(tall).tobytes()
+    head = struct.pack("<IIBBB", len(used), len(rows), rows.shape[1], np.dtype(width).itemsize, np.dtype(tall).itemsize)
+    return head + zstandard.compress(body, 3)
+
+
+def _unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes of a block, as ids, and their counts."""
+    used, n, depth, width, tall = struct.unpack_from("<IIBBB", block)
+    body = zstandard.decompress(block[struct.calcsize("<IIBBB") :])
+    ids = np.frombuffer(body, np.int64, used)
+    own = np.frombuffer(body, f"<u{width}", n * depth, 8 * used).reshape(depth, n)
+    return ids[own].T, np.frombuffer(body, np.uint8 if tall == 1 else np.int64, n, 8 * used + width * n * depth).astype(np.int64)
+
+
+def _suffixes(seed: int, depth: int, wide: list[np.ndarray], groups: int, most: int):
+    """Summed suffixes of two to `depth` words in blocks, one for each group that a chunk has some for. A suffix goes to the group
+    of its shortest prefix that is not among `wide`, sorted keys of prefixes of 1, 2, ... words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, words, numbers in _chunks(batches, most):
             ids = np.array([0, *(_number(lang, w, seed) for w in words[1:])], dtype=np.uint64).view(np.int64)
-            known = np.ones(len(ids), dtype=bool)
-            for place in _probes(ids, bits):
-                known &= (filled[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-            known[0] = False
-            for rows in _slices(np.where(known[numbers], numbers, 0), depth):
-                rows = rows[(rows[:, 0] > 0) & (rows[:, 1] > 0)]
+            for rows in _slices(numbers, depth, most):
                 if not len(rows):
                     continue
                 rows, counts = _summed(rows)
-                rows = ids[rows]
-                part, more = _key(rows[:, :1]), np.ones(len(rows), dtype=bool)
+                part, more = _key(ids[rows[:, :1]]), np.ones(len(rows), dtype=bool)
                 for k, keys in enumerate(wide):
                     if k + 1 == depth or not len(keys):
                         break
-                    more &= np.isin(_key(rows[:, : k + 1]), keys)
-                    part = np.where(more, _key(rows[:, : k + 2]), part)
-                columns = [np.ascontiguousarray(rows[:, k]) for k in range(depth)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part), *map(pa.array, columns), pa.array(counts, pa.int64())], ["part", *(f"w{k}" for k in range(depth)), "f"]
-                )
+                    more[more] = np.isin(_key(ids[rows[more, : k + 1]]), keys)
+                    part[more] = _key(ids[rows[more, : k + 2]])
+                group = (mix64(part.view(np.uint64)) % np.uint64(groups)).astype(np.int64)
+                order = np.argsort(group, kind="stable")
+                edges = np.flatnonzero(np.diff(group[order], prepend=-1, append=groups))
+                blocks = [_pack(ids, rows[own], counts[own]) for own in map(order.__getitem__, map(slice, edges[:-1], edges[1:]))]
+                yield pa.RecordBatch.from_arrays([pa.array(group[order[edges[:-1]]]), pa.array(blocks, pa.binary())], ["part", "block"])
 
     return run
 
 
-def _subtrees(depth: int, least: int, wide: list[np.ndarray]):
-    """Nodes of two words or more from sorted suffixes: rows (phrase, f). A node's count is the sum of the leaves below it.
-    Nodes above the group's prefix have a part of their leaves here and are passed on with what there is; others need `least`."""
+def _nodes(rows: np.ndarray, counts: np.ndarray, least: int, wide: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Nodes of two words or more of the subtrees whose leaves are `rows`, in order: (phrase, f). A node's count is the sum of the
+    leaves below it. Nodes above the group's prefixes have a part of their leaves here and are passed on with what there is;
+    others need `least`."""
+    new = np.ones(len(rows), dtype=bool)
+    new[1:] = rows[1:, 0] != rows[:-1, 0]
+    for d in range(2, rows.shape[1] + 1):
+        new[1:] |= rows[1:, d - 1] != rows[:-1, d - 1]
+        firsts = np.flatnonzero(new)
+        totals = np.add.reduceat(counts, firsts)
+        whole = rows[firsts, d - 1] != 0
+        nodes, totals = rows[firsts[whole], :d], totals[whole]
+        taken = totals >= least
+        if d <= len(wide) and len(wide[d - 1]):
+            taken |= np.isin(_key(nodes), wide[d - 1])
+        if taken.any():
+            flat = pa.array(np.ascontiguousarray(nodes[taken]).reshape(-1))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (taken.sum() + 1) * d, d), pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays([lists, pa.array(totals[taken])], ["phrase", "f"])
+
+
+def _subtrees(least: int, wide: list[np.ndarray], most: int):
+    """The nodes of each group, from its blocks, which come one after another. Blocks are summed whenever `most` suffixes are
+    held, so a group takes the memory of its different suffixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        still: dict[int, tuple[np.ndarray, int]] = {}  # the last node of each depth, which may go on
-
-        def packed(nodes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-            d = nodes.shape[1]
-            taken = counts >= least
-            if d <= len(wide) and len(wide[d - 1]):
-                taken |= np.isin(_key(nodes), wide[d - 1])
-            taken &= nodes[:, -1] != 0
-            if taken.any():
-                flat = pa.array(np.ascontiguousarray(nodes[taken]).reshape(-1))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (taken.sum() + 1) * d, d), pa.int32()), flat)
-                yield pa.RecordBatch.from_arrays([lists, pa.array(counts[taken])], ["phrase", "f"])
+        at, held, size = None, [], 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            rows, counts = np.concatenate([r for r, _ in held]), np.concatenate([c for _, c in held])
+            ids, own = np.unique(rows, return_inverse=True)
+            own, counts = _summed(own.reshape(rows.shape), counts)
+            return ids[own], counts
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = np.stack([batch.column(f"w{k}").to_numpy() for k in range(depth)], axis=1)
-            f = batch.column("f").to_numpy()
-            new = np.concatenate([[True], (rows[1:, 0] != rows[:-1, 0])])
-            for d in range(2, depth + 1):
-                new[1:] |= rows[1:, d - 1] != rows[:-1, d - 1]
-                firsts = np.flatnonzero(new)
-                nodes, counts = rows[firsts, :d], np.add.reduceat(f, firsts)
-                if d in still:
-                    node, count = still[d]
-                    if (node == nodes[0]).all():
-                        counts[0] += count
-                    else:
-                        yield from packed(node[None], np.array([count]))
-                still[d] = nodes[-1].copy(), int(counts[-1])
-                yield from packed(nodes[:-1], counts[:-1])
-        for node, count in still.values():
-            yield from packed(node[None], np.array([count]))
+            for part, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if part != at and held:
+                    yield from _nodes(*merged(), least, wide)
+                    held, size = [], 0
+                at = part
+                held.append(_unpack(block.as_py()))
+                size += len(held[-1][1])
+                if size >= 2 * most:
+                    held = [merged()]
+                    size = len(held[0][1]) if len(held[0][1]) < most else 0
+        if held:
+            yield from _nodes(*merged(), least, wide)
 
     return run
 
@@ -225,58 +264,46 @@ def count_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     """Stored rows (lang, word, id, f) of all words, and the seed at which their ids differ."""
     text_batches(docs.sparkSession)
     for seed in range(100):
-        counts = _told(docs, text_col, lang_col).mapInArrow(_word_counts(seed), "lang string, word string, id long, f long")
+        counts = _told(docs, text_col, lang_col).mapInArrow(_word_counts(seed, CHUNK), "lang string, word string, id long, f long")
         words = materialize(counts.groupBy("lang", "word", "id").agg(F.sum("f").alias("f")), "words")
         if words.groupBy("id").count().filter("count > 1").isEmpty():
             return words, seed
     raise RuntimeError("no seed gives all words different numbers")
 
 
-def count_phrases(docs: DataFrame, words: DataFrame, seed: int, text_col: str = "text", lang_col: str = "lang", depth: int = DEPTH, least: int = LEAST) -> DataFrame:
-    """Stored rows (phrase, f): arrays of ids of two to `depth` words that occur at least `least` times within pieces.
-
-    A group's share is that of a partition by SHARE; so at most SHARE prefixes a partition and depth are extended, and their
-    keys are what goes to all tasks beside the filter of frequent words.
-    """
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    frequent = words.filter(F.col("f") >= least)
-    bits, filled = frequent_filter(frequent)
-    told = _told(docs, text_col, lang_col)
-    total = words.agg(F.sum("f")).first()[0] or 0
-    budget = max(total // (SHARE * parts), least)
-    ids = [r.id for r in frequent.filter(F.col("f") > budget).select("id").collect()]
-    wide = [np.sort(_key(np.array(ids, dtype=np.int64)[:, None]))] if ids else []
+def wide_prefixes(told: DataFrame, words: DataFrame, depth: int, budget: int) -> list[np.ndarray]:
+    """Sorted keys of the prefixes of 1, 2, ... words that begin more than `budget` suffixes, each list but the last one reason to
+    read the texts again. There are at most as many of a length as the corpus has words for each `budget`."""
+    rows = words.filter(F.col("f") > budget).select("lang", "word", "id").collect()
+    common: dict[str, dict[bytes, int]] = defaultdict(dict)
+    for row in rows:
+        common[row.lang][row.word.encode()] = row.id
+    wide = [np.sort(_key(np.array([r.id for r in rows], dtype=np.int64)[:, None]))] if rows else []
     while wide and len(wide) + 1 < depth:
-        k = len(wide) + 1
-        counts = told.mapInArrow(_prefixes(seed, bits, filled, wide, k), "part long, f long").groupBy("part").agg(F.sum("f").alias("f"))
-        more = [r.part for r in counts.filter(F.col("f") > budget).collect()]
+        counts = told.mapInArrow(_common_prefixes(dict(common), len(wide) + 1, CHUNK), "part long, f long")
+        more = [r.part for r in counts.groupBy("part").agg(F.sum("f").alias("f")).filter(F.col("f") > budget).collect()]
         if not more:
             break
         wide.append(np.sort(np.array(more, dtype=np.int64)))
-    names = [f"w{k}" for k in range(depth)]
-    schema = ", ".join(["part long", *(f"{c} long" for c in names), "f long"])
-    dealt = told.mapInArrow(_suffixes(seed, bits, filled, depth, wide), schema).repartition(parts, "part")
-    sorted_ = dealt.drop("part").sortWithinPartitions(*names)
-    nodes = sorted_.mapInArrow(_subtrees(depth, least, wide), "phrase array<long>, f long")
-    return materialize(nodes.groupBy("phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least), "phrases")
+    return wide
 
 
-def _prefixes(seed: int, bits: int, filled: np.ndarray, wide: list[np.ndarray], width: int):
-    """Keys of the prefixes of `width` words that extend those in `wide`, with how many suffixes begin so."""
-    suffixes = _suffixes(seed, bits, filled, width, wide)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in suffixes(batches):
-            rows = np.stack([batch.column(f"w{k}").to_numpy() for k in range(width)], axis=1)
-            on = (rows[:, -1] != 0) & np.isin(_key(rows[:, : width - 1]), wide[width - 2])
-            if on.any():
-                keys, at = np.unique(_key(rows[on]), return_inverse=True)
-                f = np.zeros(len(keys), np.int64)
-                np.add.at(f, at, batch.column("f").to_numpy()[on])
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(f)], ["part", "f"])
+def count_phrases(docs: DataFrame, words: DataFrame, seed: int, text_col: str = "text", lang_col: str = "lang", depth: int = DEPTH, least: int = LEAST) -> DataFrame:
+    """Stored rows (phrase, f): arrays of ids of two to `depth` words that occur at least `least` times within pieces.
 
-    return run
+    There are as many groups as GROUP suffixes for each ask for, and as partitions at least. Prefixes that hold more than a
+    partition's share by SHARE are extended, so there are at most SHARE of them for a partition and length; their keys are all
+    that goes to every task. What depends on this division is where suffixes meet, never a count.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    told = _told(docs, text_col, lang_col)
+    total = words.agg(F.sum("f")).first()[0] or 0
+    groups = parts * max(1, -(-total // (GROUP * parts)))
+    wide = wide_prefixes(told, words, depth, max(total // (SHARE * parts), least))
+    blocks = told.mapInArrow(_suffixes(seed, depth, wide, groups, CHUNK), "part long, block binary")
+    dealt = blocks.repartitionById(parts, (F.col("part") % parts).cast("int")).sortWithinPartitions("part")
+    nodes = dealt.mapInArrow(_subtrees(least, wide, GROUP), "phrase array<long>, f long")
+    return materialize(nodes.groupBy("phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least), "phrases")
 
 
 def _decimal(name: str, digits: int) -> Column:
