@@ -22,7 +22,7 @@ HEADLINE = [
     "silver_business", "silver_user", "silver_review", "silver_checkin", "silver_tip", "silver_date_slice",
     "popularity_inputs", "business_popularity", "business_popularity_all_months",
     "fact_review_tip_daily", "fact_review_tip_monthly", "fact_all_days",
-    "partition_overwrite", "upsert_by_key", "replace_slice",
+    "partition_overwrite", "upsert_by_key", "upsert_unpartitioned", "replace_slice", "checked_write",
     "top_businesses_by_city", "latest_review_metrics", "monthly_business_summary", "monthly_trend", "review_growth",
     "top_cities", "city_comparison", "city_dashboard", "city_time_series",
     "dq_duplicate_keys", "dq_missing_fields", "dq_constraint_violations", "table_row_counts",
@@ -51,6 +51,9 @@ def main() -> None:
         began = time.perf_counter()
         catalog.stored(spark, sf_dir, table)
         seconds[f"store_{table}"] = round(time.perf_counter() - began, 3)
+    began = time.perf_counter()
+    catalog.monthly_gold(spark, sf_dir)
+    seconds["store_monthly"] = round(time.perf_counter() - began, 3)
     for name in HEADLINE:
         began = time.perf_counter()
         finish(queries[name](spark, sf_dir))

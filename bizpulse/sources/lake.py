@@ -1,7 +1,11 @@
 """Writing lake tables: partitioned writes, partition overwrite, keyed upsert, slice replacement, registration.
 
 The default format is Parquet, whose writes are atomic per task but not per table: one writer per table at a time, and
-a reader may see the moment of a commit. On a table format with transactions use `merge_into` instead of `upsert`.
+a reader may see the moment of a commit. Tables without partitions are better changed by `sources.versions`, which never
+overwrites. On a table format with transactions use `merge_into` instead of `upsert`.
+
+Partitions that a run leaves without rows are cleared after its write. A run that dies in between leaves their old rows; the
+same run, done again, clears them, as it finds them by its slices and not by what the first one did.
 """
 
 from __future__ import annotations
@@ -72,9 +76,17 @@ def write_counted(df: DataFrame, writer, not_null: Sequence[str] = (), rejected:
     return {**dict.fromkeys(names, 0), **observed(seen)}
 
 
+#: Partitions that one run may touch; more mean that a table is partitioned by a key.
+MOST_PARTITIONS = 100_000
+
+
 def _partition_values(df: DataFrame, columns: Sequence[str]) -> list[dict]:
-    """Distinct partition values: as many as directories, which a table keeps few; metadata, not data."""
-    return [row.asDict() for row in df.select(*columns).distinct().collect()]
+    """Distinct partition values: as many as directories, which a table keeps few; metadata, not data. A run that touches more
+    than MOST_PARTITIONS fails before it writes."""
+    found = df.select(*columns).distinct().limit(MOST_PARTITIONS + 1).collect()
+    if len(found) > MOST_PARTITIONS:
+        raise ValueError(f"more than {MOST_PARTITIONS} partitions of {list(columns)}: partition by fewer values")
+    return [row.asDict() for row in found]
 
 
 def _is_one_of(parts: Sequence[Mapping]) -> Column:
@@ -116,7 +128,7 @@ def _rewrite(
     Other partitions are neither read nor written. A table without partitions is rewritten whole, by way of scratch.
     """
     if not partition_by:
-        # The copy stays in scratch: if the overwrite is cut short, the log names what to restore from.
+        # Not safe from a crash: the copy stays in scratch, and the log names what to restore from. `sources.versions` is.
         whole = materialize(merge(target), "whole-table")
         log.info("rewriting %s from %s", path, whole.inputFiles()[:1])
         write_table(whole, path, "overwrite", options=options, fmt=fmt, cluster_by=cluster_by)

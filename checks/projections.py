@@ -55,7 +55,7 @@ SELECT CASE WHEN event_id % 83 = 5 THEN NULL ELSE concat('u', user_id) END AS us
             WHEN event_id % 53 = 3 THEN concat('2024-2-', CAST(event_id % 9 + 1 AS STRING), ' 7:05:09')
             ELSE CAST(date_trunc('second', ts) AS STRING) END AS date,
        CAST(CAST(floor(value) AS INT) % 7 - 1 AS INT) AS compliment_count
-FROM {events} WHERE event_type NOT IN ('view', 'signup')""",
+FROM {events} WHERE coalesce(event_type, '') NOT IN ('view', 'signup')""",
     "checkin": """
 SELECT CASE WHEN event_id % 73 = 6 THEN '' ELSE concat('b', (event_id * 3) % (SELECT count(*) FROM {part})) END
            AS business_id,

@@ -243,3 +243,25 @@ def test_merge_into_needs_a_row_level_table(spark, table, make):
     lake.register_table(spark, table, "plain_t")
     with pytest.raises(Exception, match="(?i)merge"):
         lake.merge_into(make([("x", A, 1)]), "plain_t", ["id", "day"])
+
+
+def test_a_run_that_dies_before_it_clears_is_mended_by_the_same_run(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    lake.write_table(spark.createDataFrame([("a", A, 1), ("b", B, 2), ("c", C, 3)], DDL), path, partition_by=["day"])
+    source, slices = spark.createDataFrame([("n", A, 9)], DDL), [{"day": A}, {"day": B}]
+    with monkeypatch.context() as m:
+        m.setattr(lake, "_empty_partitions", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            lake.replace_slice(spark, source, path, ["day"], slices, ["day"])
+    assert rows(spark.read.parquet(path).select("id")) == [("b",), ("c",), ("n",)]
+    lake.replace_slice(spark, source, path, ["day"], slices, ["day"])
+    assert rows(spark.read.parquet(path).select("id")) == [("c",), ("n",)]
+
+
+def test_too_many_partitions_are_refused_before_anything_is_written(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    lake.write_table(spark.createDataFrame([("a", A, 1)], DDL), path, partition_by=["day"])
+    monkeypatch.setattr(lake, "MOST_PARTITIONS", 1)
+    with pytest.raises(ValueError, match="more than 1 partitions"):
+        lake.upsert(spark, spark.createDataFrame([("a", A, 2), ("b", B, 2)], DDL), path, ["id", "day"], ["day"])
+    assert rows(spark.read.parquet(path).select("id", "v")) == [("a", 1)]
