@@ -311,13 +311,14 @@ def encode_texts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
 
     The same key, text, seed and model give the same ids wherever the row lies; rows of equal key and text get equal ids. Null
     or empty text: no ids. A null key counts as 0. Every text, however odd its characters, decodes to itself: characters
-    outside the vocabulary are spelled in byte pieces. `model` is the path of a model file, the same on every machine.
+    outside the vocabulary are spelled in byte pieces. Repeated rows are each coded, alike; a column named `pieces` is replaced.
+    `model` is the path of a model file, the same on every machine.
     """
     text_batches(docs.sparkSession, 512)
     return docs.drop("pieces").withColumn("pieces", _encoded(model, seed, alpha)(F.col(text_col), F.coalesce(F.col(id_col).cast("long"), F.lit(0))))
 
 
 def decode_pieces(encoded: DataFrame, model: str, ids_col: str = "pieces", to: str = "decoded") -> DataFrame:
-    """Add `to`, the text that the ids in `ids_col` spell. Null ids: null; no ids: empty."""
+    """Add `to`, the text that the ids in `ids_col` spell; a column of that name is replaced. Null ids: null; no ids: empty."""
     # The condition keeps two Python functions from being chained, which would run the first of them once for each use.
     return encoded.withColumn(to, _decoded(model)(F.when(F.col(ids_col).isNotNull(), F.col(ids_col))))

@@ -52,6 +52,13 @@ def test_ngram_join_repeated_rows_null_ids_and_empty(spark):
     assert ngram_join.similar_documents(spark.createDataFrame([], DOC)).count() == 0
 
 
+def test_ngram_join_with_extra_and_clashing_columns(spark):
+    names = "doc_id long, text string, class_id int, copy_id int, n_links int, id int, values int, component int"
+    data = [(i, t, 1, 2, 3, 4, 5, 6) for i, t in enumerate(["a b c d e f", "a b c d e f", "x y", None])]
+    got = ngram_join.similar_documents(spark.createDataFrame(data, names))
+    assert rows(got) == [(0, 0, 0, 1), (1, 0, 0, 1), (2, 2, 2, 0), (3, 3, 3, 0)]
+
+
 def test_pruning_table_is_the_posterior_tail():
     """Against numerical integration of the posterior density s^m (1 - s)^(n - m)."""
     s = (np.arange(20_000) + 0.5) / 20_000
