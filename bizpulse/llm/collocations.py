@@ -48,18 +48,17 @@ def _tokens(text: bytes) -> list[bytes]:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
-    """Per language, the different words of some whole texts, from 1 on, and the words' numbers in order; 0 ends a piece."""
+    """Per language, the different words of some whole texts, from 1 on, and the words' numbers in order; 0 ends a piece. A
+    language is handed on once it has `most` words, and all are once they have four times as many."""
     known: dict[str, dict[bytes, int]] = {}
     read: dict[str, list[np.ndarray]] = defaultdict(list)
-    held = 0
+    held: dict[str, int] = defaultdict(int)
 
-    def closed():
-        for lang, parts in read.items():
-            numbers = np.concatenate(parts)
-            numbers = numbers[numbers != 1]
-            yield lang, list(known[lang])[1:], numbers - (numbers > 1)
-        known.clear()
-        read.clear()
+    def closed(lang: str):
+        numbers = np.concatenate(read.pop(lang))
+        numbers = numbers[numbers != 1]
+        del held[lang]
+        return lang, list(known.pop(lang))[1:], numbers - (numbers > 1)
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), binary_texts(batch.column(1))):
@@ -69,21 +68,22 @@ def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str,
                 number[b"\n"], number[b""] = 0, 1
             tokens = _tokens(text)
             tokens.append(b"\n")
-            read[lang].append(np.fromiter(map(known[lang].__getitem__, tokens), np.int64, len(tokens)))
-            held += len(tokens)
-            if held >= most:
-                yield from closed()
-                held = 0
-    yield from closed()
+            read[lang].append(np.fromiter(map(known[lang].__getitem__, tokens), np.int32, len(tokens)))
+            held[lang] += len(tokens)
+            if held[lang] >= most:
+                yield closed(lang)
+            elif sum(held.values()) >= 4 * most:
+                yield from map(closed, list(held))
+    yield from map(closed, list(held))
 
 
 def _slices(numbers: np.ndarray, depth: int, most: int) -> Iterator[np.ndarray]:
     """Suffixes of two words or more, `depth` numbers wide, zeros behind the end of a piece; `most` places at once."""
-    padded = np.concatenate([numbers, np.zeros(depth, np.int64)])
+    padded = np.concatenate([numbers, np.zeros(depth, numbers.dtype)])
     for begin in range(0, len(numbers), most):
         end = min(begin + most, len(numbers))
         at = begin + np.flatnonzero((padded[begin:end] > 0) & (padded[begin + 1 : end + 1] > 0))
-        out = np.empty((len(at), depth), np.int64)
+        out = np.empty((len(at), depth), numbers.dtype)
         out[:, 0], out[:, 1] = padded[at], padded[at + 1]
         for k in range(2, depth):
             out[:, k] = np.where(out[:, k - 1] > 0, padded[at + k], 0)
@@ -162,7 +162,13 @@ def _common_prefixes(common: dict[str, dict[bytes, int]], width: int, most: int)
 
 def _pack(ids: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> bytes:
     """Suffixes as a compressed block: the words' ids once, then the columns of their numbers, in as few bytes as they take."""
-    used, own = np.unique(rows, return_inverse=True)
+    if rows.size > len(ids) // 16:  # marking the words is cheaper than sorting their places
+        there = np.zeros(len(ids), dtype=bool)
+        there[rows] = True
+        used, place = np.flatnonzero(there), np.cumsum(there) - 1
+        own = place[rows]
+    else:
+        used, own = np.unique(rows, return_inverse=True)
     width = np.uint8 if len(used) <= 1 << 8 else np.uint16 if len(used) <= 1 << 16 else np.uint32
     tall = np.uint8 if counts.max() < 1 << 8 else np.int64
     body = ids[used].tobytes() + own.reshape(rows.shape).T.astype(width).tobytes() + counts.astype(tall).tobytes()
@@ -170,13 +176,13 @@ def _pack(ids: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> bytes:
     return head + zstandard.compress(body, 3)
 
 
-def _unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes of a block, as ids, and their counts."""
+def _unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids of a block's words, its suffixes as numbers of them, and their counts."""
     used, n, depth, width, tall = struct.unpack_from("<IIBBB", block)
     body = zstandard.decompress(block[struct.calcsize("<IIBBB") :])
     ids = np.frombuffer(body, np.int64, used)
     own = np.frombuffer(body, f"<u{width}", n * depth, 8 * used).reshape(depth, n)
-    return ids[own].T, np.frombuffer(body, np.uint8 if tall == 1 else np.int64, n, 8 * used + width * n * depth).astype(np.int64)
+    return ids, own.T, np.frombuffer(body, np.uint8 if tall == 1 else np.int64, n, 8 * used + width * n * depth).astype(np.int64)
 
 
 def _suffixes(seed: int, depth: int, wide: list[np.ndarray], groups: int, most: int):
@@ -205,9 +211,9 @@ def _suffixes(seed: int, depth: int, wide: list[np.ndarray], groups: int, most:
     return run
 
 
-def _nodes(rows: np.ndarray, counts: np.ndarray, least: int, wide: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Nodes of two words or more of the subtrees whose leaves are `rows`, in order: (phrase, f). A node's count is the sum of the
-    leaves below it. Nodes above the group's prefixes have a part of their leaves here and are passed on with what there is;
+def _nodes(ids: np.ndarray, rows: np.ndarray, counts: np.ndarray, least: int, wide: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Nodes of two words or more of the subtrees whose leaves are `rows`, in order: (phrase, f). Words are numbers of `ids`, of
+    which 0 is no word. A node's count is the sum of the leaves below it. Nodes above the group's prefixes have a part of their leaves here and are passed on with what there is;
     others need `least`."""
     new = np.ones(len(rows), dtype=bool)
     new[1:] = rows[1:, 0] != rows[:-1, 0]
@@ -215,13 +221,13 @@ def _nodes(rows: np.ndarray, counts: np.ndarray, least: int, wide: list[np.ndarr
         new[1:] |= rows[1:, d - 1] != rows[:-1, d - 1]
         firsts = np.flatnonzero(new)
         totals = np.add.reduceat(counts, firsts)
-        whole = rows[firsts, d - 1] != 0
+        whole = ids[rows[firsts, d - 1]] != 0
         nodes, totals = rows[firsts[whole], :d], totals[whole]
         taken = totals >= least
         if d <= len(wide) and len(wide[d - 1]):
-            taken |= np.isin(_key(nodes), wide[d - 1])
+            taken |= np.isin(_key(ids[nodes]), wide[d - 1])
         if taken.any():
-            flat = pa.array(np.ascontiguousarray(nodes[taken]).reshape(-1))
+            flat = pa.array(ids[nodes[taken]].reshape(-1))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (taken.sum() + 1) * d, d), pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([lists, pa.array(totals[taken])], ["phrase", "f"])
 
@@ -233,11 +239,10 @@ def _subtrees(least: int, wide: list[np.ndarray], most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, size = None, [], 0
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            rows, counts = np.concatenate([r for r, _ in held]), np.concatenate([c for _, c in held])
-            ids, own = np.unique(rows, return_inverse=True)
-            own, counts = _summed(own.reshape(rows.shape), counts)
-            return ids[own], counts
+        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            every = np.unique(np.concatenate([ids for ids, _, _ in held]))
+            rows = np.concatenate([np.searchsorted(every, ids).astype(np.int32)[own] for ids, own, _ in held])
+            return every, *_summed(rows, np.concatenate([counts for _, _, counts in held]))
 
         for batch in batches:
             for part, block in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -246,10 +251,10 @@ def _subtrees(least: int, wide: list[np.ndarray], most: int):
                     held, size = [], 0
                 at = part
                 held.append(_unpack(block.as_py()))
-                size += len(held[-1][1])
+                size += len(held[-1][2])
                 if size >= 2 * most:
                     held = [merged()]
-                    size = len(held[0][1]) if len(held[0][1]) < most else 0
+                    size = len(held[0][2]) if len(held[0][2]) < most else 0
         if held:
             yield from _nodes(*merged(), least, wide)
 
