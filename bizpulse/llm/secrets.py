@@ -1,8 +1,10 @@
 """Secrets in texts: single patterns, and credentials that come in several parts.
 
 Access identifiers, secret values and endpoints are joined as intervals: two parts of different roles are linked when the
-gap between them is at most `reach` code points. The join is a sweep over one text's parts in order of place that keeps the
-parts still in reach, so it is linear in the parts. Parts that are weak alone (a bare value of high entropy, an endpoint)
+gap between them is at most `reach` code points and they lie in one scope. Scopes are sections (a header line in brackets, a
+YAML document, an object of a list) and, for identifiers and secrets, blocks: a new one begins where the role that opened
+the block comes again after the other role, so a list of pairs links each with its own. The join is a sweep over one text's
+parts in order of place that keeps the parts still in reach, so it is linear in the parts. Parts that are weak alone (a bare value of high entropy, an endpoint)
 are reported only when a part of another role is in reach of themselves.
 """
 
@@ -26,14 +28,16 @@ BASE = {
     "hex": (re.compile("[0-9a-f]{24,}"), 24),  # runs of [0-9a-f]+ that are long enough
 }
 #: Weak parts, then the kind of a whole credential.
-#: A value may begin after '=', ':' or a quote and end before '.', ',' or ';'. Longer runs are data, not keys.
-VALUE = re.compile(r"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/]{20,256}+={0,2}+(?![A-Za-z0-9+/=_-])")
-ENDPOINT = re.compile(r"(?a:\bhttps?://[A-Za-z0-9.-]+|(?<![a-z0-9.-])[a-z0-9.-]{1,200}\.amazonaws\.com\b|\b(?:jdbc|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9.:/@_-]+)")
+#: A value may begin after '=', ':' or a quote and end before '.', ',' or ';'.
+VALUE = re.compile(r"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/]{20,}+={0,2}+(?![A-Za-z0-9+/=_-])")
+ENDPOINT = re.compile(r"(?a:\bhttps?://[A-Za-z0-9.-]+|(?<![a-z0-9.-])[a-z0-9.-]+\.amazonaws\.com\b|\b(?:jdbc|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9.:/@_-]+)")
 #: Addresses of any scheme with a password: group 1 is user:password. It ends at the last '@' before a slash, else at the first
-#: '@' after one, unless what looks like a password is a port.
+#: '@' after one, unless what looks like a password is a port. No length has a bound; a search ends at a blank, a quote or "://".
 LOGIN = re.compile(
-    r"""(?a:(?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]{0,30}+://([^\s/@:"'<>]{0,200}:(?:[^\s/"'<>]{1,200}|(?![0-9]{1,5}/)(?:(?!://)[^\s"'<>]){1,200}?))@[A-Za-z0-9.:/@_-]*)"""
+    r"""(?a:(?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]*+://([^\s/@:"'<>]*+:(?:[^\s/"'<>]+|(?![0-9]{1,5}/)(?:(?!://)[^\s"'<>])+?))@[A-Za-z0-9.:/@_-]*)"""
 )
+#: Where one section ends and another begins: a header line in brackets, a line of dashes, the next object of a list.
+SECTION = re.compile(r"^[\x20\t]*+(?:\[[^\[\]\n]++\][\x20\t\r]*+$|---)|\}\s*+(?:,\s*+)?\{", re.M)
 KINDS = ("assign", "access", "hex", "value", "endpoint", "credential")
 REACH = 200
 ENTROPY = 4.0
@@ -103,14 +107,37 @@ def _parts(text: str, base: list[Span], logins: list[re.Match]) -> list[Part]:
     return sorted(parts, key=lambda p: (p[2], p[3], p[1]))
 
 
-def _links(parts: list[Part], reach: int) -> list[list[int]]:
-    """For each part the numbers of the parts of other roles in reach, in order of place."""
+def _scopes(text: str, parts: list[Part]) -> list[tuple[int, int]]:
+    """For each part its section and its block: see the module. Endpoints belong to their section only and have block -1."""
+    starts = [m.start() for m in SECTION.finditer(text)] if len(parts) > 2 else []
+    out, block, at = [], 0, 0
+    leads, seen = "", False  # the role that opened the block, and whether the other one has come
+    for role, _, start, _ in parts:
+        section = bisect_left(starts, start + 1)
+        if section != at:
+            at, block, leads, seen = section, block + 1, "", False
+        if role == "endpoint":
+            out.append((section, -1))
+            continue
+        if role == leads and seen:
+            block, leads, seen = block + 1, "", False
+        leads, seen = leads or role, seen or (leads != "" and role != leads)
+        out.append((section, block))
+    return out
+
+
+def _linkable(a: tuple[int, int], b: tuple[int, int]) -> bool:
+    return a[0] == b[0] and (a[1] == b[1] or a[1] < 0 or b[1] < 0)
+
+
+def _links(parts: list[Part], scopes: list[tuple[int, int]], reach: int) -> list[list[int]]:
+    """For each part the numbers of the parts of other roles in reach and scope, in order of place."""
     links: list[list[int]] = [[] for _ in parts]
     near: list[int] = []
     for i, (role, _, start, _) in enumerate(parts):
         near = [k for k in near if parts[k][3] + reach >= start]
         for k in near:
-            if parts[k][0] != role:
+            if parts[k][0] != role and _linkable(scopes[k], scopes[i]):
                 links[k].append(i)
                 links[i].append(k)
         near.append(i)
@@ -123,7 +150,8 @@ def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
     logins = _logins(text)
     alone = {m.span() for m in logins}
     parts = _parts(text, base, logins)
-    links = _links(parts, reach)
+    links = _links(parts, _scopes(text, parts), reach)
+    near = [[parts[e][2] for e in own if parts[e][0] == "endpoint"] for own in links]
     own = {(s[0], s[1], s[2]): s for s in base}
     weak: list[Span] = []
     whole: list[Span] = []
@@ -137,7 +165,7 @@ def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
         for k in links[i] if role == "id" else ():
             other, _, from_, to = parts[k]
             if other == "secret":
-                ends = sorted({parts[e][2] for e in links[i] + links[k] if parts[e][0] == "endpoint"})
+                ends = sorted({*near[i], *near[k]})
                 whole.append(("credential", min(start, from_), max(end, to), 1.0 if ends else 0.8, [start, from_, *ends]))
     return weak + sorted(whole, key=lambda s: s[1:3])
 
@@ -172,7 +200,8 @@ def find_secrets(docs: DataFrame, text_col: str = "text", reach: int = REACH) ->
 
     Kinds assign, access and hex are base spans: all matches of their patterns that are long enough; a shorter match is
     dropped and its characters are not tried again. Kinds value and endpoint are weak parts with a part of another role
-    (identifier, secret, endpoint) at a gap of at most `reach`; an endpoint that carries a password stands alone. A credential is a linked pair of identifier and secret.
+    (identifier, secret, endpoint) in their scope at a gap of at most `reach`; an endpoint that carries a password stands alone. A
+    credential is a linked pair of identifier and secret.
     `links` has the starts of a part's complements in reach, for a credential those of its identifier, its secret and the
     endpoints of either. Null or empty text: an empty array. Repeated rows are reported each. A column named `secrets` is
     replaced.
