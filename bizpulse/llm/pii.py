@@ -7,6 +7,8 @@ starts or the last match ended, so a scan is linear in the text; they match what
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +52,7 @@ PATTERNS = {
 BASE = ("email", "ip", "card", "phone")
 #: A text without a match of this cannot have one of the kind: one cheap scan saves two.
 HINTS = {"card": "[0-9](?:[ -]?[0-9]){15}", "iban": "[A-Z]{2}[0-9]{2}", "ssn": "[0-9]-[0-9]{2}-"}
-#: Score of a confirmed proposal, words that raise it, and by how much. Reported from `THRESHOLD` on.
+#: Score of a confirmed proposal, words nearby that raise it, and by how much. Reported from `THRESHOLD` on.
 SCORES = {
     "email": (0.9, "mail|contact|write", 0.1),
     "ip": (0.6, "ip|host|server|address|login", 0.3),
@@ -59,8 +61,12 @@ SCORES = {
     "iban": (0.8, "iban|bank|account|transfer", 0.2),
     "ssn": (0.3, "ssn|social security|tax id|taxpayer", 0.5),
 }
+#: Words nearby that lower the score of the kinds that are not base, and by how much.
+DOUBTS = {"iban": ("example|sample|dummy|placeholder", 0.4), "ssn": ("part|model|serial|order|invoice|version|example|sample|dummy", 0.4)}
 THRESHOLD = 0.5
 NEARBY = 60
+#: Positions are summed up, and appended, in blocks of so many matches; texts are looked into in pieces of so many code points.
+BLOCK, PIECE = 64, 256
 
 
 def _no_spans() -> Column:
@@ -112,8 +118,8 @@ def find_pii(docs: DataFrame, text_col: str = "text", threshold: float = THRESHO
     """Add `pii`, an array of (kind, start, end, text, score) in code points, end exclusive, by kind, then start.
 
     Spans of the base kinds (email, ip, card, phone) are all proposals that pass their check, whatever the score; the other
-    kinds also need `threshold`. A proposal that fails is dropped and its characters are not tried again. Kinds may overlap.
-    Null or empty text: an empty array. A column of `docs` named `pii` is replaced; no other column is touched.
+    kinds also need `threshold`, which words nearby raise or lower them over. A proposal that fails is dropped and its characters are not tried again. Kinds may overlap.
+    Null or empty text: an empty array. Rows that repeat are treated each. Time is linear in text and matches. A column of `docs` named `pii` is replaced; no other column is touched.
     """
     docs = docs.drop("pii")
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -127,31 +133,56 @@ def find_pii(docs: DataFrame, text_col: str = "text", threshold: float = THRESHO
         )
         found[name] = (kind, F.when(here, value))
     docs_found = docs.withColumns({name: value for name, (_, value) in found.items()})
-    spans = [F.when(F.col(name).isNotNull(), _spans(kind, F.col(name), text, threshold)) for name, (kind, _) in found.items()]
+    pieces, any_found = free_name(docs, "found_pieces"), reduce(Column.__or__, [F.col(name).isNotNull() for name in found])
+    cut = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+    docs_found = docs_found.withColumn(pieces, F.when(any_found, cut))
+    spans = [F.when(F.col(name).isNotNull(), _spans(kind, F.col(name), F.col(pieces), threshold)) for name, (kind, _) in found.items()]
     every = F.concat(*(F.coalesce(s, _no_spans()) for s in spans))
-    return docs_found.withColumn("pii", every).drop(*found)
+    return docs_found.withColumn("pii", every).drop(*found, pieces)
+
+
+def _starts(matches: Column, gaps: Column) -> Column:
+    """Places of matches: the text is gap 0, match 0, gap 1, ..., so lengths add up to positions. An append copies what is there,
+    so positions are appended to short blocks, and these to the result."""
+    none, nothing = F.expr("CAST(array() AS array<bigint>)"), F.expr("CAST(array() AS array<array<bigint>>)")
+
+    def state(at: Column, here: Column, done: Column) -> Column:
+        return F.struct(at.alias("at"), here.alias("here"), done.alias("done"))
+
+    def one(s: Column, i: Column) -> Column:
+        start = s["at"] + F.length(F.get(gaps, i))
+        return state(start + F.length(F.get(matches, i)), F.concat(s["here"], F.array(start)), s["done"])
 
+    def block(s: Column, b: Column) -> Column:
+        own = F.sequence(b * BLOCK, F.least(b * BLOCK + BLOCK, F.size(matches)) - 1)
+        return F.aggregate(own, state(s["at"], none, s["done"]), one, lambda s: state(s["at"], none, F.concat(s["done"], F.array(s["here"]))))
 
-def _spans(kind: str, found: Column, text: Column, threshold: float) -> Column:
-    """Places of matches: the text is gap 0, match 0, gap 1, ..., so lengths add up to positions."""
-    matches, gaps = found["matches"], found["gaps"]
+    blocks = F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / BLOCK).cast("int"))
+    summed = F.aggregate(blocks, state(F.lit(0).cast("bigint"), none, nothing), block, lambda s: F.flatten(s["done"]))
+    return F.when(F.size(matches) > 0, summed).otherwise(none)
+
+
+def _cut(pieces: Column, start: Column, end: Column) -> Column:
+    """The text from `start` to `end`, at most one piece apart, from the two pieces that it lies in."""
+    first = F.floor(start / PIECE).cast("int")
+    two = F.concat(F.coalesce(F.get(pieces, first), F.lit("")), F.coalesce(F.get(pieces, first + 1), F.lit("")))
+    return F.substr(two, (start % PIECE + 1).cast("int"), (end - start).cast("int"))
+
+
+def _spans(kind: str, found: Column, pieces: Column, threshold: float) -> Column:
     base_score, words, more = SCORES[kind]
 
-    def add(state: Column, i: Column) -> Column:
-        match = F.get(matches, i)
-        start = state["at"] + F.length(F.get(gaps, i))
+    def span(match: Column, start: Column) -> Column:
         end = start + F.length(match)
         low = F.greatest(start - NEARBY, F.lit(0))
-        near = F.lower(F.substring(text, (low + 1).cast("int"), (end + NEARBY - low).cast("int")))
+        near = F.lower(F.concat(_cut(pieces, low, start), match, _cut(pieces, end, end + NEARBY)))
         score = F.lit(base_score) + F.when(near.rlike(rf"\b(?:{words})"), more).otherwise(0.0)
-        span = F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), match.alias("text"), score.alias("score")
+        if kind in DOUBTS:
+            doubts, less = DOUBTS[kind]
+            score = score - F.when(near.rlike(rf"\b(?:{doubts})"), less).otherwise(0.0)
+        return F.struct(
+            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), match.alias("text"), F.round(score, 3).alias("score")
         )
-        taken = _confirmed(kind, match)
-        if kind not in BASE:
-            taken = taken & (score >= threshold)
-        return F.struct(end.alias("at"), F.when(taken, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"))
-
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), _no_spans().alias("spans"))
-    order = F.when(F.size(matches) > 0, F.sequence(F.lit(0), F.size(matches) - 1)).otherwise(F.expr("CAST(array() AS array<int>)"))
-    return F.aggregate(order, zero, add)["spans"]
+
+    spans = F.filter(F.zip_with(found["matches"], _starts(found["matches"], found["gaps"]), span), lambda s: _confirmed(kind, s["text"]))
+    return spans if kind in BASE else F.filter(spans, lambda s: s["score"] >= threshold)
