@@ -47,8 +47,9 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(_table(spark, sf_dir, "documents"))
     base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE))
     return found.select(
-        "doc_id", *(_count("pii", kind).alias(f"n_{kind}") for kind in pii.BASE), F.sha2(_joined(base), 256).alias("base_sha256"), _joined("pii").alias("spans")
-    )
+        "doc_id", *(_count("pii", kind).alias(f"n_{kind}") for kind in pii.BASE), F.sha2(_joined(base), 256).alias("base_sha256"), _joined("pii").alias("spans"),
+        F.size("pii").cast("long").alias("n_spans"),
+    )
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

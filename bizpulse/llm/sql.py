@@ -29,7 +29,7 @@ _LUHN = f"""list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda k:
        ELSE CAST({_DIGITS}[k] AS INTEGER) END)) % 10 = 0"""
 
 
-def _found(parts: dict[str, tuple[str, str]], order: str) -> str:
+def _found(parts: dict[str, tuple[str, str]], order: str, more: str = "") -> str:
     kinds = list(parts)
     rank = "CASE kind " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(kinds)) + " END"
     union = "\nUNION ALL\n".join(_spans(k, pattern, keep) for k, (pattern, keep) in parts.items())
@@ -37,9 +37,9 @@ def _found(parts: dict[str, tuple[str, str]], order: str) -> str:
     return f"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), spans AS ({union})
 SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in kinds)}, sha256(coalesce(all_spans, '')) AS base_sha256,
-       coalesce(all_spans, '') AS spans
+       coalesce(all_spans, '') AS spans{more}
 FROM documents d LEFT JOIN (
-  SELECT doc_id, {counts}, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY {order.format(rank=rank)}) AS all_spans
+  SELECT doc_id, {counts}, count(*) AS n_all, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY {order.format(rank=rank)}) AS all_spans
   FROM spans GROUP BY doc_id) USING (doc_id)"""
 
 
@@ -110,17 +110,21 @@ windows AS (SELECT doc_id, i, array_to_string(w[i:i + 4], chr(1)) AS gram
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM split)),
 again AS (SELECT doc_id, i FROM windows WINDOW same AS (PARTITION BY doc_id, gram) QUALIFY count(*) OVER same > 1),
 repeats AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2, 3, 4]) AS k) GROUP BY doc_id),
-lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n
+lines AS (SELECT doc_id, count(*) AS all_n, count(*) - count(DISTINCT line) AS n
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM split) WHERE regexp_matches(line, '{_WORD}') GROUP BY doc_id),
 counted AS (SELECT doc_id, host, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
     CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-    coalesce(l.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+    coalesce(l.n, 0) AS n_dup_lines, coalesce(l.all_n, 0) AS n_lines, coalesce(r.n, 0) AS n_repeat_words
   FROM split LEFT JOIN lines l USING (doc_id) LEFT JOIN repeats r USING (doc_id)),
 judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted),
-hosts AS (SELECT host, count(*) AS docs, count(*) FILTER (base_failed) AS failures FROM judged GROUP BY host),
-moments AS (SELECT avg(failures / docs) AS mean, coalesce(var_samp(failures / docs), 0) AS variance, avg(1 / docs) AS noise FROM hosts),
-prior AS (SELECT mean, greatest(mean * (1 - mean) / greatest(variance - mean * (1 - mean) * noise, mean * (1 - mean) * 1e-4, 1e-12) - 1, 1) AS weight FROM moments),
-rates AS (SELECT host, (failures + mean * weight) / (docs + weight) AS rate FROM hosts, prior)
+sizes AS (SELECT host, count(*) AS docs FROM judged GROUP BY host),
+failed AS (SELECT host, unnest([n_words < 10, 100 * n_repeat_words > 20 * n_words, 10 * n_symbols > n_words, 10 * n_dup_lines > 3 * n_lines]) AS bad,
+    unnest([1, 2, 3, 4]) AS rule FROM judged),
+hosts AS (SELECT host, rule, docs, count(*) FILTER (bad) AS failures FROM failed JOIN sizes USING (host) GROUP BY ALL),
+moments AS (SELECT rule, avg(failures / docs) AS mean, coalesce(var_samp(failures / docs), 0) AS variance, avg(1 / docs) AS noise, count(*) AS n FROM hosts GROUP BY rule),
+surplus AS (SELECT rule, mean, greatest((variance - (mean * (1 - mean) + variance / n) * noise) / greatest(1 - noise, 1e-6), mean * (1 - mean) * 1e-4, 1e-12) AS s FROM moments),
+prior AS (SELECT rule, mean, greatest(mean * (1 - mean) / s - 1, 1) AS weight FROM surplus),
+rates AS (SELECT host, max((failures + mean * weight) / (docs + weight)) AS rate FROM hosts JOIN prior USING (rule) GROUP BY host)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate <= 0.5 AS kept, host,
        round(rate, 9) AS host_rate
 FROM judged JOIN rates USING (host)"""
@@ -187,7 +191,7 @@ FROM turns JOIN (SELECT conv_id, coalesce(min(i) FILTER (before || ' ' || role N
     CASE WHEN arg_max(role, i) <> 'assistant' THEN count(*) END) AS bad_turn FROM turns GROUP BY conv_id) ends USING (conv_id) GROUP BY conv_id, bad_turn"""
 
 ORACLE: dict[str, str] = {
-    "op1_pii": _found(_PII, "{rank}, start"),
+    "op1_pii": _found(_PII, "{rank}, start", ", coalesce(n_all, 0) AS n_spans"),
     "op2_ngram_join": _GRAMS,
     "op3_line_dedup": _LINES,
     "op4_warc": _WARC,
