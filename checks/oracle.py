@@ -340,7 +340,7 @@ FROM popularity""",
 SELECT business_id, day, popularity_score, CASE WHEN day = DATE '2024-02-29' THEN state ELSE 'Unknown' END AS region
 FROM popularity""",
     "rows_per_file": """
-SELECT 50 AS row_limit, count(*) AS rows, TRUE AS kept FROM fact UNION ALL SELECT NULL, count(*), FALSE FROM fact""",
+SELECT 5000 AS row_limit, count(*) AS rows, TRUE AS kept FROM fact UNION ALL SELECT NULL, count(*), FALSE FROM fact""",
     "checked_write": """
 SELECT business_id, day, granularity, popularity_score, city_rank,
        concat_ws(',', CASE WHEN city_rank <= 0 THEN 'city_rank' END, CASE WHEN granularity NOT IN (0, 2) THEN 'granularity' END,
