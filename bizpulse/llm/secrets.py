@@ -109,7 +109,7 @@ def _parts(text: str, base: list[Span], logins: list[re.Match]) -> list[Part]:
 
 def _scopes(text: str, parts: list[Part]) -> list[tuple[int, int]]:
     """For each part its section and its block: see the module. Endpoints belong to their section only and have block -1."""
-    starts = [m.start() for m in SECTION.finditer(text)] if len(parts) > 2 else []
+    starts = [m.start() for m in SECTION.finditer(text)] if len(parts) > 1 else []
     out, block, at = [], 0, 0
     leads, seen = "", False  # the role that opened the block, and whether the other one has come
     for role, _, start, _ in parts:
