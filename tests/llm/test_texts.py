@@ -360,7 +360,7 @@ def test_verdicts_on_hosts_that_break_one_rule(spark):
     docs = [(i, good() if rng.random() < 0.9 else styles["short"](), "hot") for i in range(300)]
     for host, make in styles.items():
         docs += [(len(docs) + i, make() if rng.random() < 0.85 else good(), host) for i in range(40)]
-    docs += [(len(docs) + i, rng.choice([good(), good(2)]), rng.choice([None, "", f"rare{i}"])) for i in range(200)]
+    docs += [(len(docs) + i, rng.choice([good(), good(2)]), rng.choice([None, "", f"rare{i % 4}"])) for i in range(200)]
     docs += docs[-3:]
     wanted = brute_kept(docs)
     got = host_rules.apply_rules(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()
