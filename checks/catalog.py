@@ -26,7 +26,7 @@ from bizpulse.schemas import (
     RAW_TABLES,
     raw_schema,
 )
-from bizpulse.session import scratch_path
+from bizpulse.session import materialize, scratch_path
 from bizpulse.plans.state import month_from_state, read_city_sums, update_city_sums, update_state
 from bizpulse.sources import checked, dumps, footers, history, lake, readers, versions
 from checks.projections import raw
@@ -109,7 +109,9 @@ def popularity_sources(spark: SparkSession, sf: str) -> list[DataFrame]:
 
 
 def popularity_of(spark: SparkSession, sf: str, months: list[str]) -> DataFrame:
-    return popularity.business_popularity(*popularity_sources(spark, sf), months, digits=DIGITS, by_event_day=True)
+    """As the job does it: the inputs are stored, as bounds, scores and ranks read them."""
+    inputs = popularity.popularity_inputs(*popularity_sources(spark, sf), months, by_event_day=True)
+    return popularity.ranked_popularity(materialize(inputs, "popularity-inputs"), digits=DIGITS)
 
 
 def fact_of(spark: SparkSession, sf: str) -> DataFrame:
