@@ -1,8 +1,9 @@
 """Daily state from which monthly fact rows are merged, so a month's end reads one day of events and small tables.
 
 Sums are kept per business and day. Distinct counts are kept as bitmaps: ids of reviews and users get numbers, dense from 1,
-once and for all, and a day's ids of a business are the bits of their numbers, cut into buckets of 32768 bits. The bitmaps of a
-month's days are joined by OR, and counting bits counts ids. A day that is loaded again replaces its own state and no other.
+once and for all, and a day's ids of a business are the bits of their numbers, cut into buckets of 32768 bits. Of a bucket only words of 64 bits
+that have some are kept, so a bitmap is never larger than a few bytes an id. The bitmaps of a month's days are joined by OR, word by
+word, and counting bits counts ids. A day that is loaded again replaces its own state and no other.
 """
 
 from __future__ import annotations
@@ -59,11 +60,31 @@ def new_numbers(ids: DataFrame, known: DataFrame | None) -> DataFrame:
 
 
 def day_bitmaps(ids: DataFrame, numbers: DataFrame) -> DataFrame:
-    """Rows (day, business_id, measure, bucket, bits) of the ids of `event_ids`, by their numbers."""
-    numbered = ids.distinct().join(numbers, ["kind", "id"])
-    return numbered.groupBy("day", "business_id", "measure", F.bitmap_bucket_number("number").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits")
-    )
+    """Rows (day, business_id, measure, bucket, words, bits) of the ids of `event_ids`, by their numbers: the places of a bucket's
+    words that have bits, and these words one after another, eight bytes each.
+
+    A bucket holds 32768 ids at most, so with distinct ids no task has a hot one. Ids that repeat are counted once.
+    """
+    key = ["day", "business_id", "measure", "bucket"]
+    numbered = ids.join(numbers, ["kind", "id"])
+    position = F.bitmap_bit_position("number")
+    placed = numbered.select(
+        "day", "business_id", "measure", F.bitmap_bucket_number("number").alias("bucket"),
+        F.shiftright(position, 6).cast("short").alias("word"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), position.bitwiseAND(F.lit(63)).cast("int")).alias("own"),
+    )
+    words = placed.repartition(*key).groupBy(*key, "word").agg(F.bit_or("own").alias("own"))
+    listed = words.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("word", "own"))).alias("_words"))
+    digits = F.transform("_words", lambda w: F.lpad(F.hex(w["own"]), 16, "0"))
+    return listed.select(*key, F.col("_words.word").alias("words"), F.unhex(F.array_join(digits, "")).alias("bits"))
+
+
+def bitmap_words(bitmaps: DataFrame) -> DataFrame:
+    """The words of `day_bitmaps` in a row each: its columns with `word`, the place, and `own`, the bits as a number."""
+    rest = [c for c in bitmaps.columns if c not in ("words", "bits")]
+    each = bitmaps.select(*rest, "bits", F.posexplode("words").alias("_at", "word"))
+    digits = F.hex(F.substr("bits", F.col("_at") * 8 + 1, F.lit(8)))
+    return each.select(*rest, "word", F.conv(digits, 16, -10).cast("long").alias("own"))
 
 
 def day_sums(reviews: DataFrame, tips: DataFrame) -> DataFrame:
@@ -82,8 +103,8 @@ def day_sums(reviews: DataFrame, tips: DataFrame) -> DataFrame:
 def monthly_from_state(sums: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """Monthly fact rows of the months whose days the state holds, as `fact_for_period` has them."""
     month = F.last_day("day").alias("day")
-    merged = bitmaps.groupBy("business_id", month, "measure", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-    counts = merged.groupBy("business_id", "day", "measure").agg(F.sum(F.bitmap_count("bits")).cast("double").alias("units"))
+    merged = bitmap_words(bitmaps).groupBy("business_id", month, "measure", "bucket", "word").agg(F.bit_or("own").alias("own"))
+    counts = merged.groupBy("business_id", "day", "measure").agg(F.sum(F.bit_count("own")).cast("double").alias("units"))
 
     totals = sums.groupBy("business_id", month).agg(*[F.sum(c).alias(c) for c in SUMS], F.bool_or("reviewed").alias("reviewed"))
     wide = totals.select(

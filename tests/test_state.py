@@ -80,6 +80,19 @@ def test_bitmaps_over_many_buckets(spark):
     assert maps.count() == 4 and maps.agg(F.sum(F.bitmap_count("bits"))).first()[0] == 100_000
 
 
+def test_bitmaps_of_few_ids_are_small(spark):
+    """Ids far apart, the first and last bit of a word and of a bucket, and repeated ids."""
+    at = [1, 2, 64, 65, 128, 32767, 32768, 32769, 5 * 32768, 900_000]
+    ids = spark.createDataFrame([("b", JAN[i % 2], 1, "review", f"r{n}") for i in (0, 1, 1) for n in at[i * 3 :]], "business_id string, day date, measure int, kind string, id string")
+    numbers = spark.createDataFrame([("review", f"r{n}", n) for n in at], "kind string, id string, number long")
+    maps = state.day_bitmaps(ids, numbers)
+    sizes = maps.groupBy("day").agg(F.sum(F.length("bits")), F.sum(F.bitmap_count("bits"))).collect()
+    assert {r.day: r[2] for r in sizes} == {JAN[0]: 10, JAN[1]: 7} and all(r[1] <= 8 * 10 for r in sizes)
+    back = state.bitmap_words(maps).filter(F.col("day") == JAN[0]).collect()
+    found = [(r.bucket - 1) * 32768 + r.word * 64 + b + 1 for r in back for b in range(64) if (r.own >> b) & 1]
+    assert sorted(found) == at
+
+
 def test_city_sums_follow_the_tables(spark, tmp_path):
     fact, scores = catalog.gold(spark, SF)
     months = [dt.date.fromisoformat(m) for m in catalog.MONTHS]
