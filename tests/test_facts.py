@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import SF, rows
+from conftest import SF, plan_of, rows
 
 from bizpulse.operators import facts
 from checks.catalog import silver_table
@@ -94,6 +94,25 @@ def test_hot_business(spark):
     assert got[("hot", 1)] == len({r[0] for r in hot}) and got[("hot", 8)] == len({r[1] for r in hot})
 
 
+@pytest.mark.parametrize("from_events", [1, 20, 10**9])
+def test_hot_and_other_businesses_take_the_same_steps(spark, small, monkeypatch, from_events):
+    """All, some or no months of businesses are spread; a business without a key is a group too."""
+    monkeypatch.setattr(facts, "HOT_EVENTS", from_events)
+    data = [review(i % 50, "hot" if i % 3 == 0 else f"b{i % 7}", D(2024, 1, 1 + i % 31), f"u{i % 7}", None if i % 5 == 0 else i % 4) for i in range(90)]
+    reviews = small[0].unionByName(spark.createDataFrame(data + [review(1, None, D(2024, 1, 31))], REVIEW))
+    whole = facts.fact_for_range(reviews, small[1], "2024-01-30", "2024-01-31")
+    runs = [facts.fact_for_period(reviews, small[1], day, g) for day, g in (("2024-01-31", 2), ("2024-01-30", 0), ("2024-01-31", 0))]
+    assert rows(whole) == rows(runs[0].unionByName(runs[1]).unionByName(runs[2]))
+
+
+def test_other_businesses_are_moved_once(spark, small):
+    """Counts of ids follow where the events were dealt to, so the only other moves are those of the list of hot businesses and of
+    what is hot."""
+    plan = plan_of(facts.fact_for_range(*small, "2024-01-01", "2024-01-31")).split("== Physical Plan ==")[1]
+    dealt = plan.split("REPARTITION_BY_NUM")[0]
+    assert "Generate" in dealt and "Exchange hashpartitioning" not in dealt.rsplit("Exchange hashpartitioning", 1)[0]
+
+
 def test_extra_measures(small):
     got = {r.business_id: r for r in facts.extra_measures(*small).collect()}
     assert got["b1"].stars_sum == 22.0
