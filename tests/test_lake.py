@@ -265,3 +265,20 @@ def test_too_many_partitions_are_refused_before_anything_is_written(spark, tmp_p
     with pytest.raises(ValueError, match="more than 1 partitions"):
         lake.upsert(spark, spark.createDataFrame([("a", A, 2), ("b", B, 2)], DDL), path, ["id", "day"], ["day"])
     assert rows(spark.read.parquet(path).select("id", "v")) == [("a", 1)]
+
+
+@pytest.mark.parametrize("listed", [0, 1000])
+def test_few_slices_are_filtered_and_not_joined(spark, tmp_path, monkeypatch, listed):
+    """A slice of the target is not moved to one task; more slices than the limit are joined. Null is a slice of its own."""
+    monkeypatch.setattr(lake, "MOST_LISTED_SLICES", listed)
+    joins, merged = [], merging.replace_slice_rows
+    monkeypatch.setattr(lake, "replace_slice_rows", lambda *a: joins.append(1) or merged(*a))
+    path, ddl = str(tmp_path / "t"), "k int, part string, month string"
+    lake.write_table(spark.createDataFrame([(1, "a", "m1"), (2, "a", "m2"), (3, "b", None), (4, "b", "m3"), (5, "c", "m3")], ddl), path, partition_by=["part"])
+    source = spark.createDataFrame([(10, "a", "m1"), (11, "d", None)], ddl)
+    lake.replace_slice(spark, source, path, ["month"], partition_by=["part"])
+    after = [(2, "m2", "a"), (4, "m3", "b"), (5, "m3", "c"), (10, "m1", "a"), (11, None, "d")]
+    assert rows(spark.read.parquet(path)) == sorted(after, key=lambda t: tuple((v is not None, str(v)) for v in t))
+    lake.replace_slice(spark, source.limit(0), path, ["month"], [{"month": "m3"}, {"month": "m1"}], ["part"])
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [2, 11]
+    assert len(joins) == (0 if listed else 2)
