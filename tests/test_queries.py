@@ -69,3 +69,17 @@ def test_whole_reports_are_not_sorted(spark, name):
 def test_sums_are_equal_on_every_run(spark):
     runs = [catalog.queries()["city_dashboard"](spark, SF).collect() for _ in range(2)]
     assert runs[0] == runs[1]
+
+
+@pytest.mark.parametrize(("name", "own"), [("latest_review_metrics", "fact"), ("rows_per_file", "fact"), ("add_column_catalog_default", "popularity")])
+def test_queries_build_only_the_gold_table_they_read(spark, monkeypatch, name, own):
+    asked, stored = [], catalog.stored
+    monkeypatch.setattr(catalog, "stored", lambda s, sf, table: asked.append(table) or stored(s, sf, table))
+    catalog.queries()[name](spark, SF)
+    assert own in asked and not {"fact", "popularity"} - {own} & set(asked)
+
+
+def test_raw_files_of_the_jobs_are_compressed(spark):
+    root = catalog.job_lake(spark, SF)[0]
+    files = spark.read.text(f"{root}/raw/review.json").inputFiles()
+    assert files and all(f.endswith(".json.gz") for f in files)
