@@ -113,6 +113,15 @@ def test_other_businesses_are_moved_once(spark, small):
     assert "Generate" in dealt and "Exchange hashpartitioning" not in dealt.rsplit("Exchange hashpartitioning", 1)[0]
 
 
+def test_events_are_dealt_out_once_and_rows_are_gathered_wide(small):
+    """Reviews and tips move together, with all their columns; the rows move on before measures unfold."""
+    plain, gathered = (facts.fact_for_range(*small, "2024-01-01", "2024-01-31", balance=b) for b in (False, True))
+    plan = plan_of(gathered).split("== Physical Plan ==")[1]
+    assert plan.count("REPARTITION_BY_NUM") == 1 and plan.count("REBALANCE_PARTITIONS_BY_COL") == 1
+    assert "Generate" in plan.split("REBALANCE_PARTITIONS_BY_COL")[0]
+    assert rows(plain) == rows(gathered) and len(rows(plain)) > 0
+
+
 def test_extra_measures(small):
     got = {r.business_id: r for r in facts.extra_measures(*small).collect()}
     assert got["b1"].stars_sum == 22.0

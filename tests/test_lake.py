@@ -282,3 +282,25 @@ def test_few_slices_are_filtered_and_not_joined(spark, tmp_path, monkeypatch, li
     lake.replace_slice(spark, source.limit(0), path, ["month"], [{"month": "m3"}, {"month": "m1"}], ["part"])
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == [2, 11]
     assert len(joins) == (0 if listed else 2)
+
+
+def test_sorted_writes_have_small_tasks(spark, tmp_path):
+    """Sorted rows must fit a task's memory, so a run-time balanced write makes more tasks; the session's own size wins."""
+    key, own = "spark.sql.adaptive.advisoryPartitionSizeInBytes", spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+    seen = []
+
+    class Seen(type(spark.range(1).write)):
+        def save(self, *args, **kwargs):
+            seen.append(spark.conf.get(key, None))
+            return super().save(*args, **kwargs)
+
+    df = spark.range(10).withColumn("day", F.col("id") % 2)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(df), "write", property(lambda d: Seen(d)))
+        lake.write_table(df, f"{tmp_path}/a", partition_by=["day"], cluster_by=["id"], balance=True)
+        lake.write_table(df, f"{tmp_path}/b", partition_by=["day"], balance=True)
+        spark.conf.set(key, "3m")
+        lake.write_table(df, f"{tmp_path}/c", partition_by=["day"], cluster_by=["id"], balance=True)
+    spark.conf.set(key, own) if own else spark.conf.unset(key)
+    assert seen == [own or "16m", own, "3m"] and spark.conf.get(key, None) == own
+    assert spark.read.parquet(f"{tmp_path}/a").count() == 10
