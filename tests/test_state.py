@@ -1,6 +1,7 @@
 """Monthly state, maintained summaries, checked writes, defaults in the catalog and dumps of a document store."""
 
 import datetime as dt
+import gzip
 import io
 import json
 
@@ -226,6 +227,28 @@ def test_dump_round_trip(spark, tmp_path):
     assert dumps.read_dump(spark, f"{tmp_path}/e", "s string").count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 700, 1 << 20])
+def test_compressed_dumps_are_cut_too(spark, tmp_path, size):
+    """A file of one part and one of several, of which only the last part's size is known beforehand; and an empty one."""
+    lines = [b'{"n": {"$numberInt": "%d"}, "s": "%s"}\n' % (i, b"x" * (i % 50)) for i in range(500)]
+    (tmp_path / "a.json.gz").write_bytes(gzip.compress(b"".join(lines[:300])))
+    (tmp_path / "b.json.gz").write_bytes(b"".join(gzip.compress(b"".join(lines[i : i + 50])) for i in range(300, 500, 50)))
+    (tmp_path / "c.json.gz").write_bytes(gzip.compress(b""))
+    df = dumps.read_dump(spark, str(tmp_path), "n int, s string", size)
+    assert rows(df) == rows(spark.createDataFrame([(i, "x" * (i % 50)) for i in range(500)], "n int, s string"))
+    if size < 1 << 20:
+        assert 3 < df.rdd.getNumPartitions() <= 2 * dumps.PACKED_RANGES + 1
+
+
+def test_dumps_are_written_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(dumps, "FILE_ROWS", 100)
+    df = spark.range(0, 250, 1, 1).selectExpr("id", "'the same words again' AS s")
+    dumps.write_dump(df, f"{tmp_path}/d")
+    files = list((tmp_path / "d").glob("part-*"))
+    assert len(files) == 3 and sum(f.stat().st_size for f in files) < 250 * 20 / 2
+    assert rows(dumps.read_dump(spark, f"{tmp_path}/d", "id bigint, s string", 500)) == rows(df)
+
+
 def test_broken_dumps_are_refused(spark, tmp_path):
     (tmp_path / "bad.json").write_text('{"a": 1}\n{"a": \n')
     with pytest.raises(Exception, match="byte 9"):
