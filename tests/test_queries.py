@@ -1,5 +1,6 @@
 """Every registered query against its SQL in DuckDB, and the plans of the heavy ones."""
 
+import duckdb
 import pytest
 from conftest import SF, plan_of
 
@@ -83,3 +84,31 @@ def test_raw_files_of_the_jobs_are_compressed(spark):
     root = catalog.job_lake(spark, SF)[0]
     files = spark.read.text(f"{root}/raw/review.json").inputFiles()
     assert files and all(f.endswith(".json.gz") for f in files)
+
+
+def write_given(folder, parts, brands):
+    """Small given tables, rows made here: parts of so many brands, their reviews, tips and check-ins over three months."""
+    tables = {
+        "part": f"SELECT i AS p_partkey, 'n' || i AS p_name, 'Brand#' || (i % {brands}) AS p_brand, 'TYPE' AS p_type FROM range({parts}) r(i)",
+        "orders": "SELECT i AS o_orderkey, i % 9 AS o_custkey FROM range(400) r(i)",
+        "lineitem": f"""SELECT i // 3 AS l_orderkey, CAST(i % 3 + 1 AS INT) AS l_linenumber, i % {parts} AS l_partkey,
+            CAST(i % 7 AS DOUBLE) AS l_quantity, 'A' AS l_returnflag, 'F' AS l_linestatus FROM range(1200) r(i)""",
+        "events": """SELECT i AS event_id, i % 9 AS user_id, ['view', 'signup', 'tip', 'tap'][i % 4 + 1] AS event_type,
+            TIMESTAMP '2023-12-01 08:00:00' + INTERVAL (i * 3) HOUR AS ts, CAST(i % 11 AS DOUBLE) AS value FROM range(600) r(i)""",
+    }
+    connection = duckdb.connect()
+    for name, text in tables.items():
+        connection.execute(f"COPY ({text}) TO '{folder}/{name}.parquet' (FORMAT parquet)")
+    return duck(folder)
+
+
+def test_maintained_reports_follow_the_given_tables(spark, tmp_path):
+    """A call does the whole job, whatever ran before in the session: after the given tables change, it answers from the new ones, and
+    the tables that the session keeps for other queries stay."""
+    folder = str(tmp_path)
+    connection = write_given(folder, parts=60, brands=4)
+    kept = catalog.stored(spark, folder, "popularity")
+    assert compare(spark, connection, "city_dashboard_maintained", folder) == ""
+    connection = write_given(folder, parts=40, brands=7)
+    assert compare(spark, connection, "city_dashboard_maintained", folder) == ""
+    assert catalog.stored(spark, folder, "popularity") == kept
