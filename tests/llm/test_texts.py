@@ -284,6 +284,25 @@ def test_passwords_in_addresses_are_redacted_in_the_pipeline(spark):
         assert time.monotonic() - began < 20
 
 
+def test_secrets_are_found_and_redacted_in_one_pass(spark):
+    """As finding, then redacting, does, but with one Python worker a task: idle ones keep what they hold for later stages."""
+    import corpus_pipeline
+
+    texts = [*LOGINS, None, "", "clean", "é token=abcdefgh end token=abcdefgh", "token=abcdefgh", f"AKIA{'B' * 16} {'aB3/' * 10} https://h.org"]
+    data = [(i % 12, t, "en", "h", 0) for i, t in enumerate(texts)] + [(None, "password: abcdef", None, None, None)] * 2
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    found = secrets.find_secrets(docs)
+    apart = found.withColumn("redacted", secrets.redact(F.col("text"), F.col("secrets")))
+    key = lambda r: str((r.doc_id, r.text, r.redacted))
+    together = secrets.find_secrets(docs, redacted="redacted")
+    assert together.columns == apart.columns and sorted(together.collect(), key=key) == sorted(apart.collect(), key=key)
+    clean = corpus_pipeline.no_secrets(spark, docs, SF)
+    want = apart.withColumn("text", F.col("redacted")).withColumn("n_chars", F.length("text").cast("long")).select(*corpus_pipeline.COLUMNS)
+    assert sorted(clean.collect(), key=str) == sorted(want.collect(), key=str) and clean.schema == want.schema
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1, plan
+
+
 def test_rules(spark, odd):
     data, df = odd
     got = {r.doc_id: r for r in host_rules.measure(df, ["doc_id"]).collect()}
