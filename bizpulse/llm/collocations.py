@@ -322,26 +322,30 @@ def score_phrases(phrases: DataFrame, words: DataFrame, least: int = LEAST) -> D
     being the words of the language. The lowest score counts, of equal ones that of the smallest k. `dropped` marks phrases
     that lie in a longer one as frequent: then they lie in one that is a word longer and as frequent too. Products are
     decimals of 38 digits, exact while a is below 10 ** 15 and n below 10 ** 17.
+
+    Stored phrases are many times smaller than their rows in memory, and Spark goes by the files when it picks a table to
+    broadcast; what grows with the texts is therefore joined by merging, and only the words of each language pass the driver.
     """
     known = words.filter(F.col("f") >= least)  # parts of a phrase occur at least as often
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     counted = phrases.select("phrase", "f").unionByName(known.select(F.array("id").alias("phrase"), "f"))
     cuts = phrases.select("phrase", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), F.size("phrase") - 1)).alias("k"))
     cuts = cuts.withColumns({"head": F.expr("slice(phrase, 1, k)"), "tail": F.expr("slice(phrase, k + 1, size(phrase) - k)")})
-    heads = counted.select(F.col("phrase").alias("head"), F.col("f").alias("l"))
-    tails = counted.select(F.col("phrase").alias("tail"), F.col("f").alias("r"))
+    heads = counted.select(F.col("phrase").alias("head"), F.col("f").alias("l")).hint("merge")
+    tails = counted.select(F.col("phrase").alias("tail"), F.col("f").alias("r")).hint("merge")
     cuts = materialize(cuts.join(heads, "head").join(tails, "tail"), "cuts")
     within = cuts.filter("k = 1 AND r = a").select(F.col("tail").alias("phrase")).union(
         cuts.filter("k = size(phrase) - 1 AND l = a").select(F.col("head").alias("phrase"))
     )
     within = within.filter("size(phrase) > 1").distinct().withColumn("dropped", F.lit(True))
-    owners = cuts.filter("k = 1").select("phrase", F.element_at("phrase", 1).alias("id")).join(known.select("id", "lang"), "id").join(totals, "lang")
-    scored = cuts.join(owners.select("phrase", "lang", "n"), "phrase")
+    firsts = cuts.filter("k = 1").select("phrase", F.element_at("phrase", 1).alias("id"))
+    owners = firsts.join(known.select("id", "lang").hint("merge"), "id").join(totals, "lang")
+    scored = cuts.join(owners.select("phrase", "lang", "n").hint("merge"), "phrase")
     over = F.lit(1000).cast("decimal(4, 0)") * _decimal("a", 15) * _decimal("n", 17)
     scored = scored.withColumn("over", over).withColumn("under", _decimal("l", 15) * _decimal("r", 15)).withColumn("score", F.expr("over div under"))
     least = scored.groupBy("phrase").agg(F.min(F.struct("score", "k", "lang", "a", "l", "r", "n")).alias("cut"))
     least = least.select("phrase", "cut.*").drop("k")
-    return least.join(within, "phrase", "left").withColumn("dropped", F.coalesce("dropped", F.lit(False)))
+    return least.join(within.hint("merge"), "phrase", "left").withColumn("dropped", F.coalesce("dropped", F.lit(False)))
 
 
 def collocations(
@@ -359,12 +363,12 @@ def collocations(
     scored = materialize(score_phrases(phrases, words, least).filter("NOT dropped").drop("dropped"), "scored")
     spelled = (
         scored.select("phrase", F.posexplode("phrase").alias("at", "id"))
-        .join(words.filter(F.col("f") >= least).select("id", "word"), "id")
+        .join(words.filter(F.col("f") >= least).select("id", "word").hint("merge"), "id")
         .groupBy("phrase")
         .agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("spelled"))
         .select("phrase", F.array_join("spelled.word", " ").alias("spelled"))
     )
-    named = scored.join(spelled, "phrase").drop("phrase").withColumnRenamed("spelled", "phrase")
+    named = scored.join(spelled.hint("merge"), "phrase").drop("phrase").withColumnRenamed("spelled", "phrase")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
     ranked = named.withColumn("rank", F.row_number().over(order).cast("long"))
     ranked = ranked.filter(F.col("rank") <= most) if most is not None else ranked

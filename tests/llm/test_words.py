@@ -10,7 +10,7 @@ import zlib
 import brute
 import numpy as np
 import pytest
-from conftest import SF, rows
+from conftest import SF, plan_of, rows
 from pyspark.sql import functions as F
 
 from bizpulse.llm import chat_format, collocations, queries, spelling
@@ -209,6 +209,20 @@ def test_scores_are_exact_beyond_64_bits(spark):
     assert row.score == 1000 * (2 * big + 3) * (10 * big + 1) // (3 * big * (7 * big + 1))
 
 
+def test_phrases_do_not_pass_the_driver(spark, folder):
+    """Stored phrases look small enough to broadcast; only the words of each language, a row for each, may be."""
+    phrases = spark.createDataFrame([([1, 2], 4)], "phrase array<long>, f long")
+    words = spark.createDataFrame([("en", "x", 1, 6), ("en", "y", 2, 7)], "lang string, word string, id long, f long")
+    for name, df in (("phrases", phrases), ("words", words)):
+        df.write.parquet(f"{folder}/{name}")
+    scored = collocations.score_phrases(spark.read.parquet(f"{folder}/phrases"), spark.read.parquet(f"{folder}/words"), least=1)
+    joins = re.findall(r"\w+Join.*", plan_of(scored).split("== Physical Plan ==")[1])
+    assert sum("BroadcastHashJoin [lang" in j for j in joins) == sum("Broadcast" in j for j in joins) <= 1 and len(joins) >= 4
+    assert scored.count() == 1
+    plan = plan_of(collocations.collocations(as_docs(spark, story(8, docs=20)), least=2)).split("== Physical Plan ==")[1]
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 2
+
+
 def test_words_that_share_a_number_take_another_seed(spark, monkeypatch):
     true = collocations._number
     monkeypatch.setattr(collocations, "_number", lambda lang, word, seed: 7 if seed == 0 else true(lang, word, seed))
