@@ -127,3 +127,23 @@ def test_extra_measures(small):
     assert got["b1"].stars_sum == 22.0
     assert got["b1"].positive_pct == pytest.approx(100 * 4 / 6) and got["b1"].negative_pct == pytest.approx(100 / 6)
     assert got["b4"].positive_pct is None and got["b3"].avg_tip_compliments == pytest.approx(13 / 3)
+
+
+def test_events_do_not_unfold_by_their_ids(small):
+    """Each part unfolds rows of a day by their slots, and measures unfold at the end: rows are sorted before that."""
+    plan = plan_of(facts.fact_for_range(*small, "2024-01-01", "2024-01-31", balance=True)).split("== Physical Plan ==")[1]
+    assert plan.count("Generate explode") == 3
+    assert "Generate explode" in plan.split("Sort [day")[0] and plan.index("Sort [day") < plan.index("REBALANCE_PARTITIONS_BY_COL")
+
+
+@pytest.mark.parametrize("from_events", [1, 10**9])
+def test_ids_that_come_again(spark, monkeypatch, from_events):
+    """The same review and user on one day, on other days and in other months, with and without stars."""
+    monkeypatch.setattr(facts, "HOT_EVENTS", from_events)
+    days = [D(2024, 1, 30), D(2024, 1, 30), D(2024, 1, 31), D(2024, 2, 1), D(2024, 2, 1)]
+    reviews = spark.createDataFrame([review(i % 2, "b", d, f"u{j % 2}", None if i else 3) for i in range(4) for j, d in enumerate(days)], REVIEW)
+    tips = spark.createDataFrame([(f"u{i % 2}", "b", dt.datetime(d.year, d.month, d.day, i), None if i else 2) for i in range(3) for d in days], TIP)
+    whole = facts.fact_for_range(reviews, tips, "2024-01-30", "2024-02-29")
+    runs = [(D(2024, 1, 31), 2), (D(2024, 2, 29), 2), *[(D(2024, 1, 30) + dt.timedelta(i), 0) for i in range(31)]]
+    single = [r for day, g in runs for r in rows(facts.fact_for_period(reviews, tips, day, g))]
+    assert rows(whole) == sorted(single, key=lambda t: tuple((v is not None, str(v)) for v in t))

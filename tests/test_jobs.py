@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import SF, rows
+from conftest import SF, plan_of, rows
 from pyspark.sql import functions as F
 
 from bizpulse.plans import gold, ingest
@@ -136,3 +136,26 @@ def test_gold_jobs_prune_silver_partitions(spark, lake):
     plan = read._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and "ReadSchema: struct<business_id:string>" in plan
     assert read.count() < read_table(spark, f"{lake[0]}/silver/review_snapshot").count()
+
+
+def test_events_lie_by_day_and_are_not_moved_into_silver(spark, lake, tmp_path, monkeypatch):
+    """Bronze has them in order of their days already; snapshots are still gathered."""
+    plans = {}
+    write = ingest.overwrite_partitions
+
+    def seen(df, path, partition_by, **kwargs):
+        plans[path.rsplit("/", 1)[1]] = (kwargs["balance"], "Exchange" in plan_of(df).split("== Physical Plan ==")[1])
+        write(df, path, partition_by, **kwargs)
+
+    monkeypatch.setattr(ingest, "overwrite_partitions", seen)
+    ingest.ingest_silver(spark, f"{lake[0]}/bronze", str(tmp_path / "silver"), ["2024-01-31"], ["review", "tip", "user"], full_load=True)
+    assert plans == {"review_snapshot": (False, False), "tip_snapshot": (False, False), "user_snapshot": (True, False)}
+
+
+def test_fact_job_moves_rows_while_they_are_wide(spark, lake, tmp_path, monkeypatch):
+    seen = []
+    write = gold.replace_slice
+    monkeypatch.setattr(gold, "replace_slice", lambda s, df, *a, **k: seen.append((plan_of(df), k["balance"])) or write(s, df, *a, **k))
+    gold.build_fact(spark, f"{lake[0]}/silver", str(tmp_path / "gold"), "2024-01-01", "2024-01-31")
+    plan, balance = seen[0]
+    assert not balance and plan.split("== Physical Plan ==")[1].count("REBALANCE_PARTITIONS_BY_COL") == 1
