@@ -8,9 +8,9 @@ word, and counting bits counts ids. A day that is loaded again replaces its own
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bizpulse.functions.dates import period_month
@@ -36,45 +36,67 @@ def event_ids(reviews: DataFrame, tips: DataFrame) -> DataFrame:
 
 
 def new_numbers(ids: DataFrame, known: DataFrame | None) -> DataFrame:
-    """Rows (kind, id, number) for the ids (kind, id) that `known` lacks, numbered on from the largest number of their kind.
+    """Rows (kind, id, number) for the ids (kind, id) that `known` lacks, numbered on from the largest number of their kind."""
+    return numbers_of(ids, known)[1]
+
+
+def numbers_of(ids: DataFrame, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Rows (kind, id, number) for all ids (kind, id), and for those of them that `known` lacks, numbered on from the largest
+    number of their kind.
 
     Numbers are dense without a global sort: rows are counted where they lie, one small row a task and kind, and each task
-    goes on from the rows of those before it.
+    goes on from the rows of those before it. `known` is read and moved once, and the ids are stored once.
     """
     own = ids.select("kind", "id").distinct()
-    if known is not None:
-        own = own.join(known, ["kind", "id"], "left_anti")
-    placed = materialize(own.select("kind", "id", F.monotonically_increasing_id().alias("place")), "new-ids")
+    if known is None:
+        own = own.withColumn("number", F.lit(None).cast("long"))
+    else:
+        own = own.join(known.select("kind", "id", "number").hint("merge"), ["kind", "id"], "left")
+    # New ids of a kind follow each other within a task, so their places tell their ranks.
+    lying = own.sortWithinPartitions(F.col("number").isNull(), "kind").withColumn("place", F.monotonically_increasing_id())
+    met = materialize(lying.select("kind", "id", "number", "place"), "met-ids")
+    placed = met.filter("number IS NULL").drop("number")
     task = F.shiftright("place", 33)
-    # Kinds mix within a task, so a row's rank within its kind is its place among the rows of its kind and task.
-    sizes = {(r.kind, r.task): r.n for r in placed.groupBy("kind", task.alias("task")).agg(F.count("*").alias("n")).collect()}
+    of_tasks = placed.groupBy("kind", task.alias("task")).agg(F.count("*").alias("n"), F.min("place").alias("first")).collect()
+    sizes, first = {(r.kind, r.task): r.n for r in of_tasks}, {(r.kind, r.task): r["first"] for r in of_tasks}
     last = {} if known is None else {r.kind: r.n for r in known.groupBy("kind").agg(F.max("number").alias("n")).collect()}
     before, at = [], dict(last)
     for kind, of_task in sorted(sizes):
-        before.append((kind, of_task, at.get(kind, 0)))
+        before.append((kind, of_task, at.get(kind, 0) - first[kind, of_task] + 1))
         at[kind] = at.get(kind, 0) + sizes[kind, of_task]
     offsets = placed.sparkSession.createDataFrame(before, "kind string, task long, offset long")
-    inside = F.row_number().over(Window.partitionBy("kind", "task").orderBy("place"))
-    numbered = placed.withColumn("task", task).withColumn("inside", inside).join(offsets, ["kind", "task"])
-    return numbered.select("kind", "id", (F.col("offset") + F.col("inside")).cast("long").alias("number"))
+    numbered = placed.withColumn("task", task).join(F.broadcast(offsets), ["kind", "task"])
+    new = numbered.select("kind", "id", (F.col("offset") + F.col("place")).cast("long").alias("number"))
+    return (new if known is None else met.filter("number IS NOT NULL").drop("place").unionByName(new)), new
+
+
+#: Rows that a day's part has, about: so many go to one task and one file.
+DAY_PART = 500_000
+
+
+def _dealt_by_day(rows: DataFrame, sizes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`rows` dealt out by day and, within a day, by `keys` in as many parts as its rows in `sizes` ask for, which column `_part`
+    numbers. What is grouped by both and the keys follows there and lies by its days, so its write needs no other shuffle."""
+    parts = sizes.groupBy("day").agg(F.ceil(F.count(F.lit(1)) / DAY_PART).cast("int").alias("_parts"))
+    part = F.pmod(F.xxhash64(*keys), F.col("_parts")).cast("int")
+    return rows.join(F.broadcast(parts), "day").withColumn("_part", part).drop("_parts").repartition("day", "_part")
 
 
 def day_bitmaps(ids: DataFrame, numbers: DataFrame) -> DataFrame:
     """Rows (day, business_id, measure, bucket, words, bits) of the ids of `event_ids`, by their numbers: the places of a bucket's
     words that have bits, and these words one after another, eight bytes each.
 
-    A bucket holds 32768 ids at most, so with distinct ids no task has a hot one. Ids that repeat are counted once.
+    A bucket holds 32768 ids at most, so with distinct ids no task has a hot one. Ids that repeat are counted once. Rows lie by their
+    days (see `_dealt_by_day`).
     """
     key = ["day", "business_id", "measure", "bucket"]
-    numbered = ids.join(numbers, ["kind", "id"])
-    position = F.bitmap_bit_position("number")
-    placed = numbered.select(
-        "day", "business_id", "measure", F.bitmap_bucket_number("number").alias("bucket"),
-        F.shiftright(position, 6).cast("short").alias("word"),
-        F.call_function("shiftleft", F.lit(1).cast("long"), position.bitwiseAND(F.lit(63)).cast("int")).alias("own"),
-    )
-    words = placed.repartition(*key).groupBy(*key, "word").agg(F.bit_or("own").alias("own"))
-    listed = words.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("word", "own"))).alias("_words"))
+    numbered = ids.join(numbers.hint("merge"), ["kind", "id"])
+    position = F.bitmap_bit_position("number").cast("short").alias("position")
+    placed = numbered.select("day", "business_id", "measure", F.bitmap_bucket_number("number").alias("bucket"), position)
+    dealt = _dealt_by_day(placed, ids, key[1:])
+    own = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("position").bitwiseAND(F.lit(63)).cast("int"))
+    words = dealt.groupBy("_part", *key, F.shiftright("position", 6).cast("short").alias("word")).agg(F.bit_or(own).alias("own"))
+    listed = words.groupBy("_part", *key).agg(F.sort_array(F.collect_list(F.struct("word", "own"))).alias("_words"))
     digits = F.transform("_words", lambda w: F.lpad(F.hex(w["own"]), 16, "0"))
     return listed.select(*key, F.col("_words.word").alias("words"), F.unhex(F.array_join(digits, "")).alias("bits"))
 
@@ -88,35 +110,42 @@ def bitmap_words(bitmaps: DataFrame) -> DataFrame:
 
 
 def day_sums(reviews: DataFrame, tips: DataFrame) -> DataFrame:
-    """Rows (day, business_id, sums ...): what a day adds to each business's sums. A sum without rows is null."""
-    day = F.to_date("date").alias("day")
-    of_reviews = reviews.groupBy(day, "business_id").agg(
-        F.sum("stars").alias("stars"), F.count("stars").alias("rated"), *[F.sum(c).alias(c) for c in ("useful", "funny", "cool")]
-    )
-    of_tips = tips.groupBy(day, "business_id").agg(
-        F.count(F.lit(1)).alias("tips"), F.sum(F.coalesce("compliment_count", F.lit(0))).alias("compliments")
-    )
+    """Rows (day, business_id, sums ...): what a day adds to each business's sums. A sum without rows is null. Rows lie by their
+    days (see `_dealt_by_day`)."""
+    day, counted = F.to_date("date").alias("day"), ("stars", "useful", "funny", "cool")
+    of_reviews = reviews.select(day, "business_id", *counted, F.lit(True).alias("reviewed"))
+    of_tips = tips.select(day, "business_id", F.coalesce("compliment_count", F.lit(0)).alias("compliments"), F.lit(False).alias("reviewed"))
     both = of_reviews.unionByName(of_tips, allowMissingColumns=True)
-    return both.groupBy("day", "business_id").agg(*[F.sum(c).cast("long").alias(c) for c in SUMS], F.bool_or(F.col("tips").isNull()).alias("reviewed"))
+    sums = {
+        **{c: F.sum(c) for c in (*counted, "compliments")},
+        "rated": F.when(F.bool_or("reviewed"), F.count("stars")),
+        "tips": F.nullif(F.count_if(~F.col("reviewed")), F.lit(0)),
+    }
+    grouped = _dealt_by_day(both, both, ["business_id"]).groupBy("day", "_part", "business_id")
+    added = grouped.agg(*[sums[c].cast("long").alias(c) for c in SUMS], F.bool_or("reviewed").alias("reviewed"))
+    return added.drop("_part")
 
 
 def monthly_from_state(sums: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """Monthly fact rows of the months whose days the state holds, as `fact_for_period` has them."""
     month = F.last_day("day").alias("day")
-    merged = bitmap_words(bitmaps).groupBy("business_id", month, "measure", "bucket", "word").agg(F.bit_or("own").alias("own"))
+    # Both counts follow where a business's bitmaps of a measure are dealt to; they are a few bytes an id.
+    dealt = bitmap_words(bitmaps.withColumn("day", F.last_day("day")).repartition("business_id", "day", "measure"))
+    merged = dealt.groupBy("business_id", "day", "measure", "bucket", "word").agg(F.bit_or("own").alias("own"))
     counts = merged.groupBy("business_id", "day", "measure").agg(F.sum(F.bit_count("own")).cast("double").alias("units"))
 
     totals = sums.groupBy("business_id", month).agg(*[F.sum(c).alias(c) for c in SUMS], F.bool_or("reviewed").alias("reviewed"))
     wide = totals.select(
         "business_id", "day", "reviewed", (F.col("stars").cast("double") / F.nullif(F.col("rated"), F.lit(0))).alias("avg_stars"),
         *[F.col(c).cast("double").alias(f"total_{c}") for c in ("useful", "funny", "cool")],
-        F.col("tips").cast("double").alias("tip_count"), F.col("compliments").cast("double").alias("compliment_count_sum"),
+        F.col("tips").isNotNull().alias("tipped"), F.col("tips").cast("double").alias("tip_count"), F.col("compliments").cast("double").alias("compliment_count_sum"),
     )
 
-    def narrow(rows: DataFrame, measures: Mapping[str, int]) -> DataFrame:
-        return to_narrow(rows, ["business_id", "day"], {k: v for k, v in measures.items() if k in wide.columns})
+    def narrow(rows: DataFrame, measures: Mapping[str, int], kept: Sequence[str]) -> DataFrame:
+        return to_narrow(rows, ["business_id", "day", *kept], {k: v for k, v in measures.items() if k in wide.columns})
 
-    of_reviews = narrow(wide.filter("reviewed"), REVIEW_MEASURES)
-    of_tips = narrow(wide.filter("tip_count IS NOT NULL"), TIP_MEASURES)
-    rows = counts.select("business_id", "day", "measure", "units").unionByName(of_reviews).unionByName(of_tips)
+    # All measures unfold together, so the sums are moved once; a business has those of reviews or tips if it has such events.
+    of_reviews, of_tips = (F.col("measure").isin([v for k, v in m.items() if k in wide.columns]) for m in (REVIEW_MEASURES, TIP_MEASURES))
+    unfolded = narrow(wide, {**REVIEW_MEASURES, **TIP_MEASURES}, ["reviewed", "tipped"]).filter((of_reviews & F.col("reviewed")) | (of_tips & F.col("tipped")))
+    rows = counts.select("business_id", "day", "measure", "units").unionByName(unfolded.drop("reviewed", "tipped"))
     return rows.withColumns({"granularity": F.lit(MONTHLY), "period_month": period_month(F.col("day"))}).select(*FACT_COLUMNS)

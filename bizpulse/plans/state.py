@@ -41,14 +41,12 @@ def update_state(
         return own.filter(F.to_date("date").isin(wanted)).drop("day")
 
     reviews, tips = events("review"), events("tip")
-    ids = materialize(state.event_ids(reviews, tips).distinct(), "state-ids")
-    known = read_table_if_exists(spark, f"{state_dir}/{NUMBERS}", fmt)
-    new = materialize(state.new_numbers(ids, known), "state-numbers")
+    ids = state.event_ids(reviews, tips)
+    numbers, new = state.numbers_of(ids, read_table_if_exists(spark, f"{state_dir}/{NUMBERS}", fmt))
     write_table(new, f"{state_dir}/{NUMBERS}", "append", fmt=fmt)
-    numbers = new if known is None else known.unionByName(new)
     slices = [{"day": d} for d in wanted]
     for name, rows in ((SUMS, state.day_sums(reviews, tips)), (BITMAPS, state.day_bitmaps(ids, numbers))):
-        replace_slice(spark, rows, f"{state_dir}/{name}", ["day"], slices, ["day"], fmt, ["business_id"], options)
+        replace_slice(spark, rows, f"{state_dir}/{name}", ["day"], slices, ["day"], fmt, ["business_id"], options, balance=False)
 
 
 def month_from_state(spark: SparkSession, state_dir: str, month: str | dt.date, fmt: str = DEFAULT_FORMAT) -> DataFrame:

@@ -4,6 +4,7 @@ import datetime as dt
 import gzip
 import io
 import json
+import os
 
 import pytest
 from conftest import SF, plan_of, rows
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from bizpulse.operators import quality, serving, state, summaries
 from bizpulse.plans import state as jobs
+from bizpulse.session import materialize
 from bizpulse.sources import checked, dumps, lake, readers, versions
 from checks import catalog
 
@@ -259,3 +261,35 @@ def test_broken_dumps_are_refused(spark, tmp_path):
         dumps.read_dump(spark, str(tmp_path / "bad.json"), "a array<int>").collect()
     with pytest.raises(ValueError, match="blank"):
         readers.read_raw(spark, "tip", "store", readers.T.StructType.fromDDL("a int"), store={"dump": " "})
+
+
+def test_state_is_moved_to_its_days_once_and_ids_are_stored_once(spark, tmp_path, monkeypatch):
+    root, target, stored, kept = str(tmp_path / "silver"), str(tmp_path / "state"), [], []
+    write_silver(spark, root, [(f"b{i % 3}", f"r{i}", f"u{i % 5}", JAN[i % 31], 3) for i in range(62)], [("b", "u", JAN[i], 1) for i in range(31)])
+    for module in (state, jobs):
+        monkeypatch.setattr(module, "materialize", lambda df, label: stored.append(label) or materialize(df, label))
+    write = jobs.replace_slice
+
+    def seen(spark, df, *args, **kwargs):
+        kept.append((plan_of(df).split("== Physical Plan ==")[1].count("REPARTITION_BY_COL"), kwargs["balance"]))
+        write(spark, df, *args, **kwargs)
+
+    monkeypatch.setattr(jobs, "replace_slice", seen)
+    monkeypatch.setattr(state, "DAY_PART", 3)
+    for days in (JAN[:20], JAN[10:]):
+        jobs.update_state(spark, root, target, days)
+    assert stored == ["met-ids"] * 2 and kept == [(1, False)] * 4
+    assert rows(jobs.month_from_state(spark, target, "2024-01-10")) == direct(spark, root)
+
+
+def test_shuffle_files_go_with_the_write(spark, tmp_path):
+    folders = [d.getPath() for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        return {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+    before = files()
+    lake.write_table(spark.range(1000).repartition(4, "id"), str(tmp_path / "t"))
+    stored = materialize(spark.range(1000).repartition(4, "id"), "t")
+    assert not files() - before
+    assert stored.count() == 1000
